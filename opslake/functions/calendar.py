@@ -14,8 +14,15 @@ def hour_of_day(ts: Column) -> Column:
 
 
 def weekday_name(d: Column, names: list[str] = WEEKDAYS) -> Column:
-    """Weekday name by Spark's ``dayofweek`` (1 = Sunday); NULL date → NULL."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.dayofweek(d))
+    """Weekday name by Spark's ``dayofweek`` (1 = Sunday); NULL date → NULL.
+
+    A CASE chain: ``element_at`` on a literal array does not return NULL for
+    a NULL index here."""
+    dow = F.dayofweek(d)
+    out = F.lit(None).cast("string")
+    for i in range(len(names), 0, -1):
+        out = F.when(dow == F.lit(i), F.lit(names[i - 1])).otherwise(out)
+    return out
 
 
 def month_anchor(d: Column) -> Column:
