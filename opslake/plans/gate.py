@@ -58,38 +58,41 @@ def _txt(x: Column) -> Column:
 
 
 def gate_results(lh: Lakehouse) -> DataFrame:
-    k = counters(lh)
+    # Each counter is evaluated once into a one-row frame (a scalar subquery is
+    # not cheap, so Catalyst keeps this projection separate from the checks).
+    k = lh.silver_codes.sparkSession.range(1).select(
+        *[v.cast("long").alias(name) for name, v in counters(lh).items()])
+    n = {name: c(name) for name in k.columns}
     rows = [
-        ("bronze_not_empty", "error", k["bronze"] > 0, k["bronze"],
-         F.concat(F.lit("bronze "), _txt(k["bronze"]))),
-        ("silver_mirrors_bronze", "error", k["silver"] == k["bronze"], k["silver"],
-         F.concat(F.lit("bronze "), _txt(k["bronze"]), F.lit(" vs silver "), _txt(k["silver"]))),
-        ("gold_drops_only_exact_duplicates", "error", k["fact"] == k["silver"] - k["duplicates"], k["fact"],
-         F.concat(F.lit("silver "), _txt(k["silver"]), F.lit(" - duplicates "), _txt(k["duplicates"]),
-                  F.lit(" vs fact "), _txt(k["fact"]))),
-        ("obt_keeps_every_fact_row", "error", k["obt"] == k["fact"], k["obt"],
-         F.concat(F.lit("fact "), _txt(k["fact"]), F.lit(" vs obt "), _txt(k["obt"]))),
-        ("quarantine_is_diagnostic", "error", (k["quarantine"] > 0) & (k["quarantine"] < k["silver"]),
-         k["quarantine"],
-         F.concat(F.lit("quarantine "), _txt(k["quarantine"]), F.lit(" of "), _txt(k["silver"]))),
-        ("fact_grain_unique", "error", k["grain_violations"] == 0, k["grain_violations"],
-         F.concat(_txt(k["grain_violations"]), F.lit(" duplicated keys"))),
-        ("origin_airports_in_dim", "error", k["orphan_origins"] == 0, k["orphan_origins"],
-         F.concat(_txt(k["orphan_origins"]), F.lit(" orphan rows"))),
-        ("punctuality_follows_rule", "error", k["bad_punctuality"] == 0, k["bad_punctuality"],
-         F.concat(_txt(k["bad_punctuality"]), F.lit(" inconsistent rows"))),
-        ("codes_unique_per_domain", "error", k["code_duplicates"] == 0, k["code_duplicates"],
-         F.concat(_txt(k["code_duplicates"]), F.lit(" repeated codes"))),
-        ("rescued_rows", "warn", F.lit(True), k["rescued"],
-         F.concat(_txt(k["rescued"]), F.lit(" rows with rescued data"))),
+        ("bronze_not_empty", "error", n["bronze"] > 0, n["bronze"],
+         F.concat(F.lit("bronze "), _txt(n["bronze"]))),
+        ("silver_mirrors_bronze", "error", n["silver"] == n["bronze"], n["silver"],
+         F.concat(F.lit("bronze "), _txt(n["bronze"]), F.lit(" vs silver "), _txt(n["silver"]))),
+        ("gold_drops_only_exact_duplicates", "error", n["fact"] == n["silver"] - n["duplicates"], n["fact"],
+         F.concat(F.lit("silver "), _txt(n["silver"]), F.lit(" - duplicates "), _txt(n["duplicates"]),
+                  F.lit(" vs fact "), _txt(n["fact"]))),
+        ("obt_keeps_every_fact_row", "error", n["obt"] == n["fact"], n["obt"],
+         F.concat(F.lit("fact "), _txt(n["fact"]), F.lit(" vs obt "), _txt(n["obt"]))),
+        ("quarantine_is_diagnostic", "error", (n["quarantine"] > 0) & (n["quarantine"] < n["silver"]),
+         n["quarantine"],
+         F.concat(F.lit("quarantine "), _txt(n["quarantine"]), F.lit(" of "), _txt(n["silver"]))),
+        ("fact_grain_unique", "error", n["grain_violations"] == 0, n["grain_violations"],
+         F.concat(_txt(n["grain_violations"]), F.lit(" duplicated keys"))),
+        ("origin_airports_in_dim", "error", n["orphan_origins"] == 0, n["orphan_origins"],
+         F.concat(_txt(n["orphan_origins"]), F.lit(" orphan rows"))),
+        ("punctuality_follows_rule", "error", n["bad_punctuality"] == 0, n["bad_punctuality"],
+         F.concat(_txt(n["bad_punctuality"]), F.lit(" inconsistent rows"))),
+        ("codes_unique_per_domain", "error", n["code_duplicates"] == 0, n["code_duplicates"],
+         F.concat(_txt(n["code_duplicates"]), F.lit(" repeated codes"))),
+        ("rescued_rows", "warn", F.lit(True), n["rescued"],
+         F.concat(_txt(n["rescued"]), F.lit(" rows with rescued data"))),
     ]
-    base = lh.silver_codes.sparkSession.range(1)
     structs = [
-        F.struct(F.lit(n).alias("check_name"), F.lit(sev).alias("severity"), ok.alias("passed"),
-                 obs.cast("long").alias("observed"), det.alias("detail"))
-        for n, sev, ok, obs, det in rows
+        F.struct(F.lit(name).alias("check_name"), F.lit(sev).alias("severity"), ok.alias("passed"),
+                 obs.alias("observed"), det.alias("detail"))
+        for name, sev, ok, obs, det in rows
     ]
-    return base.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    return k.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
 class GateFailed(AssertionError):
