@@ -124,4 +124,4 @@ def test_pipeline_from_landed_files(spark, files):
     checks = {r[0]: r for r in res.gate}
     assert checks["rescued_rows"][3] == 2                        # warned, not failed
     assert res.contract["empresa_no_cadastro_anac"] == 2         # GLO is not registered
-    assert res.contract["aeroporto_destino_no_cadastro_anac"] == 1   # KJFK
+    assert res.contract["aeroporto_destino_no_cadastro_anac"] == 2   # KJFK and the truncated row
