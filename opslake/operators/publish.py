@@ -61,3 +61,23 @@ def publish(df: DataFrame, root: str, name: str, cluster_by: list[str] | None =
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
+
+
+def register(spark: SparkSession, root: str, name: str) -> None:
+    """Expose a published table by name (``layer.table``) in the session
+    catalog: ``CREATE SCHEMA IF NOT EXISTS`` + an external Parquet table over
+    the written folder, re-declared when the stored schema changed, and
+    refreshed so a rewrite is seen (SNK2, SNK4). Consumers can then run
+    plain SQL such as ``SELECT … FROM gold.obt_flights``."""
+    layer, _, table = name.partition(".")
+    path = table_path(root, name)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
+    fq = f"`{layer}`.`{table}`"
+    schema = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(f"{layer}.{table}"):
+        if spark.table(fq).schema != schema:
+            spark.sql(f"DROP TABLE {fq}")
+        else:
+            spark.sql(f"REFRESH TABLE {fq}")
+            return
+    spark.catalog.createTable(f"{layer}.{table}", path=path, source="parquet", schema=schema)

@@ -123,6 +123,7 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
         "foreign_cancellations": lambda lh: reports.foreign_cancellations(lh.fact),
         "worst_hour": lambda lh: reports.worst_hour(lh.obt),
         "carrier_share": lambda lh: reports.carrier_share(lh.obt),
+        "top_carrier_share": lambda lh: reports.top_carrier_share(lh.obt),
         "monthly_volume": lambda lh: reports.monthly_volume(lh.obt),
         "volume_span": lambda lh: reports.volume_span(lh.obt),
         "quality_summary": reports.quality_summary,

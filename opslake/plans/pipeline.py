@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
-from opslake.operators.publish import Published, publish, read_published
+from opslake.operators.publish import Published, publish, read_published, register
 from opslake.plans import gate
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
@@ -40,9 +40,10 @@ class RunResult:
 
 
 def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = None,
-                     run_gate: bool = True, layout: str | None = "local") -> RunResult:
+                     run_gate: bool = True, layout: str | None = "local", catalog: bool = False) -> RunResult:
     """``layout``: "local" (sort within partitions, no shuffle), "range"
-    (extra range shuffle for disjoint files) or None."""
+    (extra range shuffle for disjoint files) or None. ``catalog``: also
+    expose every table by name (``bronze.vra``, ``gold.obt_flights`` …)."""
     root = root or output_root(spark)
     res = RunResult(root=root)
     published: dict = {}
@@ -55,6 +56,8 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
                     columns=columns, mode=layout or "local")
         res.tables[name] = p
         published[name] = read_published(spark, root, name)
+        if catalog:
+            register(spark, root, name)
         log.info("%s: %s rows in %.1fs", name, f"{p.rows:,}", p.seconds)
         return p
 

@@ -164,6 +164,18 @@ def carrier_share(obt: DataFrame) -> DataFrame:
     return per.withColumn("share_pct", _pct(c("flights"), total))
 
 
+def top_carrier_share(obt: DataFrame, k: int = 3) -> DataFrame:
+    """Share of all flights held by the k largest carriers (skew indicator)."""
+    per = obt.groupBy("icao_airline").agg(_n().alias("flights"))
+    top = per.orderBy(c("flights").desc(), c("icao_airline").asc_nulls_first()).limit(k)
+    total = obt.select(_n()).scalar()
+    return top.agg(
+        _n().alias("carriers"),
+        F.sum("flights").alias("flights"),
+        _pct(F.sum("flights"), total).alias("share_pct"),
+    )
+
+
 def monthly_volume(obt: DataFrame) -> DataFrame:
     return obt.groupBy("reference_month").agg(
         _n().alias("flights"),

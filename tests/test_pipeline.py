@@ -68,3 +68,20 @@ def test_gate_reports_orphan_origins(spark):
     results = {r.check_name: r for r in gate.gate_results(broken).collect()}
     assert results["origin_airports_in_dim"].passed is False
     assert results["origin_airports_in_dim"].observed == 2
+
+
+def test_published_tables_answer_plain_sql(spark):
+    root = tempfile.mkdtemp(prefix="opslake-sql-")
+    lh = from_driver_tables(spark, SF)
+    run_full_refresh(spark, lh.sources, root, run_gate=False, catalog=True)
+    n = spark.sql("SELECT COUNT(*) AS n FROM gold.obt_flights").first().n
+    assert n == lh.fact.count()
+    got = spark.sql("""
+        SELECT airline_name, COUNT(*) AS flights,
+               SUM(CAST(departure_punctual AS INT)) * 100.0 / COUNT(*) AS dep_on_time_pct
+        FROM gold.obt_flights WHERE flight_status = 'REALIZADO'
+        GROUP BY airline_name ORDER BY dep_on_time_pct DESC""").count()
+    assert got > 0
+    # a second run overwrites and the catalog sees the new files
+    run_full_refresh(spark, lh.sources, root, run_gate=False, catalog=True)
+    assert spark.sql("SELECT COUNT(*) AS n FROM gold.obt_flights").first().n == n
