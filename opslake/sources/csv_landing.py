@@ -53,27 +53,31 @@ UTF8_QUOTED = CsvFormat()
 LATIN1_UNQUOTED = CsvFormat(encoding="ISO-8859-1", quote=None, escape=None)
 
 
-def read_landing(spark: SparkSession, path: str, header: list[str], fmt: CsvFormat = UTF8_QUOTED,
-                 check_header: bool = True) -> DataFrame:
-    """All-string rows of the files under ``path`` (glob allowed), columns
-    named as in ``header``, plus ``_rescued_data`` and ``_file``."""
+def landing_schema(header: list[str]) -> StructType:
+    """Positional all-string schema plus the rescue column."""
     fields = [StructField(f"_c{i}", StringType()) for i in range(len(header))]
-    schema = StructType(fields + [StructField(spec.COL_RESCUED, StringType())])
-    reader = (
-        spark.read.format("csv")
-        .schema(schema)
-        .option("header", "false")
-        .option("sep", fmt.sep)
-        .option("encoding", fmt.encoding)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", spec.COL_RESCUED)
-        .option("columnPruning", "false")
-    )
-    reader = reader.option("quote", fmt.quote if fmt.quote is not None else "\u0000")
+    return StructType(fields + [StructField(spec.COL_RESCUED, StringType())])
+
+
+def reader_options(fmt: CsvFormat) -> dict[str, str]:
+    opts = {
+        "header": "false",
+        "sep": fmt.sep,
+        "encoding": fmt.encoding,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": spec.COL_RESCUED,
+        "columnPruning": "false",
+        "quote": fmt.quote if fmt.quote is not None else "\u0000",
+    }
     if fmt.escape is not None:
-        reader = reader.option("escape", fmt.escape)
-    raw = reader.load(path).select("*", F.col("_metadata.file_name").alias("_file"))
+        opts["escape"] = fmt.escape
+    return opts
 
+
+def clean_landing(raw: DataFrame, header: list[str], fmt: CsvFormat = UTF8_QUOTED,
+                  check_header: bool = True) -> DataFrame:
+    """Drop header and preamble lines of parsed rows (batch or a micro-batch)."""
+    raw = raw.select("*", F.col("_metadata.file_name").alias("_file")) if "_file" not in raw.columns else raw
     expected = F.array(*[F.lit(h) for h in header])
     got = F.array(*[F.col(f"_c{i}") for i in range(len(header))])
     # A header row holds only header names (in any order); a data row never does.
@@ -96,11 +100,17 @@ def read_landing(spark: SparkSession, path: str, header: list[str], fmt: CsvForm
     return data.select(*[F.col(f"_c{i}").alias(h) for i, h in enumerate(header)], spec.COL_RESCUED, "_file")
 
 
-def land_flights(spark: SparkSession, path: str, fmt: CsvFormat = UTF8_QUOTED) -> DataFrame:
-    """bronze.vra: the 12 source columns as text, rescued raw line, source file,
-    ingestion time."""
+def read_landing(spark: SparkSession, path: str, header: list[str], fmt: CsvFormat = UTF8_QUOTED,
+                 check_header: bool = True) -> DataFrame:
+    """All-string rows of the files under ``path`` (glob allowed), columns
+    named as in ``header``, plus ``_rescued_data`` and ``_file``."""
+    raw = spark.read.format("csv").schema(landing_schema(header)).options(**reader_options(fmt)).load(path)
+    return clean_landing(raw, header, fmt, check_header)
+
+
+def flights_bronze(df: DataFrame) -> DataFrame:
+    """Cleaned landing rows → bronze.vra columns."""
     header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
-    df = read_landing(spark, path, header, fmt)
     return df.select(
         *[F.col(f"`{h}`") for h in header],
         spec.COL_RESCUED,
@@ -109,6 +119,13 @@ def land_flights(spark: SparkSession, path: str, fmt: CsvFormat = UTF8_QUOTED) -
     )
 
 
+def land_flights(spark: SparkSession, path: str, fmt: CsvFormat = UTF8_QUOTED) -> DataFrame:
+    """bronze.vra: the 12 source columns as text, rescued raw line, source file,
+    ingestion time."""
+    header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
+    return flights_bronze(read_landing(spark, path, header, fmt))
+
+
 def land_aerodromes(spark: SparkSession, path: str, fmt: CsvFormat = LATIN1_UNQUOTED) -> DataFrame:
     header = [raw for raw, _ in spec.AERODROME_SOURCE_COLUMNS]
     df = read_landing(spark, path, header, fmt)
