@@ -67,7 +67,7 @@ def main() -> None:
     q["pipeline_cold"] = cold.seconds["total"]
     warm = run_full_refresh(spark, from_driver_tables(spark, sf_dir).sources, root)
     q["pipeline_warm"] = warm.seconds["total"]
-    for step in ("bronze", "silver", "contract", "gold", "gate"):
+    for step in ("bronze", "silver", "contract_dim_fact", "obt", "gate"):
         q[f"pipeline_{step}"] = warm.seconds[step]
 
     pub = published_lakehouse(spark, lh.sources, root)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -40,10 +41,14 @@ class RunResult:
 
 
 def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = None,
-                     run_gate: bool = True, layout: str | None = "local", catalog: bool = False) -> RunResult:
+                     run_gate: bool = True, layout: str | None = "local", catalog: bool = False,
+                     parallel: int = 4) -> RunResult:
     """``layout``: "local" (sort within partitions, no shuffle), "range"
     (extra range shuffle for disjoint files) or None. ``catalog``: also
-    expose every table by name (``bronze.vra``, ``gold.obt_flights`` …)."""
+    expose every table by name (``bronze.vra``, ``gold.obt_flights`` …).
+    ``parallel``: independent tables of a wave are written by concurrent
+    Spark jobs (the dependency DAG: bronze → silver → {contract, dimension,
+    fact} → OBT → gate)."""
     root = root or output_root(spark)
     res = RunResult(root=root)
     published: dict = {}
@@ -51,55 +56,70 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     def lake() -> Lakehouse:
         return Lakehouse(sources, published=dict(published))
 
-    def put(df, name, cluster=None, columns=None):
-        p = publish(df, root, name, cluster_by=spec.LAYOUT.get(name) if (cluster and layout) else None,
-                    columns=columns, mode=layout or "local")
-        res.tables[name] = p
-        published[name] = read_published(spark, root, name)
-        if catalog:
-            register(spark, root, name)
+    def put(name, build, cluster=False, columns=None):
+        df = build() if callable(build) else build
+        cluster_by = None
+        if cluster and layout:
+            lead, split = spec.LAYOUT[name]
+            cluster_by = lead + split if layout == "range" else lead
+        p = publish(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "local")
         log.info("%s: %s rows in %.1fs", name, f"{p.rows:,}", p.seconds)
         return p
 
+    def wave(jobs):
+        """Publish a list of (name, builder, kwargs) concurrently, then read
+        every written table back for the next wave."""
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = {name: pool.submit(put, name, build, **kw) for name, build, kw in jobs}
+            for name, fut in futures.items():
+                res.tables[name] = fut.result()
+        for name, _, _ in jobs:
+            published[name] = read_published(spark, root, name)
+            if catalog:
+                register(spark, root, name)
+
     t0 = time.time()
-    # bronze: land as is
-    put(sources.flights, "bronze.vra")
-    for file, df in sources.airline_registries.items():
-        put(df, "bronze." + ("national_airlines" if file == spec.NATIONAL_AIRLINES_FILE else "foreign_airlines"))
-    put(sources.aerodromes, "bronze.aerodromos")
-    put(sources.codes, "bronze.operation_codes")
+    # bronze: land as is (flights ∥ registries ∥ seed)
+    registry_table = {spec.NATIONAL_AIRLINES_FILE: "bronze.national_airlines",
+                      spec.FOREIGN_AIRLINES_FILE: "bronze.foreign_airlines"}
+    wave([("bronze.vra", sources.flights, {})]
+         + [(registry_table[f], df, {}) for f, df in sources.airline_registries.items()]
+         + [("bronze.aerodromos", sources.aerodromes, {}), ("bronze.operation_codes", sources.codes, {})])
     res.seconds["bronze"] = time.time() - t0
 
     # silver reads the written bronze
     t1 = time.time()
-    reg = {spec.NATIONAL_AIRLINES_FILE: published["bronze.national_airlines"],
-           spec.FOREIGN_AIRLINES_FILE: published["bronze.foreign_airlines"]}
+    reg = {f: published[t] for f, t in registry_table.items() if t in published}
     sources = Sources(published["bronze.vra"], reg, published["bronze.aerodromos"],
                       published["bronze.operation_codes"], sources.aerodromes_bounded, sources.airlines_bounded)
     lh = lake()
-    put(lh.silver_flights, "silver.vra", cluster=True, columns=spec.SILVER_VRA_COLUMNS)
-    put(lh.silver_airlines, "silver.airlines", columns=spec.SILVER_AIRLINE_COLUMNS)
-    put(lh.silver_aerodromes, "silver.aerodromes", columns=spec.SILVER_AERODROME_COLUMNS)
-    put(lh.silver_codes, "silver.operation_codes")
+    wave([
+        ("silver.vra", lambda: lh.silver_flights, {"cluster": True, "columns": spec.SILVER_VRA_COLUMNS}),
+        ("silver.airlines", lambda: lh.silver_airlines, {"columns": spec.SILVER_AIRLINE_COLUMNS}),
+        ("silver.aerodromes", lambda: lh.silver_aerodromes, {"columns": spec.SILVER_AERODROME_COLUMNS}),
+        ("silver.operation_codes", lambda: lh.silver_codes, {}),
+    ])
     res.seconds["silver"] = time.time() - t1
 
-    # contract: one pass = mark → observe → filter → write quarantine
+    # contract ∥ dimension ∥ fact, all from the written silver. The contract is
+    # one pass: mark → observe → filter → write quarantine.
     t2 = time.time()
     lh = lake()
     marked, obs = observe(lh.marked, lh.rules, "contract")
     q = quarantine(marked, lh.rules, spec.REASONS_COLUMN, spec.REASON_SEPARATOR, spec.COL_QUARANTINED)
-    put(q, "silver.vra_quarentena")
+    wave([
+        ("silver.vra_quarentena", q, {}),
+        ("gold.dim_airport", lambda: lh.dim_airport, {"columns": spec.DIM_AIRPORT_COLUMNS}),
+        ("gold.fact_flights", lambda: lh.fact, {"cluster": True, "columns": spec.FACT_COLUMNS}),
+    ])
     res.contract = {k: int(v) for k, v in obs.get.items()}
-    res.seconds["contract"] = time.time() - t2
+    res.seconds["contract_dim_fact"] = time.time() - t2
 
-    # gold: dimension and fact from silver, OBT from the written fact
+    # OBT from the written fact
     t3 = time.time()
     lh = lake()
-    put(lh.dim_airport, "gold.dim_airport", columns=spec.DIM_AIRPORT_COLUMNS)
-    put(lh.fact, "gold.fact_flights", cluster=True, columns=spec.FACT_COLUMNS)
-    lh = lake()
-    put(lh.obt, "gold.obt_flights", cluster=True, columns=spec.OBT_COLUMNS)
-    res.seconds["gold"] = time.time() - t3
+    wave([("gold.obt_flights", lambda: lh.obt, {"cluster": True, "columns": spec.OBT_COLUMNS})])
+    res.seconds["obt"] = time.time() - t3
 
     if run_gate:
         t4 = time.time()

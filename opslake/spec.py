@@ -214,13 +214,15 @@ OBT_COLUMNS = [
     "flight_status", "flight_completed", "flight_cancelled", COL_PROCESSED,
 ]
 
-# Physical layout (clustering) of published tables: range key columns, the
-# first ones are the reference's clustering columns, the rest split hot values.
+# Physical layout of published tables: (clustering columns of the reference,
+# extra columns that split hot values). A local sort uses the clustering
+# columns only; a range layout uses both, so one airline or one day cannot
+# become one giant file.
 LAYOUT = {
-    "silver.vra": ["scheduled_departure", "icao_airline", "flight_number"],
-    "gold.fact_flights": ["scheduled_departure_date", "airline_name", "flight_number", "scheduled_departure"],
-    "gold.obt_flights": ["scheduled_departure_date", "airline_name", "flight_scope", "flight_number",
-                         "scheduled_departure"],
+    "silver.vra": (["scheduled_departure"], ["icao_airline", "flight_number"]),
+    "gold.fact_flights": (["scheduled_departure_date", "airline_name"], ["flight_number", "scheduled_departure"]),
+    "gold.obt_flights": (["scheduled_departure_date", "airline_name", "flight_scope"],
+                         ["flight_number", "scheduled_departure"]),
 }
 
 
