@@ -19,12 +19,12 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
 from opslake.operators.publish import Published, publish, read_published, register
-from opslake.plans import gate
+from opslake.plans import gate, silver
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
 
@@ -36,6 +36,7 @@ class RunResult:
     root: str
     tables: dict[str, Published] = field(default_factory=dict)
     contract: dict[str, int] = field(default_factory=dict)
+    parse_losses: dict[str, int] = field(default_factory=dict)
     gate: list[tuple] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
 
@@ -93,12 +94,17 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     sources = Sources(published["bronze.vra"], reg, published["bronze.aerodromos"],
                       published["bronze.operation_codes"], sources.aerodromes_bounded, sources.airlines_bounded)
     lh = lake()
+    parse_obs = Observation("silver:parse_losses")
     wave([
-        ("silver.vra", lambda: lh.silver_flights, {"cluster": True, "columns": spec.SILVER_VRA_COLUMNS}),
+        ("silver.vra", lambda: silver.silver_flights(lh.bronze_flights, parse_obs),
+         {"cluster": True, "columns": spec.SILVER_VRA_COLUMNS}),
         ("silver.airlines", lambda: lh.silver_airlines, {"columns": spec.SILVER_AIRLINE_COLUMNS}),
         ("silver.aerodromes", lambda: lh.silver_aerodromes, {"columns": spec.SILVER_AERODROME_COLUMNS}),
         ("silver.operation_codes", lambda: lh.silver_codes, {}),
     ])
+    res.parse_losses = {k: int(v) for k, v in parse_obs.get.items()}
+    if any(res.parse_losses.values()):
+        log.warning("unparsable times in silver.vra: %s", res.parse_losses)
     res.seconds["silver"] = time.time() - t1
 
     # contract ∥ dimension ∥ fact, all from the written silver. The contract is

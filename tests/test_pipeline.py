@@ -85,3 +85,18 @@ def test_published_tables_answer_plain_sql(spark):
     # a second run overwrites and the catalog sees the new files
     run_full_refresh(spark, lh.sources, root, run_gate=False, catalog=True)
     assert spark.sql("SELECT COUNT(*) AS n FROM gold.obt_flights").first().n == n
+
+
+def test_parse_losses_are_observed_on_the_silver_write(spark, run):
+    lh, res = run
+    names = {f"{c}_unparsable" for c in ["scheduled_departure", "actual_departure", "scheduled_arrival",
+                                         "actual_arrival"]}
+    got = res.parse_losses
+    assert got["scheduled_departure_unparsable"] == 0 and got["actual_arrival_unparsable"] == 0
+    # the projection writes 'bad-ts' for every part key divisible by 37
+    bad = lh.silver_flights.sparkSession.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where(
+        "l_partkey % 37 = 0").count()
+    dupes = lh.silver_flights.sparkSession.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where(
+        "l_partkey % 37 = 0 AND l_orderkey % 100 = 0").count()
+    assert got["scheduled_arrival_unparsable"] == bad + dupes
+    assert set(got) == names
