@@ -49,17 +49,25 @@ def apply_recommended(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a scratch one only when the
-    session has none (local tests)."""
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    root = current or conf_dir
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), as
+    configured — stable across applications (SparkContext adds a per-app
+    subfolder for RDD checkpoints; published tables must not move per run).
+
+    Only a local session without one gets a scratch folder (tests); a cluster
+    session without a shared folder is refused rather than handed a
+    machine-local path."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if not root and current:
+        root = current.rstrip("/").rsplit("/", 1)[0]
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="opslake-ckpt-")
     if not current:
-        spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root if hasattr(spark.sparkContext, "getCheckpointDir") else root
+        sc.setCheckpointDir(root)
+    return root
 
 
 def output_root(spark: SparkSession, name: str = "opslake") -> str:

@@ -104,6 +104,7 @@ class IncrementalFlights:
         _write(q.withColumn(BATCH, epoch), root, "silver.vra_quarentena", [BATCH])
 
         # 4. touched months: fact and OBT recomputed from every silver row of them
+        # Size bound: one row per calendar month present in one micro-batch.
         touched = F.broadcast(batch_silver.select(MONTH).distinct())
         month_rows = all_silver.join(touched, MONTH, "left_semi").drop(MONTH, BATCH)
         fact = self.lake(bronze, {"silver.vra": month_rows}).fact
