@@ -28,7 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
     one task. On large inputs the scan already has more splits than cores and
     this is a no-op (no shuffle is added).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 — sessions without RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if narrow else df
