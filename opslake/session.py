@@ -42,9 +42,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def apply_recommended(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session."""
-    for k, v in RECOMMENDED.items():
+# Cluster profile (runtime SQL settings) for the 100 TB scale: start shuffles
+# wide and let AQE coalesce them to ~256 MB partitions, so the fact dedup
+# (the one big shuffle) never builds multi-GB reducer partitions that spill;
+# scan splits of 256 MB; a partition 5× the median and over 1 GB is split by
+# AQE's skew join (a carrier holding a third of all rows).
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_recommended(spark: SparkSession, cluster: bool = False) -> None:
+    """Apply the runtime SQL settings to an existing session (``cluster``:
+    also the large-scale shuffle and scan sizing)."""
+    for k, v in {**RECOMMENDED, **(CLUSTER if cluster else {})}.items():
         spark.conf.set(k, v)
 
 
