@@ -27,29 +27,40 @@ def _count(df: DataFrame) -> Column:
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def _folded(df: DataFrame, **conds: Column) -> dict[str, Column]:
+    """Row count and conditional counts of one table from ONE scan: a single
+    aggregate returning a struct, read field by field (the same scalar
+    subquery is executed once)."""
+    agg = df.select(F.struct(F.count(F.lit(1)).alias("rows"),
+                             *[F.count_if(cond).alias(name) for name, cond in conds.items()])).scalar()
+    return {name: agg.getField(name) for name in ["rows", *conds]}
+
+
 def counters(lh: Lakehouse) -> dict[str, Column]:
     keys = lh.flight_spec.dedup_keys
     fact = lh.fact
     dim = lh.dim_airport
     origins = fact.where(non_empty(c("icao_origin")))
     orphans = origins.join(dim, origins["icao_origin"] == dim["icao_airport"], "left_anti")
-    bad_punctuality = fact.where(
+    bad_punctuality = (
         (c("departure_punctual") & (c("departure_delay_min") > spec.PUNCTUAL_MAX))
         | (~c("departure_punctual") & (c("departure_delay_min") <= spec.PUNCTUAL_MAX))
     )
     code_dupes = lh.silver_codes.groupBy("domain", "code").count().where(c("count") > 1)
+    bronze = _folded(lh.bronze_flights, rescued=c(spec.COL_RESCUED).isNotNull())
+    facts = _folded(fact, bad_punctuality=bad_punctuality)
     return {
-        "bronze": _count(lh.bronze_flights),
+        "bronze": bronze["rows"],
         "silver": _count(lh.silver_flights),
-        "fact": _count(fact),
+        "fact": facts["rows"],
         "obt": _count(lh.obt),
         "quarantine": _count(lh.quarantine),
         "duplicates": duplicate_surplus(lh.silver_flights, keys).scalar(),
         "grain_violations": _count(grain_violations(fact, keys)),
         "orphan_origins": _count(orphans),
-        "bad_punctuality": _count(bad_punctuality),
+        "bad_punctuality": facts["bad_punctuality"],
         "code_duplicates": _count(code_dupes),
-        "rescued": _count(lh.bronze_flights.where(c(spec.COL_RESCUED).isNotNull())),
+        "rescued": bronze["rescued"],
     }
 
 
