@@ -55,14 +55,23 @@ def airport_name(code: Column, registry_name: Column) -> Column:
     return with_fallback(registry_name, code, spec.AIRPORT_FALLBACK)
 
 
-def dim_airport(silver: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
-    """Every non-empty airport code used as origin or destination (one scan:
-    explode both roles, then DISTINCT), left-joined to the registry."""
-    codes = (
+def airport_codes(silver: DataFrame) -> DataFrame:
+    """Every non-empty airport code used as origin or destination: one scan,
+    both roles exploded, then DISTINCT (partial aggregation per task)."""
+    return (
         silver.select(F.explode(F.array("icao_origin", "icao_destination")).alias("icao_airport"))
         .where(non_empty(F.col("icao_airport")))
         .distinct()
     )
+
+
+def dim_airport(silver: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
+    """The airport codes of the flights, left-joined to the registry."""
+    return dim_from_codes(airport_codes(silver), aerodromes_best, bounded)
+
+
+def dim_from_codes(codes: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
+    codes = codes.select("icao_airport").distinct()
     reg = aerodromes_best.select(
         F.col("icao").alias("_icao"), F.col("name").alias("_name"),
         F.col("municipality").alias("_municipality"), F.col("state_name").alias("_state"),

@@ -14,8 +14,9 @@ as future work; this is that load, kept equal to a full refresh:
    share their scheduled time, hence their month, so per-month dedup is the
    global dedup. The touched months drive a left-semi join on the partition
    column, so dynamic partition pruning reads only those months;
-5. the airport dimension is rebuilt from the two airport columns of silver
-   (its size is bounded by the number of airports).
+5. the batch's distinct airport codes → ``silver/airport_codes/_batch=e``
+   (a few rows per batch); the airport dimension is rebuilt from those code
+   rows, never from a rescan of silver.
 
 Every write uses dynamic partition overwrite on partitions keyed by the epoch
 or the month: a replayed epoch (after a failure) rewrites exactly what it
@@ -34,6 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from opslake import spec
 from opslake.operators.contract import quarantine
 from opslake.operators.publish import table_path
+from opslake.plans import gold
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
 from opslake.sources.csv_landing import (
@@ -113,8 +115,12 @@ class IncrementalFlights:
         obt = self.lake(bronze, {"gold.fact_flights": fact_rows}).obt
         _write(obt.withColumn(MONTH, month_key(F.col("scheduled_departure"))), root, "gold.obt_flights", [MONTH])
 
-        # 5. airport dimension from the airport columns of all silver rows
-        dim = self.lake(bronze, {"silver.vra": all_silver.drop(MONTH, BATCH)}).dim_airport
+        # 5. airport dimension from the per-batch code rows
+        codes = gold.airport_codes(batch_silver).withColumn(BATCH, epoch)
+        _write(codes, root, "silver.airport_codes", [BATCH])
+        lh = self.lake(bronze)
+        dim = gold.dim_from_codes(_read(spark, root, "silver.airport_codes"), lh.best_aerodrome,
+                                  self.registries.aerodromes_bounded)
         dim.write.mode("overwrite").parquet(table_path(root, "gold.dim_airport"))
 
 
