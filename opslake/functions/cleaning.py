@@ -38,8 +38,9 @@ def hh_mm(ts: Column | str) -> Column:
 
 def delay_minutes(scheduled: Column | str, actual: Column | str) -> Column:
     """Whole minutes from scheduled to actual, truncated toward zero
-    (negative = early); NULL when either side is NULL."""
-    return F.timestamp_diff("MINUTE", _col(scheduled), _col(actual)).cast("int")
+    (negative = early); NULL when either side is NULL. ``try_cast``: with ANSI
+    on, one absurd pair of years must not fail the whole load."""
+    return F.timestamp_diff("MINUTE", _col(scheduled), _col(actual)).try_cast("int")
 
 
 def non_empty(c: Column | str) -> Column:

@@ -53,7 +53,7 @@ def silver_flights(bronze: DataFrame, observation=None) -> DataFrame:
     derived["arrival_delay_min"] = delay_minutes(sa, aa)
     derived["minutes_recovered"] = (
         F.timestamp_diff("MINUTE", sd, ad) - F.timestamp_diff("MINUTE", sa, aa)
-    ).cast("int")
+    ).try_cast("int")
     derived[spec.COL_TRANSFORMED] = F.current_timestamp()
     return df.withColumns(derived).select(*spec.SILVER_VRA_COLUMNS)
 

@@ -71,7 +71,7 @@ def bronze_flights(spark: SparkSession, root: str) -> DataFrame:
     values = {
         "icao_airline": F.when(pk % 211 == 0, F.lit(None).cast("string")).otherwise(airline_code(F.col("l_suppkey"))),
         "flight_number": pk.cast("string"),
-        "di_code": F.element_at(F.array(*[F.lit(c) for c in DI_BY_LINENUMBER]), F.col("l_linenumber")),
+        "di_code": F.try_element_at(F.array(*[F.lit(c) for c in DI_BY_LINENUMBER]), F.col("l_linenumber")),
         "line_type_code": line_type,
         "icao_origin": icao_code(F.col("o_custkey") % 25),
         "icao_destination": F.when(pk % 223 == 0, F.lit("")).otherwise(icao_code(F.col("l_suppkey") % 25)),
