@@ -52,6 +52,19 @@ def decimal_comma(lh: Lakehouse) -> DataFrame:
                                         decimal_comma_to_double("altitude").alias("altitude_m"))
 
 
+def operation_code_usage(lh: Lakehouse) -> DataFrame:
+    """Every seed code with the number of flight rows that use it: one scan of
+    silver, both code domains exploded, partial-aggregated, then joined to the
+    13-row seed (the preserved side)."""
+    used = lh.silver_flights.select(F.explode(F.array(
+        F.struct(F.lit(spec.DOMAIN_DI).alias("domain"), c("di_code").alias("code")),
+        F.struct(F.lit(spec.DOMAIN_LINE_TYPE).alias("domain"), c("line_type_code").alias("code")),
+    )).alias("u")).select("u.*").groupBy("domain", "code").agg(_n())
+    codes = drop_audit(lh.silver_codes)
+    return codes.join(used, ["domain", "code"], "left").select(
+        "domain", "code", "description", F.coalesce(c("flights"), F.lit(0)).alias("flights"))
+
+
 def orphan_airports(lh: Lakehouse) -> DataFrame:
     fact = lh.fact.where(non_empty(c("icao_origin")))
     dim = lh.dim_airport
@@ -73,7 +86,7 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
         "mirror_flights": lambda lh: drop_audit(lh.silver_flights),
         "mirror_airlines": lambda lh: drop_audit(lh.silver_airlines),
         "mirror_aerodromes": lambda lh: drop_audit(lh.silver_aerodromes),
-        "operation_codes": lambda lh: drop_audit(lh.silver_codes),
+        "operation_codes": operation_code_usage,
         "delay_minutes": lambda lh: lh.silver_flights.groupBy(
             "departure_delay_min", "arrival_delay_min", "minutes_recovered").agg(_n()),
         "null_literals": null_literals,
