@@ -5,6 +5,7 @@ from opslake.functions.cleaning import (  # noqa: F401
     decimal_comma_to_double,
     delay_minutes,
     hh_mm,
+    minutes_between,
     non_empty,
     null_if_literal,
     safe_timestamp,

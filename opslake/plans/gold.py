@@ -20,6 +20,7 @@ from opslake.functions import (
     delay_minutes,
     flight_scope,
     hh_mm,
+    minutes_between,
     hour_of_day,
     month_anchor,
     non_empty,
@@ -102,7 +103,7 @@ def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
     c = F.col
     sd, ad, sa, aa = (c(x) for x in spec.TIMESTAMP_COLUMNS)
     dep, arr = delay_minutes(sd, ad), delay_minutes(sa, aa)
-    recovered = (F.timestamp_diff("MINUTE", sd, ad) - F.timestamp_diff("MINUTE", sa, aa)).try_cast("int")
+    recovered = (minutes_between(sd, ad) - minutes_between(sa, aa)).try_cast("int")
     base = base.withColumns({"_dep": dep, "_arr": arr, "_rec": recovered})
     out_of_range = (
         (c("_dep").isNotNull() & ~between_inclusive(c("_dep"), s.delay_min, s.delay_max))

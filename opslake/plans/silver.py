@@ -12,6 +12,7 @@ from opslake.functions import (
     decimal_comma_to_double,
     delay_minutes,
     hh_mm,
+    minutes_between,
     null_if_literal,
     safe_timestamp,
 )
@@ -52,7 +53,7 @@ def silver_flights(bronze: DataFrame, observation=None) -> DataFrame:
     derived["departure_delay_min"] = delay_minutes(sd, ad)
     derived["arrival_delay_min"] = delay_minutes(sa, aa)
     derived["minutes_recovered"] = (
-        F.timestamp_diff("MINUTE", sd, ad) - F.timestamp_diff("MINUTE", sa, aa)
+        minutes_between(sd, ad) - minutes_between(sa, aa)
     ).try_cast("int")
     derived[spec.COL_TRANSFORMED] = F.current_timestamp()
     return df.withColumns(derived).select(*spec.SILVER_VRA_COLUMNS)
