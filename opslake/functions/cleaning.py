@@ -47,11 +47,15 @@ def wall_clock_micros(ts: Column | str) -> Column:
     TIMESTAMP_NTZ goes through the session time zone and is off by an hour
     when a value falls in a DST gap of that zone; the fields are not."""
     ts = _col(ts)
+    # Sub-second micros: zone offsets are whole seconds, so the fraction of the
+    # instant equals the fraction of the wall clock (pure long arithmetic).
+    fraction = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000))
     return (
         F.unix_date(ts.cast("date")).cast("long") * F.lit(_US_PER_DAY)
         + F.hour(ts).cast("long") * F.lit(_US_PER_HOUR)
         + F.minute(ts).cast("long") * F.lit(_US_PER_MINUTE)
-        + (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long")
+        + F.second(ts).cast("long") * F.lit(1_000_000)
+        + fraction
     )
 
 

@@ -17,7 +17,6 @@ from opslake import spec
 from opslake.functions import (
     airport_country,
     between_inclusive,
-    delay_minutes,
     flight_scope,
     hh_mm,
     minutes_between,
@@ -102,9 +101,13 @@ def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
     base = distinct_keys(silver, s.dedup_keys)
     c = F.col
     sd, ad, sa, aa = (c(x) for x in spec.TIMESTAMP_COLUMNS)
-    dep, arr = delay_minutes(sd, ad), delay_minutes(sa, aa)
-    recovered = (minutes_between(sd, ad) - minutes_between(sa, aa)).try_cast("int")
-    base = base.withColumns({"_dep": dep, "_arr": arr, "_rec": recovered})
+    # Each minute difference once (long); delays and recovery derive from it.
+    base = base.withColumns({"_dep_l": minutes_between(sd, ad), "_arr_l": minutes_between(sa, aa)})
+    base = base.withColumns({
+        "_dep": c("_dep_l").try_cast("int"),
+        "_arr": c("_arr_l").try_cast("int"),
+        "_rec": (c("_dep_l") - c("_arr_l")).try_cast("int"),
+    })
     out_of_range = (
         (c("_dep").isNotNull() & ~between_inclusive(c("_dep"), s.delay_min, s.delay_max))
         | (c("_arr").isNotNull() & ~between_inclusive(c("_arr"), s.delay_min, s.delay_max))

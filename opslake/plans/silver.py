@@ -10,7 +10,6 @@ from opslake import spec
 from opslake.functions import (
     between_inclusive,
     decimal_comma_to_double,
-    delay_minutes,
     hh_mm,
     minutes_between,
     null_if_literal,
@@ -45,16 +44,16 @@ def silver_flights(bronze: DataFrame, observation=None) -> DataFrame:
     typed = {c: safe_timestamp(null_if_literal(c, spec.NULL_LITERAL)) for c in spec.TIMESTAMP_COLUMNS}
     df = df.withColumns(typed)
     sd, ad, sa, aa = (F.col(c) for c in spec.TIMESTAMP_COLUMNS)
+    # Each minute difference once (long); delays and recovery derive from it.
+    df = df.withColumns({"_dep_l": minutes_between(sd, ad), "_arr_l": minutes_between(sa, aa)})
     derived = {}
     for c in spec.TIMESTAMP_COLUMNS:
         derived[f"{c}_date"] = F.col(c).cast("date")
         derived[f"{c}_time"] = hh_mm(F.col(c))
     derived["justification_code"] = null_if_literal("justification_code", spec.NOT_APPLICABLE)
-    derived["departure_delay_min"] = delay_minutes(sd, ad)
-    derived["arrival_delay_min"] = delay_minutes(sa, aa)
-    derived["minutes_recovered"] = (
-        minutes_between(sd, ad) - minutes_between(sa, aa)
-    ).try_cast("int")
+    derived["departure_delay_min"] = F.col("_dep_l").try_cast("int")
+    derived["arrival_delay_min"] = F.col("_arr_l").try_cast("int")
+    derived["minutes_recovered"] = (F.col("_dep_l") - F.col("_arr_l")).try_cast("int")
     derived[spec.COL_TRANSFORMED] = F.current_timestamp()
     return df.withColumns(derived).select(*spec.SILVER_VRA_COLUMNS)
 
