@@ -20,8 +20,10 @@ so chunks are independent), which is exact: see tests/llm/test_packing.py.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,54 +35,127 @@ from pyspark.sql import types as T
 CAPACITY = 2048
 END_ID = 1
 POOL = 2048         # pieces that wait at most in a task
-CACHE = 300_000     # chunks whose ids are kept in a task
+CACHE = 700_000     # chunks whose ids are kept in a Python worker
 SLICE = 1_000_000   # characters tokenised at once
 PARTITION_SHIFT = 36
 
 
+class _Index(dict):
+    """chunk -> number; new chunks are numbered and listed as they come."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
+
+
 class ChunkTokenizer:
-    """Token ids of texts by way of a bounded cache of chunks between white space."""
+    """Token ids of texts by way of a bounded cache of chunks between white space.
+
+    New chunks of Latin letters (one word to the tokenizer) are encoded many at
+    a time and told apart by the ids that end words; letters with punctuation
+    after them are put together of both; all others are encoded one by one."""
+
+    PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+    JOINED = 512
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
-        self.index, self.flat = {"": 0}, np.zeros(0, np.uint32)
+        self.index, self.flat = _Index(), np.zeros(0, np.uint32)
         self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        new = list(set(chunks).difference(self.index))
+    def _plain(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of chunks of letters."""
+        texts = [" ".join(chunks[i:i + self.JOINED]) for i in range(0, len(chunks), self.JOINED)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(chunks):
+            raise ValueError("the tokenizer does not end every word with </w>")
+        return flat, np.diff(ends, prepend=0)
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries numbered ``at``, one after another, and where each ends."""
+        length = self.length[at]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.start[at] - (ends - length), length) + np.arange(total)], ends
+
+    def _append(self, numbers: np.ndarray, flat: np.ndarray, length: np.ndarray) -> None:
+        self.start[numbers] = len(self.flat) + np.cumsum(length) - length
+        self.length[numbers] = length
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _learn(self) -> None:
+        new, known = self.index.new, len(self.length)
         if not new:
             return
-        if len(self.index) + len(new) > CACHE:
-            self._reset()
-            new = list(set(chunks).difference(self.index))
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        n = len(self.index)
-        self.index.update(zip(new, range(n, n + len(new))))
+        plain, other, whole, left, right = [], [], [], [], []
+        for k, chunk in enumerate(new, known):  # letters and marks of a chunk join the list while it is read
+            m = self.PLAIN.fullmatch(chunk)
+            if not m:
+                other.append(k)
+            elif m[2]:
+                whole.append(k)
+                left.append(self.index[m[1]])
+                right.append(self.index[m[2]])
+            else:
+                plain.append(k)
+        grown = np.zeros(len(new), np.int64)
+        self.start, self.length = np.concatenate([self.start, grown]), np.concatenate([self.length, grown])
+        self._append(np.array(plain, np.int64), *self._plain([new[k - known] for k in plain]))
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([new[k - known] for k in other], add_special_tokens=False)]
         length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for some in ids for x in some), np.uint32, int(length.sum()))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, flat])
+        self._append(np.array(other, np.int64), np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum())), length)
+        pairs = np.array([left, right], np.int64).T.ravel()
+        flat, ends = self._gather(pairs)
+        self._append(np.array(whole, np.int64), flat, np.diff(ends[1::2], prepend=0))
+        self.index.new = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; equal to encoding the whole texts."""
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        chunks = [c for s in split for c in s]
-        self._learn(chunks)
-        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-        length = self.length[at]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[at] - (ends - length), length) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(s) for s in split])])]
+        if len(self.index) > CACHE:
+            self._reset()
+        split = [self._lower(t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self._learn()
+        ids, ends = self._gather(at)
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
+    @staticmethod
+    def _lower(text: str) -> str:
+        """Latin-1 texts in lower case, as the tokenizer does first; others as they are."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
+
+
+_TOKENIZERS: dict[str, ChunkTokenizer] = {}
+
+
+def worker_tokenizer(path: str) -> ChunkTokenizer:
+    """One tokenizer and cache for each Python worker, kept across its tasks."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = ChunkTokenizer(path)
+    return _TOKENIZERS[path]
+
 
 class Packer:
     """Packs pieces into sequences; ``out`` gets (key, start, ids, total, sequence, offset)."""
@@ -215,7 +290,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, max_seg
         return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkTokenizer(tokenizer_path)
+        encoder = worker_tokenizer(tokenizer_path)
         packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << PARTITION_SHIFT)
         end = np.array([end_id], np.uint32)
         for batch in batches:
