@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 CAPACITY = 2048
 END_ID = 1
 POOL = 2048         # pieces that wait at most in a task
-CACHE = 700_000     # chunks whose ids are kept in a Python worker
+CACHE = 1_200_000     # chunks whose ids are kept in a Python worker
 SLICE = 1_000_000   # characters tokenised at once
 PARTITION_SHIFT = 36
 
