@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslake.llm import embedding_dedup, language_model, packing, secrets, simhash
+from opslake.llm import embedding_dedup, language_model, licenses, packing, quality, secrets, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.op1_simhash,
         "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op5_secret_scan": secrets.op5_secret_scan,
+        "op6_url_filter": url_filter.op6_url_filter,
         "op7_lm_scoring": language_model.op7_lm_scoring,
+        "op8_quality_rules": quality.op8_quality_rules,
         "op9_packing": packing.op9_packing,
+        "op10_license_scan": licenses.op10_license_scan,
     }
 
 
