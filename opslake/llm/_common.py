@@ -108,3 +108,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("component contraction did not converge")
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+
+
+def sized(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Hint a broadcast of a written table of narrow rows if it is counted to
+    hold at most ``max_rows``; beyond that the join shuffles both sides."""
+    return F.broadcast(df) if df.count() <= max_rows else df
