@@ -10,8 +10,8 @@ the few substrings whose shift the other segments can still make up for
 bit-parallel edit distance.
 
 Scale: texts are never shuffled whole. One shuffle holds a hashed key for each
-segment and probe (12 a line for 2 edits), partially aggregated, so a line that
-is a third of all rows is one entry a task. Only lines whose key meets another
+segment and probe (12 a line for 2 edits); a batch enters a line once, so a line
+that is a third of all rows is one entry a batch. Only lines whose key meets another
 line's (some percent) move with their text. A key with more than ``BLOCK`` lines
 is cut into blocks whose pairs go to different tasks. No pair is emitted: a task
 reports lines that have an earlier neighbour.
@@ -20,10 +20,12 @@ reports lines that have an earlier neighbour.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm._common import read_table, sized, written
@@ -31,8 +33,8 @@ from opslake.llm._common import read_table, sized, written
 MAX_EDITS = 2
 MIN_CHARS = 40
 BLOCK = 1024
+LINES = 8192  # lines whose keys are made at once
 BLANKS = " \t\r\x0b\x0c"
-POSITION = "struct<doc:bigint,copy:bigint,line:int>"
 
 
 def within(a: str, b: str, limit: int) -> bool:
@@ -100,42 +102,101 @@ def lines_of(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> Dat
     return d.select("*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
 
 
-def segment_keys(line: Column, max_edits: int) -> Column:
-    """Array of (key, own): the line's own segments (own = 1) and its probes."""
-    parts, length, keys = max_edits + 1, F.length(line), []
+@lru_cache(maxsize=1 << 14)
+def key_plan(length: int, max_edits: int) -> tuple[list[tuple[int, int, int]], int]:
+    """(start, end, seed) of the substrings a line of this length is entered or
+    probes under, and how many of them, the first, are its own segments. The
+    seed tells the indexed line's length and the segment's number."""
+    parts, own, probes = max_edits + 1, [], []
     for short in range(parts):  # the indexed line may be shorter by so much
         n = length - short
-        size, longer = F.floor(n / parts).cast("int"), n % parts  # the last ``longer`` segments have one more
+        if n < parts:
+            continue
+        first_long = parts - n % parts  # the last segments have one more
         for i in range(parts):
-            first_long = parts - longer
-            own_size = size + F.when(F.lit(i) >= first_long, 1).otherwise(0)
-            start = size * i + F.greatest(F.lit(0), F.lit(i) - first_long)
+            size = n // parts + (i >= first_long)
+            start = n // parts * i + max(0, i - first_long)
             for by in range(max(-i, short - (max_edits - i)), min(i, short + max_edits - i) + 1):
-                at = start + by
-                key = F.xxhash64(F.lit(i), n, F.substring(line, at + 1, own_size))
-                own = int(short == 0 and by == 0)
-                keys.append(F.when((at >= 0) & (at + own_size <= length) & (n > 0),
-                                   F.struct(key.alias("key"), F.lit(own).alias("own"))))
-    return F.array(*keys)
-
-
-def _keyed(lines: DataFrame, max_edits: int, *cols: str) -> DataFrame:
-    got = lines.select(*cols, F.explode(segment_keys(F.col("text"), max_edits)).alias("k"))
-    return got.where("k IS NOT NULL").select(*cols, F.col("k.key").alias("key"), F.col("k.own").alias("own"))
-
-
-def near_lines(lines: DataFrame, max_edits: int, block: int = BLOCK) -> DataFrame:
+                if 0 <= start + by and start + by + size <= length:
+                    (own if short == by == 0 else probes).append((start + by, start + by + size, n * parts + i))
+    return own + probes, len(own)
+
+
+def line_keys(docs: DataFrame, max_edits: int, min_chars: int, text_col: str) -> DataFrame:
+    """(key, line): hashed segments and probes of every line that is compared,
+    each line once a batch. ``line`` is the line's hash (as Spark's xxhash64)
+    with its lowest bit set where the key is one of its own segments."""
+    src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    def entries(lines: list[str]) -> pa.RecordBatch:
+        digest = xxhash.xxh64_intdigest
+        plans = [key_plan(len(s), max_edits) for s in lines]
+        keys = np.array([digest(s[a:b], seed) for s, (plan, _) in zip(lines, plans) for a, b, seed in plan], np.uint64)
+        count = np.array([len(plan) for plan, _ in plans])
+        rank = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
+        line = np.array([digest(s, 42) for s in lines], np.uint64).view(np.int64) & ~np.int64(1)
+        line = np.repeat(line, count) | (rank < np.repeat([own for _, own in plans], count))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(line)], ["key", "line"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines: set[str] = set()
+            for t in batch.column(0):
+                if t.is_valid:
+                    lines.update(s.strip(BLANKS) for s in t.as_py().split("\n") if len(s) >= min_chars)
+            some = [s for s in lines if len(s) >= min_chars]
+            for at in range(0, len(some), LINES):
+                yield entries(some[at:at + LINES])
+
+    return src.mapInArrow(run, "key long, line long")
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (key, line) rows sorted by key, those whose key has an own segment of
+    one line and any entry of another. Runs may span batches: of an unfinished
+    run only the distinct rows seen so far are held until a second line shows."""
+    held = np.zeros((0, 2), np.int64)
+
+    def good(rows: np.ndarray) -> np.ndarray:
+        if not len(rows):
+            return rows
+        start = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        name = rows[:, 1] >> 1
+        some_own = np.maximum.reduceat(rows[:, 1] & 1, start) > 0
+        two = np.minimum.reduceat(name, start) != np.maximum.reduceat(name, start)
+        return rows[np.repeat(some_own & two, np.diff(np.append(start, len(rows))))]
+
+    def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(rows := good(rows)):
+            rows = np.unique(rows, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["key", "line"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.concatenate([held, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)])
+        last = rows[:, 0] == rows[-1, 0]
+        held = np.unique(rows[last], axis=0)
+        yield from out(rows[~last])
+    yield from out(held)
+
+
+def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, min_chars: int, text_col: str,
+               block: int = BLOCK) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within
-    ``max_edits`` edits. ``lines`` is that of ``lines_of``."""
-    keys = _keyed(lines, max_edits, "h1").groupBy("key").agg(
-        F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("own").alias("own"))
-    met = written(keys.where("low <> high AND own = 1").select("key"), "line-keys")
+    ``max_edits`` edits. ``lines`` is ``lines_of(docs)``."""
+    met = line_keys(docs, max_edits, min_chars, text_col).repartition("key").sortWithinPartitions("key").mapInArrow(
+        _meeting, "key long, line long")
+    met = written(met.select("key", F.col("line").bitwiseAND(F.lit(-2)).alias("name"),
+                             F.col("line").bitwiseAND(F.lit(1)).alias("own")).distinct(), "line-keys")
     # An earlier instance comes first: null ids last, then by id, text and line number.
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
-    members = _keyed(lines.withColumn("place", place), max_edits, "h1", "h2", "text", "place").join(
-        sized(met), "key", "left_semi")
-    members = written(members.groupBy("key", "h1", "h2").agg(
-        F.max("own").alias("own"), F.min("place").alias("place"), F.first("text").alias("text")), "line-members")
+    names = written(met.select("name").distinct(), "line-names")
+    texts = lines.drop("h2").withColumn("name", F.col("h1").bitwiseAND(F.lit(-2))).join(sized(names), "name", "left_semi")
+    texts = texts.withColumn("h2", F.xxhash64(F.lit(1), "text")).groupBy("name", "h1", "h2").agg(
+        F.min(place).alias("place"), F.first("text").alias("text"))
+    members = written(met.join(texts, "name").groupBy("key", "h1", "h2").agg(
+        F.max("own").alias("own"), F.first("place").alias("place"), F.first("text").alias("text")), "line-members")
     members = members.select("key", "h1", "h2", "own", "text", "place.*")
     hot = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block), "line-hot")
     m = members.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("side", F.lit(0))
@@ -196,7 +257,7 @@ def removed_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
                   text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, copy, lines): the line numbers (from 0) that go, by document."""
     lines = lines_of(docs, min_chars, id_col, text_col)
-    near = written(near_lines(lines, max_edits, block), "line-near").withColumn("near", F.lit(True))
+    near = written(near_lines(docs, lines, max_edits, min_chars, text_col, block), "line-near").withColumn("near", F.lit(True))
     every = written(lines.select("doc", "copy", "line", "h1", "h2"), "lines")
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
     classes = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(
