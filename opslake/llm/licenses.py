@@ -49,6 +49,7 @@ TEMPLATES = [
      ["creative commons attribution"]),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license",
      ["creative commons attribution sharealike"]),
+    ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
     ("mit", "released under the mit license", ["mit license"]),
     ("gpl", "licensed under the gnu general public license", ["gnu general public license"]),
 ]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm._common import SPACE_CLASS, read_table
+from opslake.llm._common import SPACE_CLASS, read_table, written
 
 BUCKETS = 1 << 14
 MAX_TRUSTED = 200_000
@@ -40,8 +40,10 @@ def _joined(left: Column, right: Column, by: int) -> Column:
 
 
 def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, word, pair): hashes of every word and every word pair."""
-    d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    """(row, doc_id, text, word, pair): the whole row, and the hashes of every
+    word and every word pair of its text."""
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                    F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     d = d.select("*", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("word"))
     return d.select("*", _joined(F.col("word"), F.col("word"), 1).alias("pair"))
@@ -56,6 +58,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     grams = d.select(F.explode(F.concat("word", "pair")).alias("h"), F.coalesce("target", F.lit(0)).alias("t"))
     counts = grams.groupBy(F.pmod("h", F.lit(BUCKETS)).cast("int").alias("b")).agg(
         F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
+    counts = written(counts, "gram-counts")  # at most BUCKETS rows
     sums = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     # Buckets without a gram get the ratio of the two add-one shares as well.
     share = lambda n, total: F.log((n + 1.0) / (F.coalesce(total, F.lit(0)) + float(BUCKETS)))
@@ -90,7 +93,8 @@ def base_counts(d: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, the base counts, base_failed, score, kept.
+    """One row per row of ``docs``: row (the whole row), doc_id, the base counts,
+    base_failed, score, kept.
 
     Defined cases: null texts count as empty (no words, so base_failed); null
     ids and repeated rows stay rows; with no trusted documents the target is
@@ -102,8 +106,15 @@ def judge(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_
     total = F.aggregate(grams, F.lit(0.0), lambda acc, h: acc + F.get("ratios", F.pmod(h, F.lit(BUCKETS)).cast("int")))
     d = d.withColumn("score", F.when(F.size(grams) > 0, total / F.size(grams)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    failed.alias("base_failed"), (~failed & (F.col("score") >= min_score)).alias("kept"), "score")
+    return d.select("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    failed.alias("base_failed"),
+                    (~failed & F.coalesce(F.col("score") >= min_score, F.lit(False))).alias("kept"), "score")
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with unchanged columns."""
+    return judge(docs, trusted, min_score, id_col, text_col).where("kept").select("row.*")
 
 
 def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -116,4 +127,4 @@ def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Contract query: counts and verdict of every document."""
-    return judge(read_table(spark, sf_dir, "documents"), trusted_ids(read_table(spark, sf_dir, "labels")))
+    return judge(read_table(spark, sf_dir, "documents"), trusted_ids(read_table(spark, sf_dir, "labels"))).drop("row")

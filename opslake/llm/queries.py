@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslake.llm import embedding_dedup, language_model, licenses, line_dedup, packing, quality, secrets, simhash, url_filter
+from opslake.llm import embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality, secrets, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.op1_simhash,
         "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op4_source_mixing": mixing.op4_source_mixing,
         "op5_secret_scan": secrets.op5_secret_scan,
         "op6_url_filter": url_filter.op6_url_filter,
         "op7_lm_scoring": language_model.op7_lm_scoring,
