@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from opslake.llm._common import read_table, sized, written
 
 BLOCK = 16
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 1_000
 FINE_BITS = 12     # hash ranges of a source that are counted
 MAX_SOURCES = 64  # sources with a share of their own; the others have one together
 GRAIN = 100       # share of the largest source in derived weights

@@ -114,7 +114,10 @@ def judge(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_
 def keep_good(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with unchanged columns."""
-    return judge(docs, trusted, min_score, id_col, text_col).where("kept").select("row.*")
+    # Not where("kept"): the optimizer moves a filter below the projections and so writes out all their
+    # expressions inside one another. A generator stays where it is.
+    row = F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")
+    return judge(docs, trusted, min_score, id_col, text_col).select(row).select("row.*")
 
 
 def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
