@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opslake.llm._common import read_table
+
 CAPACITY = 2048
 END_ID = 1
 POOL = 2048         # pieces that wait at most in a task
-CACHE = 1_200_000     # chunks whose ids are kept in a Python worker
+CACHE = 900_000     # chunks whose ids are kept in a Python worker
 SLICE = 1_000_000   # characters tokenised at once
 PARTITION_SHIFT = 36
 
@@ -326,6 +328,4 @@ def tokenizer_file() -> str:
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
     """Contract query: the pieces of all documents."""
-    from opslake.llm._common import read_table
-
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_file())

@@ -2,8 +2,8 @@
 
 Base rules count words, symbols, repeated lines and repeated 5-word windows.
 The method hashes every text's words and word pairs into ``BUCKETS`` buckets and
-fits two add-one multinomials: one of the raw corpus (all documents), one of the
-trusted target (documents labelled quality 1, not toxic). A document's score is
+fits two multinomials: one of the raw corpus (all documents, add-one), one of the
+trusted target (documents labelled quality 1, not toxic), smoothed towards the first. A document's score is
 the mean log-likelihood ratio of its n-grams; it fails below ``MIN_SCORE``.
 
 Scale: two scans of the texts, no text is shuffled. Counts are partially
@@ -22,6 +22,7 @@ from opslake.llm._common import SPACE_CLASS, read_table, written
 
 BUCKETS = 1 << 14
 MAX_TRUSTED = 200_000
+PRIOR = 1_000.0        # n-grams of the raw corpus that the target starts from
 MIN_SCORE = -0.15      # mean log ratio (nats an n-gram) below which a document fails
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 WINDOW = 5
@@ -60,12 +61,12 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
         F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
     counts = written(counts, "gram-counts")  # at most BUCKETS rows
     sums = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
-    # Buckets without a gram get the ratio of the two add-one shares as well.
-    share = lambda n, total: F.log((n + 1.0) / (F.coalesce(total, F.lit(0)) + float(BUCKETS)))
     at = sums.select("raws", "targets", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("b")).join(
         counts, "b", "left")
-    ratio = at.select("b", (share(F.coalesce("target", F.lit(0)), F.col("targets"))
-                            - share(F.coalesce("raw", F.lit(0)), F.col("raws"))).alias("r"))
+    # The raw share with add-one smoothing is the prior mean of the target share: without target text all ratios are 0.
+    raw = (F.coalesce("raw", F.lit(0)) + 1.0) / (F.coalesce("raws", F.lit(0)) + float(BUCKETS))
+    target = (F.coalesce("target", F.lit(0)) + PRIOR * raw) / (F.coalesce("targets", F.lit(0)) + PRIOR)
+    ratio = at.select("b", F.log(target / raw).alias("r"))
     return ratio.agg(F.transform(F.sort_array(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("float")).alias("ratios"))
 
 
@@ -97,9 +98,9 @@ def judge(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, id_
     base_failed, score, kept.
 
     Defined cases: null texts count as empty (no words, so base_failed); null
-    ids and repeated rows stay rows; with no trusted documents the target is
-    uniform over the buckets; an empty table gives an empty result; very long
-    texts are judged whole; extra columns are ignored."""
+    ids and repeated rows stay rows; with no trusted documents every score is 0;
+    an empty table gives an empty result; very long texts are judged whole;
+    extra columns are ignored."""
     ratios = log_ratios(docs, trusted, id_col, text_col).scalar()
     d = base_counts(hashed(docs, id_col, text_col)).withColumn("ratios", ratios)
     grams = F.concat("word", "pair")

@@ -104,7 +104,8 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", max_bytes: in
             for t in b.column(0):
                 if t.is_valid:
                     seen.update(t.as_py().split())
-            words = [w for w in seen if 4 <= len(w) <= 32]
+            # A copied secret must not prime the compressor for itself.
+            words = [w for w in seen if 4 <= len(w) < 16 or len(w) <= 32 and not any(c.isdigit() for c in w)]
             if words:
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())],
                                                  ["word", "n"])

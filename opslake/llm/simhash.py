@@ -20,14 +20,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from opslake.llm._common import connected_components, written
+from opslake.llm._common import connected_components, read_table, sized, written
 
 BITS = 64
 SEED = 42
@@ -59,18 +57,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) for every row of ``docs``; fp is the fingerprint as a signed long.
+    """(id, copy, fp) for every row of ``docs``; fp is the fingerprint as a
+    signed long, copy the text's hash, which tells rows with one id apart.
 
     Null texts count as empty (fingerprint 0); null ids and repeated rows stay
     rows of their own; other columns are not read."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(f"`{text_col}`").cast("string")
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("copy"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["id", "copy", "fp"])
 
-    return src.mapInArrow(run, T.StructType([T.StructField("id", T.LongType()), T.StructField("fp", T.LongType())]))
+    return src.mapInArrow(run, "id long, copy long, fp long")
 
 
 def links(distinct_fps: DataFrame, max_bits: int = 3) -> DataFrame:
@@ -120,53 +120,44 @@ def components(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 
 def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, fp (signed long), grp, component_id.
+    """One row per row of ``docs``: id, copy, fp (signed long), grp, component_id.
 
     Defined cases: null or empty texts have fingerprint 0 and link like any
     other; null ids never name a component unless it has no other id; repeated
     rows give repeated result rows; an empty table gives an empty result; extra
     columns, whatever their names, are ignored."""
     fps = written(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    return fps.join(components(fps, max_bits), "fp").select("id", "fp", "grp", "component_id")
+    return fps.join(components(fps, max_bits), "fp").select("id", "copy", "fp", "grp", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of every component the row with the
-    smallest id. Where several rows of a component carry that id (repeated
-    rows), the one with the smallest row hash stays. Columns are unchanged."""
-    cols = docs.columns
-    key = F.col(f"`{id_col}`").cast("long")
-    every = written(simhash_components(docs, shingle, max_bits, id_col, text_col), "simhash-rows")
-    stays = F.col("id").eqNullSafe(F.col("component_id"))
-    per_id = every.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(stays).alias("any"))
-    per_id = per_id.where("any").select(F.col("id").alias("__keep_id"), "n")
-    alone = (F.col("n") == 1) & F.col("__keep_id").isNotNull()
-    first = docs.join(per_id.where(alone).select("__keep_id"), key == F.col("__keep_id"), "left_semi")
-    # Ids that stand on several rows, and null ids: the fingerprint tells the row's component.
-    rest = docs.join(per_id.where(~alone).select("__keep_id"), key.eqNullSafe(F.col("__keep_id")), "left_semi")
-    back = every.where(stays).select(F.col("id").alias("__k_id"), F.col("fp").alias("__k_fp"), "grp").distinct()
-    plain = [F.col(f"`{c}`") for c, kind in rest.dtypes if "map<" not in kind]
-
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(fingerprint(t, shingle)) for t in texts], dtype="int64")
-
-    rows = rest.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.xxhash64(*plain).alias("tie"),
-                       key.alias("__id"), fp(F.col(f"`{text_col}`").cast("string")).alias("__fp"))
-    rows = rows.join(back, F.col("__id").eqNullSafe(F.col("__k_id")) & (F.col("__fp") == F.col("__k_fp")))
-    chosen = rows.groupBy("grp").agg(F.min_by("row", "tie").alias("row")).select("row.*")
+    smallest id. Where several rows of a component carry that id, the smallest
+    text hash decides, then the smallest hash of the whole row. Columns are
+    unchanged."""
+    key, copy = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    every = simhash_components(docs, shingle, max_bits, id_col, text_col)
+    stay = every.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("grp", "id", "copy").agg(
+        F.count(F.lit(1)).alias("n"))
+    stay = written(stay.groupBy("grp").agg(F.min(F.struct("copy", "id", "n")).alias("s")).select(
+        F.col("s.id").alias("__sh_id"), F.col("s.copy").alias("__sh_copy"), F.col("s.n").alias("__sh_n")), "simhash-keep")
+    same = key.eqNullSafe(F.col("__sh_id")) & (copy == F.col("__sh_copy"))
+    once = docs.join(sized(stay), same, "left_semi")
+    again = stay.where("__sh_n > 1")
+    if again.isEmpty():
+        return once
+    # Repeated rows that stay: one of each.
+    first = docs.join(sized(stay.where("__sh_n = 1")), same, "left_semi")
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    rows = docs.join(sized(again), same).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(*plain).alias("tie"), "__sh_id", "__sh_copy")
+    chosen = rows.groupBy("__sh_id", "__sh_copy").agg(F.min_by("row", "tie").alias("row")).select("row.*")
     return first.unionByName(chosen)
 
 
-def _signed(x: int) -> int:
-    return x - (1 << BITS) if x >= 1 << (BITS - 1) else x
-
-
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Contract query: doc_id, fingerprint, component_id of every document."""
-    from opslake.llm._common import read_table
-
     got = simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return got.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       "component_id")
