@@ -29,6 +29,7 @@ class Sources:
     codes: DataFrame
     aerodromes_bounded: bool = False
     airlines_bounded: bool = False
+    checks: list = field(default_factory=list)  # landing checks to verify once bronze is written
 
 
 @dataclass

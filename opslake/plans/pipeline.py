@@ -86,6 +86,8 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     wave([("bronze.vra", sources.flights, {})]
          + [(registry_table[f], df, {}) for f, df in sources.airline_registries.items()]
          + [("bronze.aerodromos", sources.aerodromes, {}), ("bronze.operation_codes", sources.codes, {})])
+    for check in sources.checks:
+        check.verify()
     res.seconds["bronze"] = time.time() - t0
 
     # silver reads the written bronze

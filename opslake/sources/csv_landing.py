@@ -9,13 +9,16 @@ file with a preamble line before its header is read like this:
   or too few fields keeps its leading values and carries the raw line.
 * ``columnPruning=false``: with pruning on, selecting a subset of columns
   silently blanks the rescue column.
-* The header line of every file is recognised as a row made only of header
-  names; every header row (one per file) must list them in the expected
-  order with nothing extra, else landing fails loudly (the schema is
-  positional).
-* The preamble line is recognised as rescued *and* matching a pattern (by
-  default: a line with no separator at all). A data row is never dropped just
-  because it was rescued.
+* A row that holds at least half of the header names is a header. One that
+  isn't the expected list in the expected order, or has more fields, fails the
+  load in the same pass (the schema is positional).
+* The preamble is a rescued line that matches a pattern (by default: without
+  any separator) in the first block of its file. Nothing else is left out.
+* Headers and preambles are counted by ``observe`` on the bronze write. A load
+  whose files do not have one header and ``preamble_lines`` preambles each fails
+  before silver (``LandingCheck.verify``), so a truncated line that looks like
+  a preamble, or a file without a header, is never lost or loaded silently. No
+  job runs while a landing is built.
 * Provenance comes from ``_metadata.file_name``.
 
 Multi-file globs are split across tasks by Spark (uncompressed CSV is
@@ -24,10 +27,11 @@ splittable), so landing scales with the number and size of files.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -74,38 +78,63 @@ def reader_options(fmt: CsvFormat) -> dict[str, str]:
     return opts
 
 
+@dataclass
+class LandingCheck:
+    """What a bronze load saw of headers and preambles, to verify after it. In
+    a micro-batch the number of files isn't known beforehand (None); then the
+    files that gave rows are the least number of headers."""
+
+    label: str
+    files: int | None
+    preamble_lines: int
+    observation: Observation
+
+    def verify(self, at_least: int = 0) -> dict[str, int]:
+        got = {k: int(v or 0) for k, v in self.observation.get.items()}
+        files = max(got["headers"], at_least) if self.files is None else self.files
+        want = {"headers": files, "preambles": files * self.preamble_lines}
+        if got != want:
+            raise HeaderMismatch(f"{self.label}: {files} files have {got}, expected {want}")
+        return got
+
+
 def clean_landing(raw: DataFrame, header: list[str], fmt: CsvFormat = UTF8_QUOTED,
-                  check_header: bool = True) -> DataFrame:
-    """Drop header and preamble lines of parsed rows (batch or a micro-batch)."""
-    raw = raw.select("*", F.col("_metadata.file_name").alias("_file")) if "_file" not in raw.columns else raw
-    expected = F.array(*[F.lit(h) for h in header])
-    got = F.array(*[F.col(f"_c{i}") for i in range(len(header))])
-    # A header row holds only header names (in any order); a data row never does.
-    is_header = F.size(F.array_except(got, expected)) == 0
+                  observation: Observation | None = None) -> DataFrame:
+    """Parsed rows (batch or a micro-batch) without header and preamble lines;
+    ``observation`` counts both. A wrong header raises when the rows are read."""
+    if "_file" not in raw.columns:
+        raw = raw.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    rescued = F.col(spec.COL_RESCUED)
+    got = F.array(*[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(len(header))])
+    names = F.array(*[F.lit(h) for h in header])
+    is_header = 2 * F.size(F.array_intersect(got, names)) >= len(header)
+    exact = (got == names) & rescued.isNull()
+    message = F.concat(F.lit("unexpected header in "), F.col("_file"), F.lit(f"; expected {header}"))
+    is_preamble = F.lit(False)
     if fmt.preamble_lines:
         pattern = fmt.preamble_regex or f"^[^{re.escape(fmt.sep)}]*$"
-        is_preamble = F.col(spec.COL_RESCUED).isNotNull() & F.col(spec.COL_RESCUED).rlike(pattern)
-    else:
-        is_preamble = F.lit(False)
-
-    if check_header:
-        # One row per file reaches the driver, only when a header is wrong:
-        # reordered, renamed, or with extra fields.
-        wrong = is_header & ((got != expected) | F.col(spec.COL_RESCUED).isNotNull())
-        bad = raw.where(wrong).select("_file").limit(5).collect()
-        if bad:
-            raise HeaderMismatch(f"unexpected header in {[r._file for r in bad]}; expected {header}")
-
-    data = raw.where(~F.coalesce(is_header | is_preamble, F.lit(False)))
-    return data.select(*[F.col(f"_c{i}").alias(h) for i, h in enumerate(header)], spec.COL_RESCUED, "_file")
+        is_preamble = F.coalesce((F.col("_block") == 0) & rescued.rlike(pattern), F.lit(False))
+    kind = (F.when(is_header & exact, F.lit("header")).when(is_header, F.raise_error(message).cast("string"))
+            .when(is_preamble, F.lit("preamble")).otherwise(F.lit("data")))
+    rows = raw.withColumn("_kind", kind)
+    if observation is not None:
+        rows = rows.observe(observation, F.count_if(F.col("_kind") == "header").alias("headers"),
+                            F.count_if(F.col("_kind") == "preamble").alias("preambles"))
+    return rows.where(F.col("_kind") == "data").select(
+        *[F.col(f"_c{i}").alias(h) for i, h in enumerate(header)], spec.COL_RESCUED, "_file")
 
 
 def read_landing(spark: SparkSession, path: str, header: list[str], fmt: CsvFormat = UTF8_QUOTED,
-                 check_header: bool = True) -> DataFrame:
+                 checks: list[LandingCheck] | None = None) -> DataFrame:
     """All-string rows of the files under ``path`` (glob allowed), columns
-    named as in ``header``, plus ``_rescued_data`` and ``_file``."""
+    named as in ``header``, plus ``_rescued_data`` and ``_file``. With ``checks``,
+    a check to verify after the rows are written is added to it."""
     raw = spark.read.format("csv").schema(landing_schema(header)).options(**reader_options(fmt)).load(path)
-    return clean_landing(raw, header, fmt, check_header)
+    if checks is None:
+        return clean_landing(raw, header, fmt)
+    seen = Observation(f"landing:{len(checks)}:{os.path.basename(path)}")
+    checks.append(LandingCheck(path, len(raw.inputFiles()), fmt.preamble_lines, seen))
+    return clean_landing(raw, header, fmt, seen)
 
 
 def flights_bronze(df: DataFrame) -> DataFrame:
@@ -119,23 +148,26 @@ def flights_bronze(df: DataFrame) -> DataFrame:
     )
 
 
-def land_flights(spark: SparkSession, path: str, fmt: CsvFormat = UTF8_QUOTED) -> DataFrame:
+def land_flights(spark: SparkSession, path: str, fmt: CsvFormat = UTF8_QUOTED,
+                 checks: list[LandingCheck] | None = None) -> DataFrame:
     """bronze.vra: the 12 source columns as text, rescued raw line, source file,
     ingestion time."""
     header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
-    return flights_bronze(read_landing(spark, path, header, fmt))
+    return flights_bronze(read_landing(spark, path, header, fmt, checks))
 
 
-def land_aerodromes(spark: SparkSession, path: str, fmt: CsvFormat = LATIN1_UNQUOTED) -> DataFrame:
+def land_aerodromes(spark: SparkSession, path: str, fmt: CsvFormat = LATIN1_UNQUOTED,
+                    checks: list[LandingCheck] | None = None) -> DataFrame:
     header = [raw for raw, _ in spec.AERODROME_SOURCE_COLUMNS]
-    df = read_landing(spark, path, header, fmt)
+    df = read_landing(spark, path, header, fmt, checks)
     return rename(df, spec.AERODROME_SOURCE_COLUMNS).withColumn(spec.COL_INGESTED, F.current_timestamp())
 
 
-def land_airlines(spark: SparkSession, path: str, file_label: str, fmt: CsvFormat = UTF8_QUOTED) -> DataFrame:
+def land_airlines(spark: SparkSession, path: str, file_label: str, fmt: CsvFormat = UTF8_QUOTED,
+                  checks: list[LandingCheck] | None = None) -> DataFrame:
     """One airline registry file; provenance is the given file name (SRC6)."""
     header = [raw for raw, _ in spec.AIRLINE_SOURCE_COLUMNS]
-    df = read_landing(spark, path, header, fmt)
+    df = read_landing(spark, path, header, fmt, checks)
     return rename(df, spec.AIRLINE_SOURCE_COLUMNS).select(
         "*", F.lit(file_label).alias(spec.COL_SOURCE_FILE), F.current_timestamp().alias(spec.COL_INGESTED))
 
@@ -146,15 +178,17 @@ def csv_sources(spark: SparkSession, flights_glob: str, references_dir: str):
     from opslake.plans.lakehouse import Sources
     from opslake.sources.seeds import operation_codes
 
+    checks: list[LandingCheck] = []
     registries = {
-        f: land_airlines(spark, f"{references_dir}/{f}", f)
+        f: land_airlines(spark, f"{references_dir}/{f}", f, checks=checks)
         for f in (spec.NATIONAL_AIRLINES_FILE, spec.FOREIGN_AIRLINES_FILE)
     }
     return Sources(
-        flights=land_flights(spark, flights_glob),
+        flights=land_flights(spark, flights_glob, checks=checks),
         airline_registries=registries,
-        aerodromes=land_aerodromes(spark, f"{references_dir}/AerodromosPublicos.csv"),
+        aerodromes=land_aerodromes(spark, f"{references_dir}/AerodromosPublicos.csv", checks=checks),
         codes=operation_codes(spark),
         aerodromes_bounded=False,
         airlines_bounded=False,
+        checks=checks,
     )

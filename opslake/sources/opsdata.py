@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake import spec
-from opslake.sources.tables import read_table, spread
+from opslake.sources.tables import read_table
 
 # Fixture parameters (FIXTURES.md §4): modulus → branch.
 DI_BY_LINENUMBER = ["0", "2", "3", "4", "D", "E", "1"]
@@ -30,7 +30,7 @@ def icao_code(k: Column) -> Column:
 
 
 def airline_code(suppkey: Column) -> Column:
-    return F.concat(F.lit("A"), F.lpad(suppkey.cast("string"), 4, "0"))
+    return F.format_string("A%04d", suppkey.cast("long"))  # padded, never cut
 
 
 def _text_ts(ts: Column) -> Column:
@@ -41,8 +41,8 @@ def _text_ts(ts: Column) -> Column:
 def bronze_flights(spark: SparkSession, root: str) -> DataFrame:
     """bronze.vra: one row per line item, plus an exact copy for every line of
     an order whose key is a multiple of 100 (the duplicates gold removes)."""
-    li = spread(read_table(spark, root, "lineitem",
-                           ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"]))
+    li = read_table(spark, root, "lineitem",
+                    ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"])
     od = read_table(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
 

@@ -18,19 +18,3 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
         path = os.path.join(root, name)
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a too-narrow input at least one partition per core.
-
-    A scan yields one task per Parquet row group; small inputs stored as a
-    single row group would otherwise run every downstream narrow operator in
-    one task. On large inputs the scan already has more splits than cores and
-    this is a no-op (no shuffle is added).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 — sessions without RDD access (Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if narrow else df

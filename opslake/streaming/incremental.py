@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,6 +41,7 @@ from opslake.session import output_root
 from opslake.sources.csv_landing import (
     UTF8_QUOTED,
     CsvFormat,
+    LandingCheck,
     clean_landing,
     flights_bronze,
     landing_schema,
@@ -89,9 +90,12 @@ class IncrementalFlights:
         epoch = F.lit(int(epoch_id))
 
         # 1. bronze
-        bronze = flights_bronze(clean_landing(batch, header, self.fmt)).withColumn(BATCH, epoch)
+        seen = Observation(f"landing:{epoch_id}")
+        check = LandingCheck(f"batch {epoch_id}", None, self.fmt.preamble_lines, seen)
+        bronze = flights_bronze(clean_landing(batch, header, self.fmt, seen)).withColumn(BATCH, epoch)
         _write(bronze, root, "bronze.vra", [BATCH])
         bronze = _read(spark, root, "bronze.vra").where(F.col(BATCH) == epoch).drop(BATCH)
+        check.verify(at_least=bronze.select(spec.COL_SOURCE_FILE).distinct().count())
 
         # 2. silver
         silver = self.lake(bronze).silver_flights
@@ -133,7 +137,8 @@ def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str
     reader = spark.readStream.format("csv").schema(landing_schema(header)).options(**reader_options(fmt))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.load(flights_dir).select("*", F.col("_metadata.file_name").alias("_file"))
+    raw = reader.load(flights_dir).select("*", F.col("_metadata.file_name").alias("_file"),
+                                                F.col("_metadata.file_block_start").alias("_block"))
     writer = (raw.writeStream.foreachBatch(IncrementalFlights(registries, root, fmt))
               .option("checkpointLocation", os.path.join(root, "_checkpoints", "flights")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -104,13 +104,43 @@ def test_latin1_unquoted_registry(spark, files):
     assert rows["SBRJ"].altitude == "1.234,5"
 
 
-def test_header_mismatch_fails_loudly(spark, files):
-    d = tempfile.mkdtemp(prefix="opslake-badcsv-")
-    header = FLIGHT_HEADER.split(";")
-    header[0], header[1] = header[1], header[0]
-    _write(os.path.join(d, "VRA_1.csv"), ["preamble", ";".join(header), "x;y"])
+GOOD = FLIGHT_HEADER.split(";")
+ROW = ";".join(f"v{i}" for i in range(len(GOOD)))
+WRONG = {
+    "renamed": ["preamble", ";".join(["Other", *GOOD[1:]]), ROW],
+    "missing": ["preamble", ";".join(GOOD[:-1]), ROW],
+    "swapped and renamed": ["preamble", ";".join([GOOD[1], GOOD[0], *GOOD[2:-1], "Other"]), ROW],
+    "extra field": ["preamble", FLIGHT_HEADER + ";Other", ROW],
+}
+
+
+@pytest.mark.parametrize("name", sorted(WRONG))
+def test_wrong_header_fails_the_load(spark, tmp_path, name):
+    _write(str(tmp_path / "VRA_1.csv"), WRONG[name])
+    df = land_flights(spark, f"{tmp_path}/*.csv")   # nothing runs here
+    with pytest.raises(Exception, match="unexpected header in VRA_1.csv"):
+        df.collect()
+
+
+@pytest.mark.parametrize("lines", [
+    ["preamble", ROW, ROW],                                  # no header line
+    ["preamble", FLIGHT_HEADER, ROW, "truncated", ROW],      # a line that only looks like a preamble
+    ["pre;amble", FLIGHT_HEADER, ROW],                       # a preamble with a separator
+])
+def test_miscounted_lines_fail_before_silver(spark, tmp_path, lines):
+    _write(str(tmp_path / "VRA_1.csv"), lines)
+    checks = []
+    land_flights(spark, f"{tmp_path}/*.csv", checks=checks).write.format("noop").mode("overwrite").save()
     with pytest.raises(HeaderMismatch):
-        land_flights(spark, f"{d}/*.csv")
+        checks[0].verify()
+
+
+def test_counts_of_good_files(spark, tmp_path):
+    for i in range(3):
+        _write(str(tmp_path / f"VRA_{i}.csv"), ["preamble", FLIGHT_HEADER, ROW, ROW])
+    checks = []
+    land_flights(spark, f"{tmp_path}/*.csv", checks=checks).write.format("noop").mode("overwrite").save()
+    assert checks[0].verify() == {"headers": 3, "preambles": 3}
 
 
 def test_pipeline_from_landed_files(spark, files):
