@@ -3,7 +3,6 @@ built-in Spark functions, so it stays inside whole-stage codegen."""
 
 from opslake.functions.cleaning import (  # noqa: F401
     decimal_comma_to_double,
-    delay_minutes,
     hh_mm,
     minutes_between,
     non_empty,
@@ -15,6 +14,5 @@ from opslake.functions.labels import (  # noqa: F401
     airport_country,
     between_inclusive,
     flight_scope,
-    null_safe_concat,
     with_fallback,
 )

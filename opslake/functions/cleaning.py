@@ -36,47 +36,12 @@ def hh_mm(ts: Column | str) -> Column:
     )
 
 
-_US_PER_DAY = 86_400_000_000
-_US_PER_HOUR = 3_600_000_000
-_US_PER_MINUTE = 60_000_000
-
-
-def wall_clock_micros(ts: Column | str) -> Column:
-    """Microseconds of a zone-less timestamp since 1970-01-01 00:00 on the
-    same wall clock, from its date and time fields. ``timestamp_diff`` on
-    TIMESTAMP_NTZ goes through the session time zone and is off by an hour
-    when a value falls in a DST gap of that zone; the fields are not."""
-    ts = _col(ts)
-    # Sub-second micros: zone offsets are whole seconds, so the fraction of the
-    # instant equals the fraction of the wall clock (pure long arithmetic).
-    fraction = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000))
-    return (
-        F.unix_date(ts.cast("date")).cast("long") * F.lit(_US_PER_DAY)
-        + F.hour(ts).cast("long") * F.lit(_US_PER_HOUR)
-        + F.minute(ts).cast("long") * F.lit(_US_PER_MINUTE)
-        + F.second(ts).cast("long") * F.lit(1_000_000)
-        + fraction
-    )
-
-
-def _div_toward_zero(x: Column, m: int) -> Column:
-    """Exact integer division truncated toward zero (x long, m > 0)."""
-    r = F.pmod(x, F.lit(m))
-    floor_q = ((x - r) / F.lit(m)).cast("long")   # exact: x - r is a multiple of m
-    return F.when((x < 0) & (r != 0), floor_q + 1).otherwise(floor_q)
-
-
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Whole minutes from ``start`` to ``end`` (long), truncated toward zero
-    like ``timestampdiff(MINUTE, …)`` — −90 s is −1 — on the wall clock."""
-    return _div_toward_zero(wall_clock_micros(end) - wall_clock_micros(start), _US_PER_MINUTE)
-
-
-def delay_minutes(scheduled: Column | str, actual: Column | str) -> Column:
-    """Whole minutes from scheduled to actual, truncated toward zero
-    (negative = early); NULL when either side is NULL. ``try_cast``: with ANSI
-    on, one absurd pair of years must not fail the whole load."""
-    return minutes_between(scheduled, actual).try_cast("int")
+    """Whole minutes from ``start`` to ``end`` (long), truncated toward zero:
+    −90 s is −1. The difference of two zone-less timestamps is a day-time
+    interval on the wall clock, so no session time zone shifts it
+    (``timestamp_diff`` would, inside a DST gap)."""
+    return (_col(end) - _col(start)).cast("interval minute").cast("bigint")
 
 
 def non_empty(c: Column | str) -> Column:

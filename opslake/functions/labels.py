@@ -31,10 +31,5 @@ def airport_country(icao: Column) -> Column:
     )
 
 
-def null_safe_concat(*parts: Column) -> Column:
-    """Plain ``concat``: NULL if any part is NULL (unlike ``concat_ws``)."""
-    return F.concat(*parts)
-
-
 def between_inclusive(c: Column, low: int, high: int) -> Column:
     return (c >= F.lit(low)) & (c <= F.lit(high))

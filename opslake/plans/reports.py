@@ -70,7 +70,7 @@ def punctuality_by_airline(obt: DataFrame) -> DataFrame:
         F.avg("departure_delay_min").alias("avg_dep_delay"),
         F.avg("arrival_delay_min").alias("avg_arr_delay"),
         _pct(_flag_sum("departure_punctual"), _n()).alias("dep_on_time_pct"),
-    )
+    ).orderBy(c("dep_on_time_pct").desc_nulls_last(), c("airline_name").asc_nulls_first())
 
 
 def top_routes(obt: DataFrame, k: int = 10) -> DataFrame:
@@ -96,7 +96,7 @@ def monthly_trend(obt: DataFrame) -> DataFrame:
     return obt.groupBy("reference_month", "flight_status").agg(
         _n().alias("flights"),
         F.avg("arrival_delay_min").alias("avg_delay"),
-    )
+    ).orderBy(c("reference_month").asc_nulls_first(), c("flight_status").asc_nulls_first())
 
 
 def hourly_cascade(obt: DataFrame) -> DataFrame:
@@ -108,6 +108,7 @@ def hourly_cascade(obt: DataFrame) -> DataFrame:
             F.avg("arrival_delay_min").alias("avg_arr_delay"),
             _n().alias("flights"),
         )
+        .orderBy(c("scheduled_departure_hour").asc_nulls_first())
     )
 
 
