@@ -43,6 +43,7 @@ CONTEXT = 64       # characters before a candidate that must hold a sensitive wo
 SURROUND = 2048    # characters around it that prime the compressor
 MIN_NOVELTY = 0.7  # compressed bytes per byte
 DICTIONARY_BYTES = 32_768
+COUNTED = 200_000   # distinct words that a task counts before it passes them on
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -99,17 +100,23 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", max_bytes: in
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            seen: Counter = Counter()
-            for t in b.column(0):
-                if t.is_valid:
-                    seen.update(t.as_py().split())
+        def counts(seen: Counter) -> Iterator[pa.RecordBatch]:
             # A copied secret must not prime the compressor for itself.
             words = [w for w in seen if 4 <= len(w) < 16 or len(w) <= 32 and not any(c.isdigit() for c in w)]
             if words:
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())],
                                                  ["word", "n"])
 
+        seen: Counter = Counter()
+        for b in batches:
+            for t in b.column(0):
+                if t.is_valid:
+                    seen.update(t.as_py().split())
+                    if len(seen) >= COUNTED:
+                        yield from counts(seen)
+                        seen = Counter()
+        yield from counts(seen)
+
     words = src.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     top = words.orderBy(F.desc("n"), "word").limit(max_bytes // 5).collect()
     out: list[bytes] = []
