@@ -1,28 +1,18 @@
-"""Join helpers with an explicit broadcast policy.
+"""Lookup joins without broadcast hints.
 
-Policy (the only place the engine chooses broadcast):
-
-* ``bounded=True`` — the side has a size bound known from its definition (a
-  13-row seed, a registry derived from the 25-row ``nation`` table): it is
-  hinted with ``F.broadcast``; the fact side is never shuffled for it.
-* ``bounded=False`` — the side may grow with the data. No hint: Catalyst
-  broadcasts it only when its size estimate is under
-  ``spark.sql.autoBroadcastJoinThreshold``, AQE re-checks the *measured* size at
-  runtime (``spark.sql.adaptive.autoBroadcastJoinThreshold``), and beyond that a
-  sort-merge join is used, where AQE's skew-join splits a hot key's partition.
+Catalyst broadcasts a side only when its size estimate is under
+``spark.sql.autoBroadcastJoinThreshold``, AQE re-checks the *measured* size at
+runtime (``spark.sql.adaptive.autoBroadcastJoinThreshold``), and beyond that a
+sort-merge join is used, where AQE's skew join splits a hot key's partition.
+The seed is an inline relation and registries are files, so their sizes are known.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-
-def sized(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
 
 
-def left_lookup(df: DataFrame, side: DataFrame, condition: Column, bounded: bool) -> DataFrame:
+def left_lookup(df: DataFrame, side: DataFrame, condition: Column) -> DataFrame:
     """LEFT join that never changes the row count as long as ``side`` is unique
     on its join key (callers build it with DISTINCT or a best-record choice)."""
-    return df.join(sized(side, bounded), condition, "left")
+    return df.join(side, condition, "left")

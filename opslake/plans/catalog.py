@@ -15,8 +15,10 @@ from opslake import spec
 from opslake.functions import decimal_comma_to_double, non_empty, null_if_literal, safe_timestamp
 from opslake.operators.dedup import distinct_keys, duplicate_surplus, grain_violations
 from opslake.operators.profile import column_profile
-from opslake.plans import gate, reports
+from opslake.plans import gate, gold, reports, silver
 from opslake.plans.lakehouse import Lakehouse, from_driver_tables
+from opslake.sources import opsdata
+from opslake.sources.tables import read_table
 
 c = F.col
 CITY_PATTERN = "%CITY 1%"
@@ -66,10 +68,7 @@ def operation_code_usage(lh: Lakehouse) -> DataFrame:
 
 
 def orphan_airports(lh: Lakehouse) -> DataFrame:
-    fact = lh.fact.where(non_empty(c("icao_origin")))
-    dim = lh.dim_airport
-    orphans = fact.join(dim, fact["icao_origin"] == dim["icao_airport"], "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("orphan_rows"))
+    return gate.orphan_rows(lh.fact, lh.dim_airport).agg(F.count(F.lit(1)).alias("orphan_rows"))
 
 
 def unused_airports(lh: Lakehouse) -> DataFrame:
@@ -79,6 +78,44 @@ def unused_airports(lh: Lakehouse) -> DataFrame:
     return dim.join(used, dim["icao_airport"] == used["_code"], "left_anti")
 
 
+def silver_grain_violations(lh: Lakehouse) -> DataFrame:
+    """Keys that silver, which keeps every copy, holds more than once, by number of copies."""
+    return (grain_violations(lh.silver_flights, spec.DEDUP_KEYS)
+            .groupBy(c("rows").alias("copies")).agg(F.count(F.lit(1)).alias("keys")))
+
+
+def airports_outside_registry(lh: Lakehouse) -> DataFrame:
+    """Flights per airport code and role that the aerodrome registry doesn't know
+    (anti join after the codes are grouped, so a busy code is one row)."""
+    used = lh.fact.select(F.explode(F.array(*[
+        F.struct(F.lit(role).alias("role"), c(f"icao_{role}").alias("icao_airport"))
+        for role in ("origin", "destination")])).alias("u")).select("u.*")
+    used = used.where(non_empty(c("icao_airport"))).groupBy("role", "icao_airport").agg(_n())
+    return used.join(lh.best_aerodrome, c("icao_airport") == c("icao"), "left_anti")
+
+
+def punctuality_conflicts(lh: Lakehouse, threshold: int = 0) -> DataFrame:
+    """Per airline, flights whose departure flag disagrees with ``threshold`` minutes."""
+    conflict = c("departure_punctual") != (c("departure_delay_min") <= threshold)
+    return lh.fact.where(conflict).groupBy("airline_name").agg(_n())
+
+
+def damaged_lake(lh: Lakehouse) -> Lakehouse:
+    """The lake with known damage, so that the gate's checks have something to
+    find: silver lost rows, fact repeats rows and has flipped flags, and the
+    dimension lost the airports outside the registry."""
+    number = c("flight_number").cast("long")
+    flags = c("departure_punctual") != (number % 7 == 0)
+    return Lakehouse(lh.sources, lh.flight_spec, published={
+        "silver.vra": lh.silver_flights.where(number % 11 != 0),
+        "silver.vra_quarentena": lh.quarantine,
+        "gold.fact_flights": lh.fact.withColumn("departure_punctual", flags).unionByName(
+            lh.fact.where(number % 13 == 0)),
+        "gold.dim_airport": lh.dim_airport.where("in_anac_registry"),
+        "gold.obt_flights": lh.obt,
+    })
+
+
 def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
     keys = spec.DEDUP_KEYS
     return {
@@ -122,6 +159,10 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
         "grain_violations": lambda lh: grain_violations(lh.fact, keys).agg(
             F.count(F.lit(1)).alias("violating_keys")),
         "gate_results": gate.gate_results,
+        "gate_results_damaged": lambda lh: gate.gate_results(damaged_lake(lh)),
+        "silver_grain_violations": silver_grain_violations,
+        "airports_outside_registry": airports_outside_registry,
+        "punctuality_conflicts": punctuality_conflicts,
         # reports
         "recovery_analysis": lambda lh: reports.recovery_analysis(lh.obt),
         "unjudgeable_by_status": lambda lh: reports.unjudgeable_by_status(lh.obt),
@@ -150,6 +191,21 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
 BUILDERS = _registry()
 
 
+def sites_without_large_cancellation(sites: DataFrame, orders: DataFrame, price: int = 450_000) -> DataFrame:
+    """Codes of the registry for which no cancelled order over ``price`` exists (anti join)."""
+    large = orders.where((c("o_orderstatus") == "P") & (c("o_totalprice") > price))
+    return sites.where(non_empty(c("icao"))).select("icao").distinct().join(
+        large.select(opsdata.site_code(c("o_custkey")).alias("icao")), "icao", "left_anti")
+
+
+# Registry operators over a registry that grows with the tables (customer).
+SITE_BUILDERS = {
+    "decimal_comma_sites": lambda sites, orders: sites.select("icao", "name", "altitude_m"),
+    "best_site": lambda sites, orders: gold.best_aerodrome(sites),
+    "sites_without_large_cancellation": sites_without_large_cancellation,
+}
+
+
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = BUILDERS[name]
 
@@ -160,5 +216,14 @@ def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def site_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        sites = silver.silver_aerodromes(opsdata.bronze_sites(spark, root))
+        return SITE_BUILDERS[name](sites, read_table(spark, root, "orders", ["o_custkey", "o_orderstatus", "o_totalprice"]))
+
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query(name) for name in BUILDERS}
+    return {name: query(name) for name in BUILDERS} | {name: site_query(name) for name in SITE_BUILDERS}

@@ -10,98 +10,84 @@ PASS/FAIL and raises once with every failed error-level check.
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake import spec
 from opslake.functions import non_empty
-from opslake.operators.dedup import duplicate_surplus, grain_violations
+from opslake.operators.dedup import group_sizes
 from opslake.plans.lakehouse import Lakehouse
 
 log = logging.getLogger("opslake.gate")
 c = F.col
 
 
-def _count(df: DataFrame) -> Column:
-    return df.select(F.count(F.lit(1))).scalar()
-
-
-def _folded(df: DataFrame, **conds: Column) -> dict[str, Column]:
-    """Row count and conditional counts of one table from ONE scan: a single
-    aggregate returning a struct, read field by field (the same scalar
-    subquery is executed once)."""
-    agg = df.select(F.struct(F.count(F.lit(1)).alias("rows"),
-                             *[F.count_if(cond).alias(name) for name, cond in conds.items()])).scalar()
-    return {name: agg.getField(name) for name in ["rows", *conds]}
+def _measures(df: DataFrame, **aggregates: Column) -> dict[str, Column]:
+    """Several aggregates of one table from ONE pass: a one-row struct read field
+    by field (the same scalar subquery is executed once)."""
+    row = df.select(F.struct(*[a.cast("long").alias(name) for name, a in aggregates.items()])).scalar()
+    return {name: row.getField(name) for name in aggregates}
 
 
 def counters(lh: Lakehouse) -> dict[str, Column]:
+    """Every number the checks need: one scan of each layer (fact twice: the
+    orphan check joins the dimension)."""
     keys = lh.flight_spec.dedup_keys
-    fact = lh.fact
-    dim = lh.dim_airport
-    origins = fact.where(non_empty(c("icao_origin")))
-    orphans = origins.join(dim, origins["icao_origin"] == dim["icao_airport"], "left_anti")
-    bad_punctuality = (
-        (c("departure_punctual") & (c("departure_delay_min") > spec.PUNCTUAL_MAX))
-        | (~c("departure_punctual") & (c("departure_delay_min") <= spec.PUNCTUAL_MAX))
-    )
-    code_dupes = lh.silver_codes.groupBy("domain", "code").count().where(c("count") > 1)
-    bronze = _folded(lh.bronze_flights, rescued=c(spec.COL_RESCUED).isNotNull())
-    facts = _folded(fact, bad_punctuality=bad_punctuality)
+    rows = F.count(F.lit(1))
+    conflict = c("departure_punctual") != (c("departure_delay_min") <= lh.flight_spec.punctual_max)
+    fact_groups = lh.fact.groupBy(*keys).agg(rows.alias("_n"), F.count_if(conflict).alias("_conflicts"))
+    code_groups = lh.silver_codes.groupBy("domain", "code").agg(rows.alias("_n"))
     return {
-        "bronze": bronze["rows"],
-        "silver": _count(lh.silver_flights),
-        "fact": facts["rows"],
-        "obt": _count(lh.obt),
-        "quarantine": _count(lh.quarantine),
-        "duplicates": duplicate_surplus(lh.silver_flights, keys).scalar(),
-        "grain_violations": _count(grain_violations(fact, keys)),
-        "orphan_origins": _count(orphans),
-        "bad_punctuality": facts["bad_punctuality"],
-        "code_duplicates": _count(code_dupes),
-        "rescued": bronze["rescued"],
+        **_measures(lh.bronze_flights, bronze=rows, rescued=F.count_if(c(spec.COL_RESCUED).isNotNull())),
+        **_measures(group_sizes(lh.silver_flights, keys), silver=F.coalesce(F.sum("_n"), F.lit(0)),
+                    surplus=F.coalesce(F.sum(c("_n") - 1), F.lit(0))),
+        **_measures(fact_groups, fact=F.coalesce(F.sum("_n"), F.lit(0)), repeated=F.count_if(c("_n") > 1),
+                    conflicts=F.coalesce(F.sum("_conflicts"), F.lit(0))),
+        **_measures(lh.obt, obt=rows),
+        **_measures(lh.quarantine, bad=rows),
+        **_measures(orphan_rows(lh.fact, lh.dim_airport), orphans=rows),
+        **_measures(code_groups, code_copies=F.coalesce(F.sum(c("_n") - 1), F.lit(0))),
     }
 
 
-def _txt(x: Column) -> Column:
-    return x.cast("string")
+def orphan_rows(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """Fact rows whose non-empty origin is missing from the dimension (anti join)."""
+    return fact.where(non_empty(c("icao_origin"))).join(dim, c("icao_origin") == dim["icao_airport"], "left_anti")
 
 
 def gate_results(lh: Lakehouse) -> DataFrame:
     # Each counter is evaluated once into a one-row frame (a scalar subquery is
     # not cheap, so Catalyst keeps this projection separate from the checks).
-    k = lh.silver_codes.sparkSession.range(1).select(
-        *[v.cast("long").alias(name) for name, v in counters(lh).items()])
-    n = {name: c(name) for name in k.columns}
-    rows = [
-        ("bronze_not_empty", "error", n["bronze"] > 0, n["bronze"],
-         F.concat(F.lit("bronze "), _txt(n["bronze"]))),
-        ("silver_mirrors_bronze", "error", n["silver"] == n["bronze"], n["silver"],
-         F.concat(F.lit("bronze "), _txt(n["bronze"]), F.lit(" vs silver "), _txt(n["silver"]))),
-        ("gold_drops_only_exact_duplicates", "error", n["fact"] == n["silver"] - n["duplicates"], n["fact"],
-         F.concat(F.lit("silver "), _txt(n["silver"]), F.lit(" - duplicates "), _txt(n["duplicates"]),
-                  F.lit(" vs fact "), _txt(n["fact"]))),
-        ("obt_keeps_every_fact_row", "error", n["obt"] == n["fact"], n["obt"],
-         F.concat(F.lit("fact "), _txt(n["fact"]), F.lit(" vs obt "), _txt(n["obt"]))),
-        ("quarantine_is_diagnostic", "error", (n["quarantine"] > 0) & (n["quarantine"] < n["silver"]),
-         n["quarantine"],
-         F.concat(F.lit("quarantine "), _txt(n["quarantine"]), F.lit(" of "), _txt(n["silver"]))),
-        ("fact_grain_unique", "error", n["grain_violations"] == 0, n["grain_violations"],
-         F.concat(_txt(n["grain_violations"]), F.lit(" duplicated keys"))),
-        ("origin_airports_in_dim", "error", n["orphan_origins"] == 0, n["orphan_origins"],
-         F.concat(_txt(n["orphan_origins"]), F.lit(" orphan rows"))),
-        ("punctuality_follows_rule", "error", n["bad_punctuality"] == 0, n["bad_punctuality"],
-         F.concat(_txt(n["bad_punctuality"]), F.lit(" inconsistent rows"))),
-        ("codes_unique_per_domain", "error", n["code_duplicates"] == 0, n["code_duplicates"],
-         F.concat(_txt(n["code_duplicates"]), F.lit(" repeated codes"))),
-        ("rescued_rows", "warn", F.lit(True), n["rescued"],
-         F.concat(_txt(n["rescued"]), F.lit(" rows with rescued data"))),
+    k = lh.silver_codes.sparkSession.range(1).select(*[v.alias(name) for name, v in counters(lh).items()])
+    # (check, severity, passed, observed counter, detail with counters in braces)
+    checks = [
+        ("bronze_not_empty", "error", c("bronze") > 0, "bronze", "landed rows: {bronze}"),
+        ("silver_mirrors_bronze", "error", c("silver") == c("bronze"), "silver",
+         "landed {bronze}, mirrored {silver}"),
+        ("gold_drops_only_exact_duplicates", "error", c("fact") + c("surplus") == c("silver"), "fact",
+         "mirrored {silver}, surplus copies {surplus}, kept {fact}"),
+        ("obt_keeps_every_fact_row", "error", c("obt") == c("fact"), "obt", "kept {fact}, wide {obt}"),
+        ("quarantine_is_diagnostic", "error", (c("bad") > 0) & (c("bad") < c("silver")), "bad",
+         "flagged {bad} out of {silver}"),
+        ("fact_grain_unique", "error", c("repeated") == 0, "repeated", "keys held twice or more: {repeated}"),
+        ("origin_airports_in_dim", "error", c("orphans") == 0, "orphans", "rows without their origin: {orphans}"),
+        ("punctuality_follows_rule", "error", c("conflicts") == 0, "conflicts",
+         "flags against the threshold: {conflicts}"),
+        ("codes_unique_per_domain", "error", c("code_copies") == 0, "code_copies",
+         "codes held twice or more: {code_copies}"),
+        ("rescued_rows", "warn", F.lit(True), "rescued", "rows with rescued text: {rescued}"),
     ]
+
+    def detail(text: str) -> Column:
+        names = re.findall(r"{(\w+)}", text)
+        return F.format_string(re.sub(r"{\w+}", "%d", text), *[c(n) for n in names])
+
     structs = [
         F.struct(F.lit(name).alias("check_name"), F.lit(sev).alias("severity"), ok.alias("passed"),
-                 obs.alias("observed"), det.alias("detail"))
-        for name, sev, ok, obs, det in rows
+                 c(seen).alias("observed"), detail(text).alias("detail"))
+        for name, sev, ok, seen, text in checks
     ]
     return k.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 

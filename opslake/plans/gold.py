@@ -1,9 +1,9 @@
 """Gold: airport dimension, flight fact, One Big Table.
 
 Plan shape of the fact at scale: one hash shuffle on the 11 dedup keys (with
-map-side partial aggregation), then only broadcast (bounded) or size-checked
-lookups. The OBT adds no shuffle: its airport attributes come from the
-aerodrome registry (bounded) through the same formula the dimension uses, which
+map-side partial aggregation), then only lookups that are
+broadcast when their size is known to be small. The OBT adds no shuffle: its airport attributes come from the
+aerodrome registry through the same formula the dimension uses, which
 equals joining the dimension because every non-empty fact airport is a
 dimension key by construction (both come from the same silver table).
 """
@@ -28,7 +28,7 @@ from opslake.functions import (
 )
 from opslake.operators.best_record import best_per_key
 from opslake.operators.dedup import distinct_keys
-from opslake.operators.joins import left_lookup, sized
+from opslake.operators.joins import left_lookup
 
 AERODROME_PAYLOAD = ["name", "municipality", "state_name", "served_municipality", "served_state_name"]
 
@@ -65,18 +65,18 @@ def airport_codes(silver: DataFrame) -> DataFrame:
     )
 
 
-def dim_airport(silver: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
+def dim_airport(silver: DataFrame, aerodromes_best: DataFrame) -> DataFrame:
     """The airport codes of the flights, left-joined to the registry."""
-    return dim_from_codes(airport_codes(silver), aerodromes_best, bounded)
+    return dim_from_codes(airport_codes(silver), aerodromes_best)
 
 
-def dim_from_codes(codes: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
+def dim_from_codes(codes: DataFrame, aerodromes_best: DataFrame) -> DataFrame:
     codes = codes.select("icao_airport").distinct()
     reg = aerodromes_best.select(
         F.col("icao").alias("_icao"), F.col("name").alias("_name"),
         F.col("municipality").alias("_municipality"), F.col("state_name").alias("_state"),
     )
-    out = left_lookup(codes, reg, F.col("icao_airport") == F.col("_icao"), bounded)
+    out = left_lookup(codes, reg, F.col("icao_airport") == F.col("_icao"))
     code = F.col("icao_airport")
     return out.select(
         code,
@@ -95,7 +95,7 @@ def _code_table(codes: DataFrame, domain: str, prefix: str) -> DataFrame:
     )
 
 
-def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame, airlines_bounded: bool,
+def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
                  s: spec.FlightSpec = spec.FLIGHTS) -> DataFrame:
     """Deduplicated flight steps with labels, scope, plausibility and punctuality."""
     base = distinct_keys(silver, s.dedup_keys)
@@ -117,10 +117,10 @@ def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
     airline = airlines_best.select(
         c("icao").alias("_al_icao"), c("legal_name").alias("_al_name"), c("registry_origin").alias("_al_registry")
     )
-    df = left_lookup(base, airline, c("icao_airline") == c("_al_icao"), airlines_bounded)
+    df = left_lookup(base, airline, c("icao_airline") == c("_al_icao"))
     for lk, prefix in zip(s.lookups, ("_di", "_lt")):
         table = _code_table(codes, lk.domain, prefix)
-        df = left_lookup(df, table, c(lk.code_column) == c(f"{prefix}_code"), bounded=True)
+        df = left_lookup(df, table, c(lk.code_column) == c(f"{prefix}_code"))
 
     oor = c("delay_out_of_range")
     sd_date = sd.cast("date")
@@ -165,7 +165,7 @@ def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
     return df.select(*[v.alias(k) for k, v in cols.items()])
 
 
-def obt_flights(fact: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> DataFrame:
+def obt_flights(fact: DataFrame, aerodromes_best: DataFrame) -> DataFrame:
     """Fact with the airport attributes in two roles (origin, destination)."""
     c = F.col
     df = fact
@@ -174,7 +174,7 @@ def obt_flights(fact: DataFrame, aerodromes_best: DataFrame, bounded: bool) -> D
             c("icao").alias(f"_{role}_icao"), c("name").alias(f"_{role}_name"),
             c("municipality").alias(f"_{role}_municipality"), c("state_name").alias(f"_{role}_state"),
         )
-        df = df.join(sized(reg, bounded), c(code_col) == c(f"_{role}_icao"), "left")
+        df = left_lookup(df, reg, c(code_col) == c(f"_{role}_icao"))
 
     def role_cols(role: str, code_col: str, label: str) -> dict[str, Column]:
         code = c(code_col)

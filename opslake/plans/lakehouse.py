@@ -20,15 +20,12 @@ from opslake.plans import gold, silver
 
 @dataclass
 class Sources:
-    """Bronze inputs. ``*_bounded`` says whether a registry has a size bound
-    known from its definition (then it is broadcast without a check)."""
+    """Bronze inputs."""
 
     flights: DataFrame
     airline_registries: dict[str, DataFrame]
     aerodromes: DataFrame
     codes: DataFrame
-    aerodromes_bounded: bool = False
-    airlines_bounded: bool = False
     checks: list = field(default_factory=list)  # landing checks to verify once bronze is written
 
 
@@ -71,10 +68,7 @@ class Lakehouse:
 
     @cached_property
     def marked(self) -> DataFrame:
-        return silver.mark_flights(
-            self.silver_flights, self.silver_aerodromes, self.silver_airlines,
-            self.sources.aerodromes_bounded, self.sources.airlines_bounded,
-        )
+        return silver.mark_flights(self.silver_flights, self.silver_aerodromes, self.silver_airlines)
 
     @cached_property
     def contract_metrics(self) -> DataFrame:
@@ -97,18 +91,17 @@ class Lakehouse:
     @cached_property
     def dim_airport(self) -> DataFrame:
         return self._get("gold.dim_airport", lambda: gold.dim_airport(
-            self.silver_flights, self.best_aerodrome, self.sources.aerodromes_bounded))
+            self.silver_flights, self.best_aerodrome))
 
     @cached_property
     def fact(self) -> DataFrame:
         return self._get("gold.fact_flights", lambda: gold.fact_flights(
-            self.silver_flights, self.best_airline, self.silver_codes, self.sources.airlines_bounded,
-            self.flight_spec))
+            self.silver_flights, self.best_airline, self.silver_codes, self.flight_spec))
 
     @cached_property
     def obt(self) -> DataFrame:
         return self._get("gold.obt_flights", lambda: gold.obt_flights(
-            self.fact, self.best_aerodrome, self.sources.aerodromes_bounded))
+            self.fact, self.best_aerodrome))
 
 
 def from_driver_tables(spark: SparkSession, root: str) -> Lakehouse:
@@ -120,6 +113,4 @@ def from_driver_tables(spark: SparkSession, root: str) -> Lakehouse:
         airline_registries=opsdata.bronze_airline_registries(spark, root),
         aerodromes=opsdata.bronze_aerodromes(spark, root),
         codes=seeds.operation_codes(spark),
-        aerodromes_bounded=True,   # derived from `nation`: 25 rows, always
-        airlines_bounded=False,    # derived from `supplier`: grows with the data
     ))

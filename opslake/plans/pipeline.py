@@ -94,7 +94,7 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     t1 = time.time()
     reg = {f: published[t] for f, t in registry_table.items() if t in published}
     sources = Sources(published["bronze.vra"], reg, published["bronze.aerodromos"],
-                      published["bronze.operation_codes"], sources.aerodromes_bounded, sources.airlines_bounded)
+                      published["bronze.operation_codes"])
     lh = lake()
     parse_obs = Observation("silver:parse_losses")
     wave([

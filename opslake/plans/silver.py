@@ -112,11 +112,10 @@ def flight_rules(s: spec.FlightSpec = spec.FLIGHTS) -> list[Rule]:
     return [Rule(name, p) for name, p in zip(spec.RULE_NAMES, preds)]
 
 
-def mark_flights(silver: DataFrame, aerodromes: DataFrame, airlines: DataFrame,
-                 aerodromes_bounded: bool, airlines_bounded: bool) -> DataFrame:
+def mark_flights(silver: DataFrame, aerodromes: DataFrame, airlines: DataFrame) -> DataFrame:
     """silver + three registry-membership flags (origin, destination, airline)."""
     airports = key_set(aerodromes, "icao")
     carriers = key_set(airlines, "icao")
-    out = mark(silver, "icao_origin", airports, spec.FLAG_ORIGIN, aerodromes_bounded)
-    out = mark(out, "icao_destination", airports, spec.FLAG_DESTINATION, aerodromes_bounded)
-    return mark(out, "icao_airline", carriers, spec.FLAG_AIRLINE, airlines_bounded)
+    out = mark(silver, "icao_origin", airports, spec.FLAG_ORIGIN)
+    out = mark(out, "icao_destination", airports, spec.FLAG_DESTINATION)
+    return mark(out, "icao_airline", carriers, spec.FLAG_AIRLINE)

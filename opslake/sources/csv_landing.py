@@ -188,7 +188,5 @@ def csv_sources(spark: SparkSession, flights_glob: str, references_dir: str):
         airline_registries=registries,
         aerodromes=land_aerodromes(spark, f"{references_dir}/AerodromosPublicos.csv", checks=checks),
         codes=operation_codes(spark),
-        aerodromes_bounded=False,
-        airlines_bounded=False,
         checks=checks,
     )

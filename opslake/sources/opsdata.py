@@ -170,3 +170,24 @@ def bronze_aerodromes(spark: SparkSession, root: str) -> DataFrame:
     ))
     empty = n.where(k == 0).select(*row(F.lit(""), F.lit("EMPTY"), F.lit("E"), F.lit("E"), F.lit("0")))
     return main.unionByName(alt).unionByName(empty).withColumn(spec.COL_INGESTED, F.current_timestamp())
+
+
+def site_code(custkey: Column) -> Column:
+    return F.format_string("C%05d", F.floor(custkey / 3).cast("long"))
+
+
+def bronze_sites(spark: SparkSession, root: str) -> DataFrame:
+    """An aerodrome registry that grows with the tables: a record per customer,
+    three to a code (every 50th record has none), decimal-comma altitudes, every
+    ninth with a thousands separator."""
+    cu = read_table(spark, root, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    k, text = F.col("c_custkey"), F.lit(None).cast("string")
+    nation, segment = F.col("c_nationkey").cast("string"), F.col("c_mktsegment")
+    altitude = F.when(k % 9 == 0, F.lit("1.000,5")).otherwise(F.concat(nation, F.lit(","), (k % 10).cast("string")))
+    values = {
+        "icao": F.when(k % 50 == 0, F.lit("")).otherwise(site_code(k)), "ciad": k.cast("string"),
+        "name": F.col("c_name"), "municipality": F.when(k % 8 != 0, F.concat(F.lit("CITY "), nation)),
+        "state": segment, "served_municipality": segment, "served_state": text, "latitude": text, "longitude": text,
+        "altitude": altitude, "status": text, spec.COL_INGESTED: F.current_timestamp(),
+    }
+    return cu.select(*[v.alias(name) for name, v in values.items()])

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opslake.spec import OPERATION_CODES
 
-CODES_SCHEMA = "domain string, code string, description string"
-
 
 def operation_codes(spark: SparkSession) -> DataFrame:
-    """The 13 operation-code seed rows: a fixed, tiny relation (safe to broadcast)."""
-    return spark.createDataFrame(OPERATION_CODES, CODES_SCHEMA)
+    """The 13 operation-code seed rows as an inline VALUES relation, whose size Catalyst knows."""
+    rows = ", ".join("(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in row) + ")" for row in OPERATION_CODES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS codes(domain, code, description)")

@@ -157,9 +157,7 @@ DEDUP_KEYS = [
 # The four timestamp columns and the prefix of their derived date/time columns.
 TIMESTAMP_COLUMNS = ["scheduled_departure", "actual_departure", "scheduled_arrival", "actual_arrival"]
 
-# ---------------------------------------------------------------------------
-# Output column orders (table contracts).
-# ---------------------------------------------------------------------------
+# Output column orders (table contracts): fixed values as well.
 
 SILVER_VRA_COLUMNS = [
     "icao_airline", "flight_number", "di_code", "line_type_code", "icao_origin", "icao_destination",
@@ -214,6 +212,10 @@ OBT_COLUMNS = [
     "flight_status", "flight_completed", "flight_cancelled", COL_PROCESSED,
 ]
 
+# ---------------------------------------------------------------------------
+# Our own settings from here on.
+# ---------------------------------------------------------------------------
+
 # Physical layout of published tables: (clustering columns of the reference,
 # extra columns that split hot values). A local sort uses the clustering
 # columns only; a range layout uses both, so one airline or one day cannot

@@ -80,8 +80,7 @@ class IncrementalFlights:
 
     def lake(self, flights: DataFrame, published: dict | None = None) -> Lakehouse:
         r = self.registries
-        return Lakehouse(Sources(flights, r.airline_registries, r.aerodromes, r.codes,
-                                 r.aerodromes_bounded, r.airlines_bounded), published=published or {})
+        return Lakehouse(Sources(flights, r.airline_registries, r.aerodromes, r.codes), published=published or {})
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -110,8 +109,7 @@ class IncrementalFlights:
         _write(q.withColumn(BATCH, epoch), root, "silver.vra_quarentena", [BATCH])
 
         # 4. touched months: fact and OBT recomputed from every silver row of them
-        # Size bound: one row per calendar month present in one micro-batch.
-        touched = F.broadcast(batch_silver.select(MONTH).distinct())
+        touched = batch_silver.select(MONTH).distinct()
         month_rows = all_silver.join(touched, MONTH, "left_semi").drop(MONTH, BATCH)
         fact = self.lake(bronze, {"silver.vra": month_rows}).fact
         _write(fact.withColumn(MONTH, month_key(F.col("scheduled_departure"))), root, "gold.fact_flights", [MONTH])
@@ -123,8 +121,7 @@ class IncrementalFlights:
         codes = gold.airport_codes(batch_silver).withColumn(BATCH, epoch)
         _write(codes, root, "silver.airport_codes", [BATCH])
         lh = self.lake(bronze)
-        dim = gold.dim_from_codes(_read(spark, root, "silver.airport_codes"), lh.best_aerodrome,
-                                  self.registries.aerodromes_bounded)
+        dim = gold.dim_from_codes(_read(spark, root, "silver.airport_codes"), lh.best_aerodrome)
         dim.write.mode("overwrite").parquet(table_path(root, "gold.dim_airport"))
 
 

@@ -8,7 +8,7 @@ from opslake.operators.publish import read_published
 from opslake.plans import gate
 from opslake.plans.lakehouse import Lakehouse, from_driver_tables
 from opslake.plans.pipeline import published_lakehouse, run_full_refresh
-from rows import flight, sources
+from rows import leg, sources
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,15 +56,15 @@ def test_rerun_is_idempotent(spark, run):
 
 def test_gate_fails_on_a_perfectly_clean_load(spark):
     """A load with no quarantined row breaks 'quarantine is diagnostic' (0 < q)."""
-    lh = Lakehouse(sources(spark, [flight()]))
+    lh = Lakehouse(sources(spark, [leg()]))
     with pytest.raises(gate.GateFailed, match="quarantine_is_diagnostic"):
         gate.run_gate(lh)
 
 
 def test_gate_reports_orphan_origins(spark):
-    lh = Lakehouse(sources(spark, [flight(), flight(destination="KJFK")]))
+    lh = Lakehouse(sources(spark, [leg(), leg(icao_destination="KZZZ")]))
     # a dimension that lost a row must fail the origin check
-    broken = Lakehouse(lh.sources, published={"gold.dim_airport": lh.dim_airport.where("icao_airport <> 'SBGR'")})
+    broken = Lakehouse(lh.sources, published={"gold.dim_airport": lh.dim_airport.where("icao_airport <> 'SBAA'")})
     results = {r.check_name: r for r in gate.gate_results(broken).collect()}
     assert results["origin_airports_in_dim"].passed is False
     assert results["origin_airports_in_dim"].observed == 2

@@ -17,7 +17,7 @@ def formatted(df) -> str:
 def test_fact_has_one_shuffle_and_broadcast_lookups(spark):
     lh = from_driver_tables(spark, SF)
     text = formatted(lh.fact)
-    # code tables are hinted (bounded seed); the dedup is one hash exchange
+    # code tables are broadcast by their known size; the dedup is one hash exchange
     assert text.count("BroadcastExchange") >= 2
     assert "SinglePartition" not in text
     assert "Window" not in text  # dedup is an aggregate, not a window sort
