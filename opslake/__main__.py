@@ -1,9 +1,9 @@
 """Command line: the job the reference schedules, as plain entry points.
 
-    python -m opslake run    --tables /root/testdata/sf0.1 [--root DIR] [--layout local|range] [--catalog]
+    python -m opslake run    --tables /root/testdata/sf0.1 [--root DIR] [--layout range|local] [--catalog]
     python -m opslake run    --flights 'VRA/*.csv' --references refs/ [--root DIR]
     python -m opslake stream --inbox VRA/ --references refs/ [--root DIR] [--max-files N]
-    python -m opslake report NAME --root DIR [--rows 20]
+    python -m opslake report NAME --root DIR [--rows 20] [--city '%Paulo%']
     python -m opslake gate   --root DIR
 
 ``--root`` defaults to a folder under ``spark.checkpoint.dir``. The session
@@ -49,7 +49,7 @@ def main(argv=None) -> int:
     run.add_argument("--tables", help="driver tables folder (flight-shaped projection)")
     run.add_argument("--flights", help="glob of monthly flight CSV files")
     run.add_argument("--references", help="folder with the registry CSV files")
-    run.add_argument("--layout", choices=["local", "range", "none"], default="local")
+    run.add_argument("--layout", choices=["range", "local", "none"], default="range")
     run.add_argument("--catalog", action="store_true", help="register bronze/silver/gold tables by name")
 
     stream = sub.add_parser("stream", help="incremental load of new flight files")
@@ -60,6 +60,7 @@ def main(argv=None) -> int:
     rep = sub.add_parser("report", help="run one analyst report over the published OBT")
     rep.add_argument("name")
     rep.add_argument("--rows", type=int, default=20)
+    rep.add_argument("--city", default="%", help="pattern of the origin city for delays_in_city")
 
     sub.add_parser("gate", help="run the quality gate over published tables")
 
@@ -82,13 +83,13 @@ def main(argv=None) -> int:
         src = csv_sources(spark, f"{args.inbox}/*.csv", args.references)
         q = incremental.start(spark, args.inbox, src, root, max_files_per_trigger=args.max_files)
         q.awaitTermination()
-        return 0 if q.exception() is None else 1
+        if q.exception() is not None:
+            return 1
 
-    from opslake.plans.lakehouse import Lakehouse, Sources
+    from opslake.plans.lakehouse import Sources
     from opslake.plans.pipeline import published_lakehouse
-    empty = Sources(None, {}, None, None)
-    pub = published_lakehouse(spark, empty, root)
-    if args.cmd == "gate":
+    pub = published_lakehouse(spark, Sources(None, {}, None, None), root)
+    if args.cmd in ("gate", "stream"):
         from opslake.plans.gate import GateFailed, run_gate
         try:
             for r in run_gate(pub):
@@ -99,20 +100,20 @@ def main(argv=None) -> int:
         return 0
 
     from opslake.plans import reports
-    fn = getattr(reports, args.name, None)
-    if fn is None:
-        print(f"unknown report {args.name}", file=sys.stderr)
+    over_obt = ("recovery_analysis", "unjudgeable_by_status", "punctuality_by_airline", "top_routes", "top_cancellations",
+                "monthly_trend", "hourly_cascade", "cancel_rate_by_route", "recovery_by_month", "worst_hour",
+                "carrier_share", "top_carrier_share", "monthly_volume", "volume_span", "recent_routes")
+    known = {name: lambda name=name: getattr(reports, name)(pub.obt) for name in over_obt} | {
+        "delays_in_city": lambda: reports.delays_in_city(pub.obt, args.city),
+        "foreign_cancellations": lambda: reports.foreign_cancellations(pub.fact),
+        "registry_coverage": lambda: reports.registry_coverage(pub.marked),
+        "quality_summary": lambda: reports.quality_summary(pub),
+        "layer_reconcile": lambda: reports.layer_reconcile(pub),
+    }
+    if args.name not in known:
+        print(f"unknown report {args.name}; known: {', '.join(sorted(known))}", file=sys.stderr)
         return 2
-    if args.name in ("quality_summary", "layer_reconcile"):
-        df = fn(pub)
-    elif args.name == "foreign_cancellations":
-        df = fn(pub.fact)
-    elif args.name == "registry_coverage":
-        df = fn(Lakehouse(pub.sources, published=pub.published).marked)
-    elif args.name == "delays_in_city":
-        df = fn(pub.obt, "%")
-    else:
-        df = fn(pub.obt)
+    df = known[args.name]()
     df.show(args.rows, truncate=False)
     return 0
 

@@ -1,13 +1,16 @@
 """Publishing a table: idempotent full refresh with layout and a row count
 observed on the write itself (SNK1–SNK5, SNK7).
 
-* Overwrite of a Parquet directory: re-running gives the same table; the
-  schema may change between runs (nothing is appended).
+* A refresh writes a new version folder of the table; it becomes the table with
+  its ``_SUCCESS`` marker, which the job writes last. Readers keep the version
+  they opened, a failed job leaves the old one in place, and versions older than
+  the previous one are deleted. The schema may change between runs.
 * Layout (the reference's clustering), two modes:
+  ``range`` (default) — range-partition on the cluster columns first (an extra
+  shuffle plus a sampling job; files get disjoint ranges, so a filter on the
+  leading column skips files);
   ``local`` — sort within the partitions the plan already has: no shuffle,
-  row groups get tight min/max statistics (Parquet row-group skipping);
-  ``range`` — range-partition on the cluster columns first (an extra shuffle
-  plus a sampling job; files get disjoint ranges, file-level skipping). The
+  row groups get tight min/max statistics (Parquet row-group skipping). The
   trailing cluster columns split hot values of the leading ones, so one
   airline or one day cannot become one giant file.
 * The row count comes from ``DataFrame.observe`` on the same job: no second
@@ -24,6 +27,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+VERSION = "version-"
+MONTH, BATCH = PARTITIONS = ("_month", "_batch")   # partition columns of the incremental load
+
+
 @dataclass
 class Published:
     name: str
@@ -37,8 +44,30 @@ def table_path(root: str, name: str) -> str:
     return os.path.join(root, layer, table)
 
 
+def _folders(spark: SparkSession, path: str) -> tuple:
+    """Hadoop file system of ``path`` and the names of the folders in it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.listStatus(hadoop) if fs.exists(hadoop) else []
+    return fs, sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
+def versions(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Paths of the complete versions of a table, oldest first."""
+    path = table_path(root, name)
+    fs, names = _folders(spark, path)
+    marked = spark._jvm.org.apache.hadoop.fs.Path
+    return [os.path.join(path, n) for n in names
+            if n.startswith(VERSION) and fs.exists(marked(os.path.join(path, n, "_SUCCESS")))]
+
+
+def is_incremental(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the table is in the partitioned layout of the incremental load."""
+    return any("=" in n for n in _folders(spark, table_path(root, name))[1])
+
+
 def publish(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None,
-            columns: list[str] | None = None, partitions: int | None = None, mode: str = "local") -> Published:
+            columns: list[str] | None = None, partitions: int | None = None, mode: str = "range") -> Published:
     """Write ``df`` as table ``name`` (``layer.table``) under ``root``.
 
     ``columns`` fixes the stored column order (a reader that matches by
@@ -54,23 +83,32 @@ def publish(df: DataFrame, root: str, name: str, cluster_by: list[str] | None =
         out = out.sortWithinPartitions(*keys)
     # Above the exchange: the range partitioner's sampling job must not count.
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    path = table_path(root, name)
-    out.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    path = os.path.join(table_path(root, name), f"{VERSION}{time.time_ns():020d}")
+    out.write.mode("error").parquet(path)
+    for old in versions(spark, root, name)[:-2]:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(old)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
     return Published(name, path, int(obs.get["rows"]), time.time() - t0)
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, name))
+    """The newest version of a table, or a table of the incremental load without its partition columns."""
+    complete = versions(spark, root, name)
+    if complete:
+        return spark.read.parquet(complete[-1])
+    df = spark.read.parquet(table_path(root, name))
+    return df.drop(*PARTITIONS)
 
 
 def register(spark: SparkSession, root: str, name: str) -> None:
     """Expose a published table by name (``layer.table``) in the session
     catalog: ``CREATE SCHEMA IF NOT EXISTS`` + an external Parquet table over
-    the written folder, re-declared when the stored schema changed, and
-    refreshed so a rewrite is seen (SNK2, SNK4). Consumers can then run
+    the newest version, re-declared when the stored schema changed, and
+    pointed at it otherwise (SNK2, SNK4). Consumers can then run
     plain SQL such as ``SELECT … FROM gold.obt_flights``."""
     layer, _, table = name.partition(".")
-    path = table_path(root, name)
+    path = versions(spark, root, name)[-1]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
     fq = f"`{layer}`.`{table}`"
     schema = spark.read.parquet(path).schema
@@ -78,6 +116,6 @@ def register(spark: SparkSession, root: str, name: str) -> None:
         if spark.table(fq).schema != schema:
             spark.sql(f"DROP TABLE {fq}")
         else:
-            spark.sql(f"REFRESH TABLE {fq}")
+            spark.sql(f"ALTER TABLE {fq} SET LOCATION '{path}'")
             return
     spark.catalog.createTable(f"{layer}.{table}", path=path, source="parquet", schema=schema)

@@ -1,6 +1,6 @@
 """Full refresh: bronze → silver → contract → gold → gate, in dependency order.
 
-Each layer is published (Parquet, overwrite) and the next layer reads the
+Each layer is published (Parquet, a new version) and the next layer reads the
 *written* table: lineage is cut at every layer, a failed executor only
 recomputes from the last written table, and Catalyst sees the real file sizes
 (so a registry is broadcast only when it is measured small). The contract
@@ -23,7 +23,7 @@ from pyspark.sql import Observation, SparkSession
 
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
-from opslake.operators.publish import Published, publish, read_published, register
+from opslake.operators.publish import Published, is_incremental, publish, read_published, register
 from opslake.plans import gate, silver
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
@@ -42,15 +42,17 @@ class RunResult:
 
 
 def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = None,
-                     run_gate: bool = True, layout: str | None = "local", catalog: bool = False,
+                     run_gate: bool = True, layout: str | None = "range", catalog: bool = False,
                      parallel: int = 4) -> RunResult:
-    """``layout``: "local" (sort within partitions, no shuffle), "range"
-    (extra range shuffle for disjoint files) or None. ``catalog``: also
+    """``layout``: "range" (extra range shuffle for disjoint files), "local"
+    (sort within partitions, no shuffle) or None. ``catalog``: also
     expose every table by name (``bronze.vra``, ``gold.obt_flights`` …).
     ``parallel``: independent tables of a wave are written by concurrent
     Spark jobs (the dependency DAG: bronze → silver → {contract, dimension,
     fact} → OBT → gate)."""
     root = root or output_root(spark)
+    if is_incremental(spark, root, "bronze.vra"):
+        raise ValueError(f"{root} holds the tables of an incremental load: give the full refresh a root of its own")
     res = RunResult(root=root)
     published: dict = {}
 
@@ -63,7 +65,7 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
         if cluster and layout:
             lead, split = spec.LAYOUT[name]
             cluster_by = lead + split if layout == "range" else lead
-        p = publish(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "local")
+        p = publish(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "range")
         log.info("%s: %s rows in %.1fs", name, f"{p.rows:,}", p.seconds)
         return p
 
@@ -83,7 +85,8 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     # bronze: land as is (flights ∥ registries ∥ seed)
     registry_table = {spec.NATIONAL_AIRLINES_FILE: "bronze.national_airlines",
                       spec.FOREIGN_AIRLINES_FILE: "bronze.foreign_airlines"}
-    wave([("bronze.vra", sources.flights, {})]
+    parse_obs = Observation("bronze:parse_losses")
+    wave([("bronze.vra", sources.flights.observe(parse_obs, *silver.parse_loss_metrics()), {})]
          + [(registry_table[f], df, {}) for f, df in sources.airline_registries.items()]
          + [("bronze.aerodromos", sources.aerodromes, {}), ("bronze.operation_codes", sources.codes, {})])
     for check in sources.checks:
@@ -96,17 +99,15 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     sources = Sources(published["bronze.vra"], reg, published["bronze.aerodromos"],
                       published["bronze.operation_codes"])
     lh = lake()
-    parse_obs = Observation("silver:parse_losses")
     wave([
-        ("silver.vra", lambda: silver.silver_flights(lh.bronze_flights, parse_obs),
-         {"cluster": True, "columns": spec.SILVER_VRA_COLUMNS}),
+        ("silver.vra", lambda: lh.silver_flights, {"cluster": True, "columns": spec.SILVER_VRA_COLUMNS}),
         ("silver.airlines", lambda: lh.silver_airlines, {"columns": spec.SILVER_AIRLINE_COLUMNS}),
         ("silver.aerodromes", lambda: lh.silver_aerodromes, {"columns": spec.SILVER_AERODROME_COLUMNS}),
         ("silver.operation_codes", lambda: lh.silver_codes, {}),
     ])
     res.parse_losses = {k: int(v) for k, v in parse_obs.get.items()}
     if any(res.parse_losses.values()):
-        log.warning("unparsable times in silver.vra: %s", res.parse_losses)
+        log.warning("unparsable times in bronze.vra: %s", res.parse_losses)
     res.seconds["silver"] = time.time() - t1
 
     # contract ∥ dimension ∥ fact, all from the written silver. The contract is
@@ -138,7 +139,7 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
 
 
 def published_lakehouse(spark: SparkSession, sources: Sources, root: str) -> Lakehouse:
-    """A Lakehouse whose layers are the tables of a previous run."""
+    """A Lakehouse whose layers are the tables of a previous run or incremental load."""
     names = ["bronze.vra", "silver.vra", "silver.airlines", "silver.aerodromes", "silver.operation_codes",
              "silver.vra_quarentena", "gold.dim_airport", "gold.fact_flights", "gold.obt_flights"]
     return Lakehouse(sources, published={n: read_published(spark, root, n) for n in names})

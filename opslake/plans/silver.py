@@ -23,24 +23,22 @@ from opslake.operators.mirror import rename, union_with_discriminator
 def parse_loss_metrics() -> list:
     """Per time column, rows whose text was present (not the 'null' marker)
     but did not parse: a silent loss that otherwise only shows up as rule 1
-    or not at all. Evaluated on the renamed bronze text."""
+    or not at all. Evaluated on the landed text by the job that writes bronze
+    (no exchange there whose sampling would count rows twice)."""
     out = []
-    for c in spec.TIMESTAMP_COLUMNS:
-        raw = F.col(c)
-        typed = safe_timestamp(null_if_literal(raw, spec.NULL_LITERAL))
-        present = raw.isNotNull() & (raw != F.lit(spec.NULL_LITERAL))
-        out.append(F.count_if(present & typed.isNull()).alias(f"{c}_unparsable"))
+    for text, name in spec.FLIGHT_SOURCE_COLUMNS:
+        if name in spec.TIMESTAMP_COLUMNS:
+            raw = F.col(f"`{text}`")
+            typed = safe_timestamp(null_if_literal(raw, spec.NULL_LITERAL))
+            present = raw.isNotNull() & (raw != F.lit(spec.NULL_LITERAL))
+            out.append(F.count_if(present & typed.isNull()).alias(f"{name}_unparsable"))
     return out
 
 
-def silver_flights(bronze: DataFrame, observation=None) -> DataFrame:
+def silver_flights(bronze: DataFrame) -> DataFrame:
     """Same row count as bronze; 'null' → NULL on the four times only, safe
-    casts, date/HH:mm split, delay arithmetic in whole minutes. With an
-    ``Observation``, the parse-loss counters are filled by the job that
-    writes silver (no extra scan)."""
+    casts, date/HH:mm split, delay arithmetic in whole minutes."""
     df = rename(bronze, spec.FLIGHT_SOURCE_COLUMNS, keep=[spec.COL_SOURCE_FILE, spec.COL_INGESTED])
-    if observation is not None:
-        df = df.observe(observation, *parse_loss_metrics())
     typed = {c: safe_timestamp(null_if_literal(c, spec.NULL_LITERAL)) for c in spec.TIMESTAMP_COLUMNS}
     df = df.withColumns(typed)
     sd, ad, sa, aa = (F.col(c) for c in spec.TIMESTAMP_COLUMNS)

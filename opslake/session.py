@@ -55,7 +55,6 @@ CLUSTER = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

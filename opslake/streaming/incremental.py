@@ -7,17 +7,22 @@ as future work; this is that load, kept equal to a full refresh:
 ``foreachBatch`` per micro-batch (epoch ``e``):
 
 1. bronze rows of the batch → ``bronze/vra/_batch=e``;
-2. silver rows → ``silver/vra/_month=M/_batch=e`` (M = YYYYMM, -1 if unknown);
+2. silver rows → ``silver/vra/_month=M/_batch=e`` (M = YYYYMM of the first known
+   time, else one of 64 hash buckets below zero);
 3. quarantine rows (contract is row-level) → ``silver/vra_quarentena/_batch=e``;
 4. the months the batch touched are recomputed for the fact and the OBT from
    *all* silver rows of those months → ``gold/*/_month=M``. Exact duplicates
-   share their scheduled time, hence their month, so per-month dedup is the
+   share all dedup keys, hence their partition, so per-partition dedup is the
    global dedup. The touched months drive a left-semi join on the partition
    column, so dynamic partition pruning reads only those months;
 5. the batch's distinct airport codes → ``silver/airport_codes/_batch=e``
    (a few rows per batch); the airport dimension is rebuilt from those code
    rows, never from a rescan of silver.
 
+The registries and the seed are published once, at the start, so the gate and
+the reports run over the same root. A root that holds the versions of a full
+refresh is refused (and the other way round): the two layouts never mix.
+
 Every write uses dynamic partition overwrite on partitions keyed by the epoch
 or the month: a replayed epoch (after a failure) rewrites exactly what it
 wrote before, so the sink is idempotent and the query is exactly-once with its
@@ -26,6 +31,7 @@ checkpoint, which lives in the shared folder (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opslake import spec
-from opslake.operators.contract import quarantine
-from opslake.operators.publish import table_path
+from opslake.operators.contract import observe, quarantine
+from opslake.operators.publish import BATCH, MONTH, publish, table_path, versions
 from opslake.plans import gold
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
@@ -48,19 +54,24 @@ from opslake.sources.csv_landing import (
     reader_options,
 )
 
-MONTH = "_month"
-BATCH = "_batch"
-NO_MONTH = -1
+log = logging.getLogger("opslake.streaming")
+
+UNDATED_BUCKETS = 64
 
 
-def month_key(ts: Column) -> Column:
-    """YYYYMM of a scheduled time as an int (-1 when missing), zone-proof; an
-    int partition value reads back as an int in every table."""
-    return F.coalesce((F.year(ts) * 100 + F.month(ts)).cast("int"), F.lit(NO_MONTH))
+def month_key() -> Column:
+    """YYYYMM of the first known of the four times as an int; rows without any
+    are dealt to buckets -1 … -64 by a hash of all dedup keys, so no partition
+    gathers all of them. All inputs are dedup keys: copies share a partition."""
+    first = F.coalesce(*spec.TIMESTAMP_COLUMNS)
+    bucket = -1 - F.pmod(F.xxhash64(*spec.DEDUP_KEYS), F.lit(UNDATED_BUCKETS))
+    return F.coalesce(F.year(first) * 100 + F.month(first), bucket).cast("int")
 
 
 def _write(df: DataFrame, root: str, name: str, partition_by: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Rows of a month together (large ones split): a file or few per month, not one per task and month.
+    dealt = df.hint("rebalance", MONTH) if MONTH in partition_by else df
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(table_path(root, name)))
 
 
@@ -98,31 +109,33 @@ class IncrementalFlights:
 
         # 2. silver
         silver = self.lake(bronze).silver_flights
-        silver = silver.withColumn(MONTH, month_key(F.col("scheduled_departure"))).withColumn(BATCH, epoch)
+        silver = silver.withColumn(MONTH, month_key()).withColumn(BATCH, epoch)
         _write(silver, root, "silver.vra", [MONTH, BATCH])
         all_silver = _read(spark, root, "silver.vra")
         batch_silver = all_silver.where(F.col(BATCH) == epoch)
 
         # 3. quarantine of the batch rows
         lh = self.lake(bronze, {"silver.vra": batch_silver.drop(MONTH, BATCH)})
-        q = quarantine(lh.marked, lh.rules, spec.REASONS_COLUMN, spec.REASON_SEPARATOR, spec.COL_QUARANTINED)
+        marked, counted = observe(lh.marked, lh.rules, f"contract:{epoch_id}")
+        q = quarantine(marked, lh.rules, spec.REASONS_COLUMN, spec.REASON_SEPARATOR, spec.COL_QUARANTINED)
         _write(q.withColumn(BATCH, epoch), root, "silver.vra_quarentena", [BATCH])
+        log.info("batch %s: contract %s", epoch_id, counted.get)
 
         # 4. touched months: fact and OBT recomputed from every silver row of them
         touched = batch_silver.select(MONTH).distinct()
         month_rows = all_silver.join(touched, MONTH, "left_semi").drop(MONTH, BATCH)
         fact = self.lake(bronze, {"silver.vra": month_rows}).fact
-        _write(fact.withColumn(MONTH, month_key(F.col("scheduled_departure"))), root, "gold.fact_flights", [MONTH])
+        _write(fact.withColumn(MONTH, month_key()), root, "gold.fact_flights", [MONTH])
         fact_rows = _read(spark, root, "gold.fact_flights").join(touched, MONTH, "left_semi").drop(MONTH)
         obt = self.lake(bronze, {"gold.fact_flights": fact_rows}).obt
-        _write(obt.withColumn(MONTH, month_key(F.col("scheduled_departure"))), root, "gold.obt_flights", [MONTH])
+        _write(obt.withColumn(MONTH, month_key()), root, "gold.obt_flights", [MONTH])
 
         # 5. airport dimension from the per-batch code rows
         codes = gold.airport_codes(batch_silver).withColumn(BATCH, epoch)
         _write(codes, root, "silver.airport_codes", [BATCH])
         lh = self.lake(bronze)
         dim = gold.dim_from_codes(_read(spark, root, "silver.airport_codes"), lh.best_aerodrome)
-        dim.write.mode("overwrite").parquet(table_path(root, "gold.dim_airport"))
+        publish(dim, root, "gold.dim_airport", columns=spec.DIM_AIRPORT_COLUMNS)
 
 
 def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str | None = None,
@@ -130,6 +143,12 @@ def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str
           fmt: CsvFormat = UTF8_QUOTED) -> StreamingQuery:
     """Start the incremental load over the CSV files arriving in ``flights_dir``."""
     root = root or output_root(spark)
+    if versions(spark, root, "bronze.vra"):
+        raise ValueError(f"{root} holds the tables of a full refresh: give the incremental load a root of its own")
+    lh = Lakehouse(registries)
+    for name, df in (("silver.airlines", lh.silver_airlines), ("silver.aerodromes", lh.silver_aerodromes),
+                     ("silver.operation_codes", lh.silver_codes)):
+        publish(df, root, name)
     header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
     reader = spark.readStream.format("csv").schema(landing_schema(header)).options(**reader_options(fmt))
     if max_files_per_trigger:
@@ -140,9 +159,3 @@ def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str
               .option("checkpointLocation", os.path.join(root, "_checkpoints", "flights")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-
-
-def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the incremental layout without its partition helper columns."""
-    df = _read(spark, root, name)
-    return df.drop(*[c for c in (MONTH, BATCH) if c in df.columns])

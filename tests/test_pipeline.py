@@ -87,7 +87,7 @@ def test_published_tables_answer_plain_sql(spark):
     assert spark.sql("SELECT COUNT(*) AS n FROM gold.obt_flights").first().n == n
 
 
-def test_parse_losses_are_observed_on_the_silver_write(spark, run):
+def test_parse_losses_are_observed_on_the_bronze_write(spark, run):
     lh, res = run
     names = {f"{c}_unparsable" for c in ["scheduled_departure", "actual_departure", "scheduled_arrival",
                                          "actual_arrival"]}
@@ -132,3 +132,31 @@ def test_column_profile_with_sketch(spark):
                                                      distinct=True).collect()}
     assert prof["flight_status"].approx_distinct == 2    # CANCELADO, REALIZADO (NULL not counted)
     assert prof["departure_delay_min"].null_count > 0
+
+
+def test_a_failing_write_leaves_the_old_table(spark):
+    from pyspark.sql import functions as F
+    from opslake.operators.publish import publish, versions
+    root = tempfile.mkdtemp(prefix="opslake-versions-")
+    for n in (5, 6, 7):
+        publish(spark.range(n), root, "gold.t")
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        publish(broken, root, "gold.t")
+    assert read_published(spark, root, "gold.t").count() == 7
+    assert len(versions(spark, root, "gold.t")) == 2      # the current and the previous one
+
+
+def test_a_date_filter_reads_few_files(spark):
+    from opslake import spec
+    from opslake.operators.publish import publish
+    root = tempfile.mkdtemp(prefix="opslake-skip-")
+    fact = from_driver_tables(spark, SF).fact
+    lead, split = spec.LAYOUT["gold.fact_flights"]
+    publish(fact, root, "gold.fact_flights", cluster_by=lead + split, partitions=8)
+    table = read_published(spark, root, "gold.fact_flights")
+    first = table.agg({"scheduled_departure_date": "min"}).first()[0]
+    from pyspark.sql import functions as F
+    month = table.where(F.col("scheduled_departure_date").between(first, F.date_add(F.lit(first), 30)))
+    assert len(table.inputFiles()) == 8
+    assert month.select(F.input_file_name()).distinct().count() <= 2
