@@ -32,7 +32,7 @@ def _canon(cols, rows):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["lineitem", "orders", "supplier", "nation"]:
+    for t in ["lineitem", "orders", "customer", "supplier", "nation"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
