@@ -138,15 +138,21 @@ def line_keys(docs: DataFrame, max_edits: int, min_chars: int, text_col: str) ->
         line = np.repeat(line, count) | (rank < np.repeat([own for _, own in plans], count))
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(line)], ["key", "line"])
 
+    def keyed(lines: set[str]) -> Iterator[pa.RecordBatch]:
+        some = [s for s in lines if len(s) >= min_chars]
+        for at in range(0, len(some), LINES):
+            yield entries(some[at:at + LINES])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines: set[str] = set()
             for t in batch.column(0):
                 if t.is_valid:
                     lines.update(s.strip(BLANKS) for s in t.as_py().split("\n") if len(s) >= min_chars)
-            some = [s for s in lines if len(s) >= min_chars]
-            for at in range(0, len(some), LINES):
-                yield entries(some[at:at + LINES])
+                if len(lines) >= LINES:
+                    yield from keyed(lines)
+                    lines = set()
+            yield from keyed(lines)
 
     return src.mapInArrow(run, "key long, line long")
 
@@ -227,7 +233,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, min_chars: int
 
         out: list[tuple[int, int]] = []
         across = False
-        for batch in batches:
+        for batch in (b.slice(at, BLOCK) for b in batches for at in range(0, b.num_rows, BLOCK)):
             for r in zip(*(c.to_pylist() for c in batch.columns)):
                 if r[:3] != run:
                     if len(rows) > 1:
