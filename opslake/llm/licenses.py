@@ -1,8 +1,8 @@
 """License scans: a positional rare-token index, DataFrame functions only.
 
 The index lists, for each template, its rarest words (highest IDF over all
-documents) with their positions. A file looks up its own highest-IDF licence
-words there; every posting votes for (template, position in the file less
+documents) with their positions. A file looks up every word of it that the index
+holds; every posting votes for (template, position in the file less
 position in the template). A place with two or more votes, or all the template's
 postings, is aligned with the template word by word; the share of template words
 that match is its score. A label needs the score and the template's mandatory
@@ -54,7 +54,6 @@ TEMPLATES = [
     ("gpl", "licensed under the gnu general public license", ["gnu general public license"]),
 ]
 RARE = 4          # postings of a template
-LOOKED_UP = 12    # of a file's licence words, by IDF
 MIN_SCORE = 0.8
 
 
@@ -114,10 +113,10 @@ def scan_licenses(docs: DataFrame, templates: list = TEMPLATES, phrases: list =
     result; extra columns are ignored."""
     files = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         words_of(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("words"))
-    postings, idf = rare_words(templates, *document_frequencies(files, templates))
-    indexed = sorted({w for w, _, _ in postings}, key=lambda w: (-idf[w], w))
-    # The file's own licence words in the index, highest IDF first.
-    mine = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in indexed]), F.col("words")), 1, LOOKED_UP)
+    postings, _ = rare_words(templates, *document_frequencies(files, templates))
+    indexed = sorted({w for w, _, _ in postings})
+    # The file's own words in the index: all of them, bounded by the templates' postings.
+    mine = F.array_intersect(F.array(*[F.lit(w) for w in indexed]), F.col("words"))
     f = files.select("*", mine.alias("rare"), F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("joined"))
     for k, (phrase, _) in enumerate(phrases):
         f = f.withColumn(f"p{k}", _places(phrase))
@@ -126,7 +125,7 @@ def scan_licenses(docs: DataFrame, templates: list = TEMPLATES, phrases: list =
     by_word: dict[str, list] = {}
     for w, t, p in postings:
         by_word.setdefault(w, []).append((t, p))
-    spots = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("rare", w), F.struct(w.alias("w"), i.alias("i")))),
+    spots = F.filter(F.transform("words", lambda w, i: F.when(w.isin(indexed), F.struct(w.alias("w"), i.alias("i")))),
                      lambda x: x.isNotNull())
     f = f.select("*", F.when(F.size("rare") >= 2, spots).alias("spots")).drop("joined")
 

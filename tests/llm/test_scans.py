@@ -142,3 +142,16 @@ def test_licenses(spark, pad):
     labels = {r.doc_id: r.labels for r in rows}
     assert labels[6] == "mit" and labels[7] == "" and labels[8] == "bsd" and labels[5] == "cc-by,cc-by-nc" and labels[4] == "apache"
     assert licenses.scan_licenses(docs.limit(0)).collect() == []
+
+
+def test_every_indexed_word_is_looked_up(spark):
+    # All templates in one text, and a short one behind many indexed words of the others.
+    every = ". ".join(t for _, t, _ in licenses.TEMPLATES)
+    mpl = next(t for k, t, _ in licenses.TEMPLATES if k == "mpl")
+    stray = " filler ".join(reversed(licenses.vocabulary(licenses.TEMPLATES)))
+    common = [(10 + i, mpl) for i in range(30)]  # makes the words of mpl the commonest
+    docs = spark.createDataFrame([(0, every), (1, f"{stray} filler {mpl}"), *common], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert {m.label for m in rows[0].matches} == {k for k, *_ in licenses.TEMPLATES}
+    assert rows[1].labels == "mpl"
+    assert all(r.labels == "mpl" and r.score == 1 for k, r in rows.items() if k >= 10)
