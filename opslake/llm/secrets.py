@@ -5,7 +5,8 @@ string in a sensitive context that does not compress: its marginal compressed
 size, primed with an identifier dictionary and the code or text around it, is
 the size of (context + candidate) less that of the context alone. Words and
 identifiers that occur around it or in the dictionary cost a few bytes; random
-keys cost about their length.
+keys cost about their length. Copies of the candidate itself are blanked in what
+primes the compressor, so a key that stands several times is found at each place.
 
 The identifier dictionary holds the most frequent words of the corpus, counted
 over all documents in Spark; its size is a documented bound (``dictionary_bytes``),
@@ -38,6 +39,8 @@ RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
 SENSITIVE = re.compile(
     r"passw|passwd|pwd|secret|token|api.?key|auth|bearer|credential|private|access.?key|signature|[\"']?key[\"']?\s*[:=]",
     re.I | re.A)
+# Parts of a long word: a letter and the lower-case letters after it, at most 15 together.
+PART = re.compile(r"[A-Za-z][a-z]{3,14}(?![a-z])")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 CONTEXT = 64       # characters before a candidate that must hold a sensitive word
 SURROUND = 2048    # characters around it that prime the compressor
@@ -73,6 +76,14 @@ class Novelty:
         return size / max(1, len(candidate))
 
 
+def surroundings(text: str, a: int, b: int) -> str:
+    """``SURROUND`` characters before and after the candidate, with every copy of it blanked, also one cut at the far end."""
+    word, n = text[a:b], b - a
+    before = text[max(0, a - SURROUND - n):a].replace(word, "\n" * n)
+    after = text[b:b + SURROUND + n].replace(word, "\n" * n)
+    return before[-SURROUND:] + after[:SURROUND]
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     """Incompressible runs after a sensitive word, where no base span lies."""
     found = []
@@ -81,30 +92,35 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         word = run.group().strip(".=-/")
         a += run.group().find(word) if word else 0
         b = a + len(word)
-        if len(word) < 16 or not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
+        if len(word) < 16 or not any(c.isalpha() for c in word):
             continue
         if any(s < b and e > a for s, _, e in base):
             continue
         if not SENSITIVE.search(text, max(0, a - CONTEXT), a):
             continue
-        around = (text[max(0, a - SURROUND):a] + text[b:b + SURROUND]).encode("utf-8", "surrogatepass")
-        if novelty.ratio(around, word.encode()) >= MIN_NOVELTY:
+        if novelty.ratio(surroundings(text, a, b).encode("utf-8", "surrogatepass"), word.encode()) >= MIN_NOVELTY:
             found.append((a, 3, b))
     return found
 
 
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", max_bytes: int = DICTIONARY_BYTES) -> bytes:
-    """The most frequent words of 4 to 32 characters over all documents, the
-    most frequent last (nearest, so cheapest to refer to). At most ``max_bytes``
+    """The most frequent words of 4 to 15 characters, and parts of words of 16
+    to 32, over all documents, the most frequent last (nearest, so cheapest to refer to). At most ``max_bytes``
     come to the driver."""
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counts(seen: Counter) -> Iterator[pa.RecordBatch]:
-            # A copied secret must not prime the compressor for itself.
-            words = [w for w in seen if 4 <= len(w) < 16 or len(w) <= 32 and not any(c.isdigit() for c in w)]
-            if words:
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())],
+            # A copied secret must not prime the compressor for itself: longer words count by their parts only.
+            parts: Counter = Counter()
+            for w, n in seen.items():
+                if 4 <= len(w) < 16:
+                    parts[w] += n
+                elif 16 <= len(w) <= 32 and not any(c.isdigit() for c in w):
+                    for part in PART.findall(w):
+                        parts[part] += n
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), pa.array(list(parts.values()), pa.int64())],
                                                  ["word", "n"])
 
         seen: Counter = Counter()

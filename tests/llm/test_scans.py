@@ -155,3 +155,24 @@ def test_every_indexed_word_is_looked_up(spark):
     assert {m.label for m in rows[0].matches} == {k for k, *_ in licenses.TEMPLATES}
     assert rows[1].labels == "mpl"
     assert all(r.labels == "mpl" and r.score == 1 for k, r in rows.items() if k >= 10)
+
+
+@pytest.mark.parametrize("key", [KEY, "hTqvQwxLwiZrdKpNosYbuMfD", KEY[::-1] + KEY.swapcase()])
+def test_key_that_stands_twice(spark, key):
+    # Set, then used: near, far, beyond the surroundings, cut by their edge, and in a key without digits.
+    pads = [3, 500, 1500, secrets.SURROUND - 10, 3 * secrets.SURROUND]
+    texts = [f"auth header {key} ;" + "filler words " * (n // 13) + " " * (n % 13) + f"private key {key} end" for n in pads]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in secrets.scan_secrets(docs, secrets.identifier_dictionary(docs)).collect():
+        text = texts[r.doc_id]
+        assert [text[s.start:s.end] for s in r.spans if s.kind == "novel"] == [key, key]
+        assert text.count(key) == 2
+
+
+def test_long_identifier_is_no_secret(spark):
+    name = "responsibilityConfigurationManager"
+    word = " responsibility Configuration Manager "
+    text = f"{word * 3} auth {name[:32]} then private key {name[:32]} "
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    r = secrets.scan_secrets(docs, secrets.identifier_dictionary(docs)).first()
+    assert r.spans == []
