@@ -176,3 +176,28 @@ def test_long_identifier_is_no_secret(spark):
     docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
     r = secrets.scan_secrets(docs, secrets.identifier_dictionary(docs)).first()
     assert r.spans == []
+
+
+def test_propagation_goes_to_the_end(spark):
+    # A farm of 20 hosts strung before a blocked host, and a cycle beside it.
+    n, cycle = 20, [("c0", "c1", 1), ("c1", "c2", 2), ("c1", "c0", 1), ("c2", "c0", 1)]
+    edges = [(f"h{i}", f"h{i + 1}", 1) for i in range(n)] + cycle
+    seeds = [(f"h{n}", 0.0, 1.0), ("c0", 1.0, 0.5)]
+    e = spark.createDataFrame(edges, "src string, dst string, n long").coalesce(1)
+    s = spark.createDataFrame(seeds, "host string, trust double, distrust double").coalesce(1)
+    got = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(e, s).collect()}
+    for side, pairs in ((0, edges), (1, [(b, a, k) for a, b, k in edges])):
+        out = Counter()
+        for a, _, k in pairs:
+            out[a] += k
+        x = {}
+        for _ in range(400):
+            y = {h: 0.15 * w[side] for h, *w in seeds}
+            for a, b, k in pairs:
+                y[b] = y.get(b, 0.0) + 0.85 * x.get(a, 0.0) * k / out[a]
+            x = y
+        assert {h for h, v in x.items() if v > 0} == {h for h, v in got.items() if v[side] > 0}
+        assert all(abs(got[h][side] - v) < url_filter.MARGIN for h, v in x.items() if v > 0)
+    assert got["h0"][1] == pytest.approx(0.15 * 0.85 ** n)
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(e, s, 3)
