@@ -77,10 +77,13 @@ class Novelty:
 
 
 def surroundings(text: str, a: int, b: int) -> str:
-    """``SURROUND`` characters before and after the candidate, with every copy of it blanked, also one cut at the far end."""
+    """``SURROUND`` characters before and after the candidate, with every copy of
+    it, and of the value in ``name=value``, blanked, also one cut at the far end."""
     word, n = text[a:b], b - a
-    before = text[max(0, a - SURROUND - n):a].replace(word, "\n" * n)
-    after = text[b:b + SURROUND + n].replace(word, "\n" * n)
+    before, after = text[max(0, a - SURROUND - n):a], text[b:b + SURROUND + n]
+    value = word.rpartition("=")[2]
+    for copy in (word, value) if len(value) >= 16 else (word,):
+        before, after = (x.replace(copy, "\n" * len(copy)) for x in (before, after))
     return before[-SURROUND:] + after[:SURROUND]
 
 

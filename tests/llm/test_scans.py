@@ -169,6 +169,13 @@ def test_key_that_stands_twice(spark, key):
         assert text.count(key) == 2
 
 
+def test_key_set_then_used():
+    for name in ("k", "signing_value", "a_rather_long_name_of_it"):
+        text = f"auth {name}={KEY}\n" + "filler words " * 20 + f"private {KEY} and auth {name}={KEY}"
+        found = secrets.novel_spans(text, secrets.base_spans(text), secrets.Novelty(b"filler words private"))
+        assert [text[a:b] for a, _, b in found] == [f"{name}={KEY}", KEY, f"{name}={KEY}"]
+
+
 def test_long_identifier_is_no_secret(spark):
     name = "responsibilityConfigurationManager"
     word = " responsibility Configuration Manager "
