@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslake.llm import embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality, secrets, simhash, url_filter
+from opslake.llm import (conversation_repair, embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality,
+                         secrets, simhash, url_filter, whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality.op8_quality_rules,
         "op9_packing": packing.op9_packing,
         "op10_license_scan": licenses.op10_license_scan,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     }
 
 
