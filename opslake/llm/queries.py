@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opslake.llm import (conversation_repair, embedding_dedup, language_model, licenses, line_dedup, mixing, packing, quality,
-                         secrets, simhash, url_filter, whitening)
+                         secrets, simhash, substring_dedup, url_filter, whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality.op8_quality_rules,
         "op9_packing": packing.op9_packing,
         "op10_license_scan": licenses.op10_license_scan,
+        "op11_substring_dedup": substring_dedup.op11_substring_dedup,
         "op12_whitening": whitening.op12_whitening,
         "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     }
