@@ -56,6 +56,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, in a folder of their own in the
+    shared folder. Shuffle files of a written table go as soon as it is there,
+    and ``drop`` deletes tables that no later job reads."""
+
+    CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root = spark, fresh_path(spark, name)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and read it back: cuts lineage, as ``written``."""
+        was = self.spark.conf.get(self.CLEAN, None)
+        self.spark.conf.set(self.CLEAN, "true")
+        try:
+            df.write.parquet(f"{self.root}/{name}")
+        finally:
+            if was is None:
+                self.spark.conf.unset(self.CLEAN)
+            else:
+                self.spark.conf.set(self.CLEAN, was)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,10 +5,10 @@ last ones (nodes). A node is a joint if documents with different ids hold it
 and its occurrences do not all come from one word before and go on to one word
 after (an end of a document counts as another word). Between joints paths do not
 branch, so all occurrences of such a path are equal from joint to joint: it is
-compacted to one edge, named by its joints, its length and a 128-bit fingerprint
-that is taken from its source coordinates (prefix hashes of the document at both
-ends). Compacted edges of several documents are the long repeated spans; the
-smallest id keeps its copy.
+compacted to one edge, named by its joints, its length and a fingerprint of the
+words between, taken from its source coordinates (prefix hashes of the document
+at both ends; 192 bits with the joints' own). Compacted edges of several documents
+are the long repeated spans; the smallest id keeps its copy.
 
 Scale: nodes are not made for every word. First, documents are compacted in the
 sparse graph of anchors: of the k-word strings of each node the one with the
@@ -17,7 +17,8 @@ holds an anchor that different documents share and one whose neighbours
 differ, so only nodes around such anchors are made and joined: the ends of
 shared passages, not their insides. All degrees are counted by partial
 aggregation; joins are on hashes, and a passage that a third of all documents
-share is one row a map task there. Texts move twice, keyed by document.
+share is one row a map task there. Texts move twice, keyed by document. Tables
+in between go once the next one is written.
 """
 
 from __future__ import annotations
@@ -30,15 +31,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm._common import read_table, written
+from opslake.llm._common import Scratch, read_table
 
 WINDOW = 50
 CUT = "struct<n_words: bigint, n_removed: bigint, kept: string>"
 ROWS = 1 << 16  # rows of a result batch
 WRAP = 1 << 64
-# Odd multipliers of the two prefix hashes (fixed values, any odd numbers serve).
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-INVERSES = tuple(pow(b, -1, WRAP) for b in BASES)
+# Odd multipliers of the prefix hash and the mixing (fixed values, any odd numbers serve).
+BASE, STIR = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+INVERSE = pow(BASE, -1, WRAP)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of BASE and INVERSE, as far as a text was long
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -47,32 +49,42 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """(words, 2) hashes, unsigned."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), np.uint64)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n of BASE and of its inverse, wrapped."""
+    if len(_powers[0]) <= n:
+        for i, base in enumerate((BASE, INVERSE)):
+            all_ = np.full(2 * n, base, np.uint64)
+            all_[0] = 1
+            _powers[i] = np.multiply.accumulate(all_)
+    return _powers[0][:n + 1], _powers[1][:n + 1]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned longs (a bijection)."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(BASES[1])
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(BASES[0])
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(STIR)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(BASE)
     return x ^ (x >> np.uint64(32))
 
 
 class Prefix:
     """Hashes of all spans of a document by two differences of prefix sums."""
 
-    def __init__(self, words: np.ndarray, which: int) -> None:
-        n = len(words)
-        self.up = np.full(n + 1, BASES[which], np.uint64)
-        self.down = np.full(n + 1, INVERSES[which], np.uint64)
-        self.up[0] = self.down[0] = 1
-        self.up, self.down = np.multiply.accumulate(self.up), np.multiply.accumulate(self.down)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(words * self.up[:-1], out=self.sums[1:])
+    def __init__(self, words: np.ndarray) -> None:
+        up, self.down = powers(len(words))
+        self.sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * up[:-1], out=self.sums[1:])
 
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def strings(self, k: int) -> np.ndarray:
+        """The hashes of all spans of k words, in order."""
+        n = len(self.sums) - k
+        return mixed((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
+
 
 def _sliding(a: np.ndarray, width: int, pick) -> np.ndarray:
     """The least or largest (``pick``) of each ``width`` neighbours."""
@@ -89,9 +101,8 @@ class Document:
         self.node = window - 1
         self.k = self.node // 3 + 1
         self.hashes = word_hashes(words)
-        self.prefix = Prefix(self.hashes[:, 0], 0)
-        at = np.arange(len(words) - self.k + 1)
-        strings = self.prefix.span(at, at + self.k)
+        self.prefix = Prefix(self.hashes)
+        strings = self.prefix.strings(self.k)
         width = self.node - self.k + 1
         self.least = _sliding(strings, width, np.minimum)  # of each node
         edge = np.zeros(width - 1, np.uint64)
@@ -99,11 +110,14 @@ class Document:
         self.anchors = np.flatnonzero(strings == taken)
         self.names = strings[self.anchors]
 
-    def segments(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words from each anchor but the first back to, and from
-        each but the last on to, the end of its neighbour: equal arrays."""
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of the words from the anchor before to the one after each
+        anchor, and whether there are both."""
         both = self.prefix.span(self.anchors[:-1], self.anchors[1:] + self.k)
-        return both, both
+        none = np.zeros(1, np.uint64)
+        inner = np.ones(len(self.anchors), bool)
+        inner[[0, -1]] = False
+        return mixed(np.concatenate([none, both])) + np.concatenate([both, none]), inner
 
     def near_joints(self, marks: dict[int, bool]) -> np.ndarray:
         """Places of the nodes that may be joints. ``marks``: the anchors, by place,
@@ -125,8 +139,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def _optional(x: np.ndarray, missing: np.ndarray) -> pa.Array:
-    return pa.array(_signed(x), mask=missing)
+def _around(x: np.ndarray, known: np.ndarray, doc: int, copy: int, at: np.ndarray) -> pa.Array:
+    """What stands around each place; where one side is missing, a value of its own."""
+    own = mixed((at.astype(np.uint64) * np.uint64(BASE)) ^ np.uint64(copy % WRAP)) ^ np.uint64(doc % WRAP)
+    return pa.array(_signed(np.where(known, x, mixed(own))))
 
 
 def _merged(parts: Iterator[list[pa.Array]], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -152,16 +168,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.cast("binary").alias("text"))
 
 
-def _joints(name: str) -> list[Column]:
-    """Aggregates of (doc, prev, next) rows: whether several documents hold a
-    string, and whether all its occurrences have the same words around."""
-    one = (F.min("prev") == F.max("prev")) & (F.min("next") == F.max("next"))
-    full = (F.count("prev") == F.count(F.lit(1))) & (F.count("next") == F.count(F.lit(1)))
-    return [(F.min("doc") < F.max("doc")).alias("shared"), F.coalesce(one & full, F.lit(False)).alias(name)]
+# Of (name, around, doc): whether several documents hold a string, and whether all its occurrences have the same around.
+SHARED, PLAIN = "min(doc) < max(doc) AS shared", "min(around) = max(around) AS plain"
 
 
 def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, copy, pos, name, prev, next) of every anchor of ``keyed`` documents."""
+    """(doc, copy, pos, name, around) of every anchor of ``keyed`` documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for batch in batches:
@@ -169,20 +181,17 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
                     words = words_of(text)
                     if len(words) >= window:
                         d = Document(words, window)
-                        before, after = d.segments()
-                        n, none = len(d.anchors), np.zeros(1, np.uint64)
-                        at = np.arange(n)
-                        yield [_same(n, doc), _same(n, copy), pa.array(d.anchors.astype(np.int32)), pa.array(_signed(d.names)),
-                               _optional(np.concatenate([none, before]), at == 0),
-                               _optional(np.concatenate([after, none]), at == n - 1)]
-        return _merged(parts(), ["doc", "copy", "pos", "name", "prev", "next"])
+                        n, at = len(d.anchors), d.anchors
+                        yield [_same(n, doc), _same(n, copy), pa.array(at.astype(np.int32)), pa.array(_signed(d.names)),
+                               _around(*d.neighbours(), doc, copy, at)]
+        return _merged(parts(), ["doc", "copy", "pos", "name", "around"])
 
-    return docs.mapInArrow(run, "doc long, copy long, pos int, name long, prev long, next long")
+    return docs.mapInArrow(run, "doc long, copy long, pos int, name long, around long")
 
 
 def node_rows(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, copy, pos, name, prev, next, p1, p2) of the nodes that may be joints:
-    words around as hashes, and both prefix sums. ``docs`` has ``marks``."""
+    """(doc, copy, pos, name, around, sum) of the nodes that may be joints: hash of the
+    words around, and prefix sum. ``docs`` has ``marks``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for batch in batches:
@@ -192,28 +201,28 @@ def node_rows(docs: DataFrame, window: int) -> DataFrame:
                     if not len(at):
                         continue
                     end = at + d.node
-                    word = np.concatenate([np.zeros(1, np.uint64), d.hashes[:, 0], np.zeros(1, np.uint64)])
+                    word = np.concatenate([np.zeros(1, np.uint64), d.hashes, np.zeros(1, np.uint64)])
+                    around = mixed(word[at]) + word[end + 1]
                     yield [_same(len(at), doc), _same(len(at), copy), pa.array(at.astype(np.int32)), pa.array(_signed(d.prefix.span(at, end))),
-                           _optional(word[at], at == 0), _optional(word[end + 1], end == len(d.hashes)),
-                           pa.array(_signed(d.prefix.sums[at])), pa.array(_signed(Prefix(d.hashes[:, 1], 1).sums[at]))]
-        return _merged(parts(), ["doc", "copy", "pos", "name", "prev", "next", "p1", "p2"])
+                           _around(around, (at > 0) & (end < len(d.hashes)), doc, copy, at), pa.array(_signed(d.prefix.sums[at]))]
+        return _merged(parts(), ["doc", "copy", "pos", "name", "around", "sum"])
 
-    return docs.mapInArrow(run, "doc long, copy long, pos int, name long, prev long, next long, p1 long, p2 long")
+    return docs.mapInArrow(run, "doc long, copy long, pos int, name long, around long, sum long")
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compacted edges between neighbouring joints, from joints by document and place."""
-    names = ["doc", "copy", "start", "edges", "from", "to", "f1", "f2"]
+    names = ["doc", "copy", "start", "edges", "from", "to", "between"]
     was = None
     for batch in batches:
         out = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            doc, copy, pos, name, *sums = row
+            doc, copy, pos, name, total = row
             if was and was[:2] == row[:2]:
                 if pos == was[2]:
                     continue  # the same row stands twice in the input
-                prints = [((x - y) * pow(inv, was[2], WRAP) + (1 << 63)) % WRAP - (1 << 63) for x, y, inv in zip(sums, was[4:], INVERSES)]
-                out.append((doc, copy, was[2], pos - was[2], was[3], name, *prints))
+                between = (total - was[4]) * pow(INVERSE, was[2], WRAP)
+                out.append((doc, copy, was[2], pos - was[2], was[3], name, (between + (1 << 63)) % WRAP - (1 << 63)))
             was = row
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
@@ -222,21 +231,28 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, copy, spans): word spans (start, length) of each document that are
     covered by windows which a document with a smaller id holds as well."""
+    tables = Scratch(docs.sparkSession, "substring-dedup")
     texts = keyed(docs, id_col, text_col)
-    anchors = written(anchor_rows(texts, window), "anchors")
-    shared = anchors.groupBy("name").agg(*_joints("plain")).where("shared").select("name", "plain")
+    anchors = tables.keep(anchor_rows(texts, window), "anchors")
+    shared = anchors.groupBy("name").agg(F.expr(SHARED), F.expr(PLAIN)).where("shared").select("name", "plain")
     marks = anchors.select("doc", "copy", "pos", "name").join(shared, "name").groupBy("doc", "copy").agg(
         F.sort_array(F.collect_set(F.struct("pos", "plain"))).alias("marks"))
-    nodes = written(node_rows(texts.join(marks, ["doc", "copy"]).select("doc", "copy", "text", "marks"), window), "nodes")
-    joints = nodes.groupBy("name").agg(*_joints("plain")).where("shared AND NOT plain").select("name")
-    found = nodes.select("doc", "copy", "pos", "name", "p1", "p2").join(joints, "name", "left_semi").select("doc", "copy", "pos", "name", "p1", "p2")
-    path = ["edges", "from", "to", "f1", "f2"]
+    marks = tables.keep(marks.where(F.exists("marks", lambda m: ~m["plain"])), "marks")
+    tables.drop("anchors")
+    nodes = tables.keep(node_rows(texts.join(marks, ["doc", "copy"]).select("doc", "copy", "text", "marks"), window), "nodes")
+    tables.drop("marks")
+    joints = tables.keep(nodes.groupBy("name").agg(F.expr(SHARED), F.expr(PLAIN)).where("shared AND NOT plain").select("name"), "joints")
+    found = nodes.select("doc", "copy", "pos", "name", "sum").join(joints, "name", "left_semi").select("doc", "copy", "pos", "name", "sum")
+    path = ["edges", "from", "to", "between"]
     kind = ", ".join(f"{c} long" for c in ["doc", "copy", "start"] + path)
-    edges = written(found.repartition("doc", "copy").sortWithinPartitions("doc", "copy", "pos").mapInArrow(_edges, kind), "edges")
+    edges = tables.keep(found.repartition("doc", "copy").sortWithinPartitions("doc", "copy", "pos").mapInArrow(_edges, kind), "edges")
+    tables.drop("nodes", "joints")
     first = edges.groupBy(*path).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
     later = edges.join(first, path).where("doc > first")
     span = F.struct("start", (F.col("edges") + window - 1).alias("length"))
-    return written(later.groupBy("doc", "copy").agg(F.sort_array(F.collect_set(span)).alias("spans")), "spans")
+    spans = tables.keep(later.groupBy("doc", "copy").agg(F.sort_array(F.collect_set(span)).alias("spans")), "spans")
+    tables.drop("edges")
+    return spans
 
 
 def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
