@@ -1,10 +1,14 @@
-"""Publishing a table: idempotent full refresh with layout and a row count
+"""Publishing tables: write, audit, then commit, with layout and a row count
 observed on the write itself (SNK1–SNK5, SNK7).
 
-* A refresh writes a new version folder of the table; it becomes the table with
-  its ``_SUCCESS`` marker, which the job writes last. Readers keep the version
-  they opened, a failed job leaves the old one in place, and versions older than
-  the previous one are deleted. The schema may change between runs.
+* ``stage`` writes a new version folder of a table. Nobody reads it until
+  ``commit`` names it: a commit is one small file that maps tables to versions,
+  so all tables of a run become current in one step, after whatever was to be
+  verified. A job or check that fails leaves every table as it was; ``discard``
+  removes what it staged. The schema may change between versions.
+* A commit deletes the versions and commits older than the previous one, and
+  staged versions that an ended run left behind. Readers keep what they opened.
+  One run at a time writes to a root.
 * Layout (the reference's clustering), two modes:
   ``range`` (default) — range-partition on the cluster columns first (an extra
   shuffle plus a sampling job; files get disjoint ranges, so a filter on the
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 
 VERSION = "version-"
+COMMITS = "commits"
 MONTH, BATCH = PARTITIONS = ("_month", "_batch")   # partition columns of the incremental load
 
 
@@ -53,7 +58,7 @@ def _folders(spark: SparkSession, path: str) -> tuple:
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[str]:
-    """Paths of the complete versions of a table, oldest first."""
+    """Paths of the complete versions of a table, oldest first, committed or not."""
     path = table_path(root, name)
     fs, names = _folders(spark, path)
     marked = spark._jvm.org.apache.hadoop.fs.Path
@@ -61,14 +66,60 @@ def versions(spark: SparkSession, root: str, name: str) -> list[str]:
             if n.startswith(VERSION) and fs.exists(marked(os.path.join(path, n, "_SUCCESS")))]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def commits(spark: SparkSession, root: str, last: int = 1) -> list[dict[str, str]]:
+    """The last commits (table → version folder), newest first."""
+    _, names = _folders(spark, os.path.join(root, COMMITS))
+    fs, found = _folders(spark, root)[0], []
+    for n in reversed(names):
+        path = os.path.join(root, COMMITS, n)
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))):
+            found.append({r.name: r.version for r in spark.read.schema("name string, version string").json(path).collect()})
+            if len(found) == last:
+                break
+    return found
+
+
+def current(spark: SparkSession, root: str) -> dict[str, str]:
+    """Table → path of its committed version."""
+    done = commits(spark, root)
+    return {name: os.path.join(table_path(root, name), v) for name, v in done[0].items()} if done else {}
+
+
+def commit(spark: SparkSession, root: str, tables: list[Published]) -> None:
+    """Make the staged versions of ``tables`` current, all at once; other tables stay."""
+    old = commits(spark, root)
+    new = (old[0] if old else {}) | {t.name: os.path.basename(t.path) for t in tables}
+    rows = spark.createDataFrame(sorted(new.items()), "name string, version string")
+    rows.coalesce(1).write.json(os.path.join(root, COMMITS, f"commit-{time.time_ns():020d}"))
+    read = [new, *old]
+    for t in tables:
+        keep = {c.get(t.name) for c in read}
+        for n in _folders(spark, table_path(root, t.name))[1]:
+            if n.startswith(VERSION) and n not in keep and n < new[t.name]:
+                _delete(spark, os.path.join(table_path(root, t.name), n))
+    for n in _folders(spark, os.path.join(root, COMMITS))[1][:-2]:
+        _delete(spark, os.path.join(root, COMMITS, n))
+
+
+def discard(spark: SparkSession, tables: list[Published]) -> None:
+    """Remove staged versions that must not become current."""
+    for t in tables:
+        _delete(spark, t.path)
+
+
 def is_incremental(spark: SparkSession, root: str, name: str) -> bool:
     """Whether the table is in the partitioned layout of the incremental load."""
     return any("=" in n for n in _folders(spark, table_path(root, name))[1])
 
 
-def publish(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None,
-            columns: list[str] | None = None, partitions: int | None = None, mode: str = "range") -> Published:
-    """Write ``df`` as table ``name`` (``layer.table``) under ``root``.
+def stage(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None,
+          columns: list[str] | None = None, partitions: int | None = None, mode: str = "range") -> Published:
+    """Write ``df`` as a version of table ``name`` (``layer.table``) under ``root``, to be committed.
 
     ``columns`` fixes the stored column order (a reader that matches by
     position can never be handed swapped columns).
@@ -83,20 +134,24 @@ def publish(df: DataFrame, root: str, name: str, cluster_by: list[str] | None =
         out = out.sortWithinPartitions(*keys)
     # Above the exchange: the range partitioner's sampling job must not count.
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    spark = df.sparkSession
     path = os.path.join(table_path(root, name), f"{VERSION}{time.time_ns():020d}")
     out.write.mode("error").parquet(path)
-    for old in versions(spark, root, name)[:-2]:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(old)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
     return Published(name, path, int(obs.get["rows"]), time.time() - t0)
 
 
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest version of a table, or a table of the incremental load without its partition columns."""
-    complete = versions(spark, root, name)
-    if complete:
-        return spark.read.parquet(complete[-1])
+def publish(df: DataFrame, root: str, name: str, **layout) -> Published:
+    """``stage`` and ``commit`` one table."""
+    done = stage(df, root, name, **layout)
+    commit(df.sparkSession, root, [done])
+    return done
+
+
+def read_published(spark: SparkSession, root: str, name: str, versions_now: dict[str, str] | None = None) -> DataFrame:
+    """The committed version of a table, or a table of the incremental load without
+    its partition columns. ``versions_now``: what ``current`` gave, for several reads."""
+    now = current(spark, root) if versions_now is None else versions_now
+    if name in now:
+        return spark.read.parquet(now[name])
     df = spark.read.parquet(table_path(root, name))
     return df.drop(*PARTITIONS)
 
@@ -104,11 +159,11 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
 def register(spark: SparkSession, root: str, name: str) -> None:
     """Expose a published table by name (``layer.table``) in the session
     catalog: ``CREATE SCHEMA IF NOT EXISTS`` + an external Parquet table over
-    the newest version, re-declared when the stored schema changed, and
+    the committed version, re-declared when the stored schema changed, and
     pointed at it otherwise (SNK2, SNK4). Consumers can then run
     plain SQL such as ``SELECT … FROM gold.obt_flights``."""
     layer, _, table = name.partition(".")
-    path = versions(spark, root, name)[-1]
+    path = current(spark, root)[name]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
     fq = f"`{layer}`.`{table}`"
     schema = spark.read.parquet(path).schema

@@ -1,6 +1,6 @@
 """Full refresh: bronze → silver → contract → gold → gate, in dependency order.
 
-Each layer is published (Parquet, a new version) and the next layer reads the
+Each layer is staged (Parquet, a new version) and the next layer reads the
 *written* table: lineage is cut at every layer, a failed executor only
 recomputes from the last written table, and Catalyst sees the real file sizes
 (so a registry is broadcast only when it is measured small). The contract
@@ -23,7 +23,7 @@ from pyspark.sql import Observation, SparkSession
 
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
-from opslake.operators.publish import Published, is_incremental, publish, read_published, register
+from opslake.operators.publish import Published, commit, current, discard, is_incremental, read_published, register, stage
 from opslake.plans import gate, silver
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
@@ -54,6 +54,21 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     if is_incremental(spark, root, "bronze.vra"):
         raise ValueError(f"{root} holds the tables of an incremental load: give the full refresh a root of its own")
     res = RunResult(root=root)
+    try:
+        _refresh(spark, sources, res, run_gate, layout, parallel)
+    except BaseException:
+        discard(spark, list(res.tables.values()))
+        raise
+    commit(spark, root, list(res.tables.values()))
+    if catalog:
+        for name in res.tables:
+            register(spark, root, name)
+    return res
+
+
+def _refresh(spark: SparkSession, sources: Sources, res: RunResult, run_gate: bool, layout: str | None, parallel: int) -> None:
+    """Stage and verify every table of a run."""
+    root = res.root
     published: dict = {}
 
     def lake() -> Lakehouse:
@@ -65,21 +80,19 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
         if cluster and layout:
             lead, split = spec.LAYOUT[name]
             cluster_by = lead + split if layout == "range" else lead
-        p = publish(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "range")
+        p = stage(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "range")
         log.info("%s: %s rows in %.1fs", name, f"{p.rows:,}", p.seconds)
         return p
 
     def wave(jobs):
-        """Publish a list of (name, builder, kwargs) concurrently, then read
+        """Stage a list of (name, builder, kwargs) concurrently, then read
         every written table back for the next wave."""
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             futures = {name: pool.submit(put, name, build, **kw) for name, build, kw in jobs}
-            for name, fut in futures.items():
-                res.tables[name] = fut.result()
-        for name, _, _ in jobs:
-            published[name] = read_published(spark, root, name)
-            if catalog:
-                register(spark, root, name)
+        # All have ended: of a wave that fails, the tables that were written are known, too.
+        res.tables |= {name: fut.result() for name, fut in futures.items() if not fut.exception()}
+        for name, fut in futures.items():
+            published[name] = spark.read.parquet(fut.result().path)
 
     t0 = time.time()
     # bronze: land as is (flights ∥ registries ∥ seed)
@@ -135,11 +148,11 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
         res.gate = gate.run_gate(lake())
         res.seconds["gate"] = time.time() - t4
     res.seconds["total"] = time.time() - t0
-    return res
 
 
 def published_lakehouse(spark: SparkSession, sources: Sources, root: str) -> Lakehouse:
     """A Lakehouse whose layers are the tables of a previous run or incremental load."""
     names = ["bronze.vra", "silver.vra", "silver.airlines", "silver.aerodromes", "silver.operation_codes",
              "silver.vra_quarentena", "gold.dim_airport", "gold.fact_flights", "gold.obt_flights"]
-    return Lakehouse(sources, published={n: read_published(spark, root, n) for n in names})
+    now = current(spark, root)
+    return Lakehouse(sources, published={n: read_published(spark, root, n, now) for n in names})

@@ -6,7 +6,9 @@ as future work; this is that load, kept equal to a full refresh:
 ``readStream`` (CSV file source, same parsing as batch landing) →
 ``foreachBatch`` per micro-batch (epoch ``e``):
 
-1. bronze rows of the batch → ``bronze/vra/_batch=e``;
+1. bronze rows of the batch → ``staging/vra/_batch=e``; headers and preambles are
+   verified there, so a file that fails leaves every table as it was; then
+   → ``bronze/vra/_batch=e``;
 2. silver rows → ``silver/vra/_month=M/_batch=e`` (M = YYYYMM of the first known
    time, else one of 64 hash buckets below zero);
 3. quarantine rows (contract is row-level) → ``silver/vra_quarentena/_batch=e``;
@@ -40,7 +42,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
-from opslake.operators.publish import BATCH, MONTH, publish, table_path, versions
+from opslake.operators.publish import BATCH, MONTH, current, publish, table_path
 from opslake.plans import gold
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
@@ -57,6 +59,7 @@ from opslake.sources.csv_landing import (
 log = logging.getLogger("opslake.streaming")
 
 UNDATED_BUCKETS = 64
+STAGING = "staging.vra"
 
 
 def month_key() -> Column:
@@ -81,6 +84,11 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
             .parquet(path))
 
 
+def _drop_batch(spark: SparkSession, root: str, epoch: int) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(table_path(root, STAGING), f"{BATCH}={epoch}"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class IncrementalFlights:
     """foreachBatch handler bound to the static registries and an output root."""
 
@@ -103,9 +111,11 @@ class IncrementalFlights:
         seen = Observation(f"landing:{epoch_id}")
         check = LandingCheck(f"batch {epoch_id}", None, self.fmt.preamble_lines, seen)
         bronze = flights_bronze(clean_landing(batch, header, self.fmt, seen)).withColumn(BATCH, epoch)
+        _write(bronze, root, STAGING, [BATCH])
+        bronze = _read(spark, root, STAGING).where(F.col(BATCH) == epoch)
+        check.verify(at_least=bronze.select(spec.COL_SOURCE_FILE).distinct().count())
         _write(bronze, root, "bronze.vra", [BATCH])
         bronze = _read(spark, root, "bronze.vra").where(F.col(BATCH) == epoch).drop(BATCH)
-        check.verify(at_least=bronze.select(spec.COL_SOURCE_FILE).distinct().count())
 
         # 2. silver
         silver = self.lake(bronze).silver_flights
@@ -136,6 +146,8 @@ class IncrementalFlights:
         lh = self.lake(bronze)
         dim = gold.dim_from_codes(_read(spark, root, "silver.airport_codes"), lh.best_aerodrome)
         publish(dim, root, "gold.dim_airport", columns=spec.DIM_AIRPORT_COLUMNS)
+        # The batch is in its tables: its staged copy goes.
+        _drop_batch(spark, root, int(epoch_id))
 
 
 def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str | None = None,
@@ -143,7 +155,7 @@ def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str
           fmt: CsvFormat = UTF8_QUOTED) -> StreamingQuery:
     """Start the incremental load over the CSV files arriving in ``flights_dir``."""
     root = root or output_root(spark)
-    if versions(spark, root, "bronze.vra"):
+    if "bronze.vra" in current(spark, root):
         raise ValueError(f"{root} holds the tables of a full refresh: give the incremental load a root of its own")
     lh = Lakehouse(registries)
     for name, df in (("silver.airlines", lh.silver_airlines), ("silver.aerodromes", lh.silver_aerodromes),

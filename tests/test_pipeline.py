@@ -160,3 +160,45 @@ def test_a_date_filter_reads_few_files(spark):
     month = table.where(F.col("scheduled_departure_date").between(first, F.date_add(F.lit(first), 30)))
     assert len(table.inputFiles()) == 8
     assert month.select(F.input_file_name()).distinct().count() <= 2
+
+
+def test_a_failing_landing_or_gate_leaves_every_table(spark, tmp_path):
+    """A good load, then one whose landing fails and one whose gate fails: nothing changes."""
+    import glob
+    from opslake.sources.csv_landing import HeaderMismatch
+    root = str(tmp_path)
+
+    def state():
+        pub = published_lakehouse(spark, None, root)
+        return {n: sorted(map(str, df.collect())) for n, df in pub.published.items()}
+
+    good = sources(spark, [leg(), leg(icao_destination="KZZZ"), leg(icao_airline="ZZZ")])
+    run_full_refresh(spark, good, root)
+    before, folders = state(), sorted(glob.glob(f"{root}/*/*/version-*"))
+
+    class Bad:
+        def verify(self):
+            raise HeaderMismatch("two files have one header")
+
+    missing = sources(spark, [leg(icao_airline="YYY")])
+    missing.checks.append(Bad())
+    with pytest.raises(HeaderMismatch):
+        run_full_refresh(spark, missing, root)
+    assert state() == before
+    with pytest.raises(gate.GateFailed):
+        run_full_refresh(spark, sources(spark, [leg()]), root)  # a perfectly clean load fails the gate
+    assert state() == before and sorted(glob.glob(f"{root}/*/*/version-*")) == folders
+
+
+def test_a_commit_switches_all_tables_and_clears_what_is_stale(spark, tmp_path):
+    import os
+    from opslake.operators.publish import commit, commits, stage, versions
+    root = str(tmp_path)
+    for n in (1, 2):
+        commit(spark, root, [stage(spark.range(n), root, "gold.a"), stage(spark.range(10 * n), root, "gold.b")])
+    stage(spark.range(99), root, "gold.a")                                   # a run that ended before its commit
+    assert (read_published(spark, root, "gold.a").count(), read_published(spark, root, "gold.b").count()) == (2, 20)
+    commit(spark, root, [stage(spark.range(3), root, "gold.a")])             # gold.b stays as it was
+    assert (read_published(spark, root, "gold.a").count(), read_published(spark, root, "gold.b").count()) == (3, 20)
+    assert [spark.read.parquet(v).count() for v in versions(spark, root, "gold.a")] == [2, 3]
+    assert len(os.listdir(f"{root}/commits")) == 2 and len(commits(spark, root, 5)) == 2
