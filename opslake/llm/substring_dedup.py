@@ -234,11 +234,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     tables = Scratch(docs.sparkSession, "substring-dedup")
     texts = keyed(docs, id_col, text_col)
     anchors = tables.keep(anchor_rows(texts, window), "anchors")
-    shared = anchors.groupBy("name").agg(F.expr(SHARED), F.expr(PLAIN)).where("shared").select("name", "plain")
+    # Written before they are joined: a join can split a hot name only if both sides come from a shuffle of its own.
+    shared = tables.keep(anchors.groupBy("name").agg(F.expr(SHARED), F.expr(PLAIN)).where("shared").select("name", "plain"), "shared")
     marks = anchors.select("doc", "copy", "pos", "name").join(shared, "name").groupBy("doc", "copy").agg(
         F.sort_array(F.collect_set(F.struct("pos", "plain"))).alias("marks"))
     marks = tables.keep(marks.where(F.exists("marks", lambda m: ~m["plain"])), "marks")
-    tables.drop("anchors")
+    tables.drop("anchors", "shared")
     nodes = tables.keep(node_rows(texts.join(marks, ["doc", "copy"]).select("doc", "copy", "text", "marks"), window), "nodes")
     tables.drop("marks")
     joints = tables.keep(nodes.groupBy("name").agg(F.expr(SHARED), F.expr(PLAIN)).where("shared AND NOT plain").select("name"), "joints")
@@ -248,10 +249,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     edges = tables.keep(found.repartition("doc", "copy").sortWithinPartitions("doc", "copy", "pos").mapInArrow(_edges, kind), "edges")
     tables.drop("nodes", "joints")
     first = edges.groupBy(*path).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
+    first = tables.keep(first, "first")
     later = edges.join(first, path).where("doc > first")
     span = F.struct("start", (F.col("edges") + window - 1).alias("length"))
     spans = tables.keep(later.groupBy("doc", "copy").agg(F.sort_array(F.collect_set(span)).alias("spans")), "spans")
-    tables.drop("edges")
+    tables.drop("edges", "first")
     return spans
 
 
