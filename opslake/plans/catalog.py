@@ -17,7 +17,7 @@ from opslake.operators.dedup import distinct_keys, duplicate_surplus, grain_viol
 from opslake.operators.profile import column_profile
 from opslake.plans import gate, gold, reports, silver
 from opslake.plans.lakehouse import Lakehouse, from_driver_tables
-from opslake.sources import opsdata
+from opslake.sources import csv_landing, opsdata
 from opslake.sources.tables import read_table
 
 c = F.col
@@ -206,6 +206,27 @@ SITE_BUILDERS = {
 }
 
 
+def landed_rows(landed: DataFrame) -> DataFrame:
+    return landed.select(*[c(f"`{raw}`").alias(name) for raw, name in spec.FLIGHT_SOURCE_COLUMNS], c("_file").alias("source_file"))
+
+
+def landed_misfits(landed: DataFrame) -> DataFrame:
+    """What was rescued: per file, position or column and value, the rows."""
+    entry = F.explode(F.from_json(spec.COL_RESCUED, "map<string, string>")).alias("misfit", "value")
+    return landed.select(c("_file").alias("source_file"), entry).where(c("misfit") != "_file").groupBy(
+        "source_file", "misfit", "value").agg(_n())
+
+
+def landed_summary(landed: DataFrame) -> DataFrame:
+    """GT10 by file: landed rows and those with anything rescued."""
+    return landed.groupBy(c("_file").alias("source_file")).agg(
+        _n(), F.count_if(c(spec.COL_RESCUED).isNotNull()).alias("rescued_rows"))
+
+
+# The landing over the flights rendered as lines of files with different headers.
+LANDING_BUILDERS = {"landing_rows": landed_rows, "landing_rescued": landed_misfits, "landing_summary": landed_summary}
+
+
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = BUILDERS[name]
 
@@ -225,5 +246,17 @@ def site_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def landing_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
+        lines = opsdata.landing_lines(spark, root)
+        headers = csv_landing.header_table(lines, header, csv_landing.UTF8_QUOTED)
+        return LANDING_BUILDERS[name](csv_landing.parse_lines(lines, headers, header))
+
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query(name) for name in BUILDERS} | {name: site_query(name) for name in SITE_BUILDERS}
+    return {name: query(name) for name in BUILDERS} | {name: site_query(name) for name in SITE_BUILDERS} | {
+        name: landing_query(name) for name in LANDING_BUILDERS}

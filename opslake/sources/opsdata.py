@@ -103,6 +103,44 @@ def bronze_flights(spark: SparkSession, root: str) -> DataFrame:
     return out.drop("_copy")
 
 
+OTHER_COLUMN = "Observação"
+
+
+def landing_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The flights as lines of ``;`` files (_line, _path, _file, _block), with a
+    preamble and a header each. Files of even years have their first two columns
+    swapped, those of years divisible by three lack the last column, those of the
+    last three months have a column more. Lines whose flight number is a multiple
+    of 31 end after five fields; of 29, have two fields too many. Texts have
+    quotes and separators within where the number is a multiple of 13, and
+    quotes without need where it is one of 7."""
+    flights = bronze_flights(spark, root)
+    file, n = F.col(spec.COL_SOURCE_FILE), F.col("`Número Voo`").cast("long")
+    year, added = F.substring(file, 5, 4).cast("int"), F.length(file) == 14
+    names = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
+
+    def laid_out(cell: list[Column], other: Column) -> Column:
+        none = F.array().cast("array<string>")
+        return F.concat(F.when(year % 2 == 0, F.array(cell[1], cell[0])).otherwise(F.array(*cell[:2])), F.array(cell[2]),
+                        F.when(added, F.array(other)).otherwise(none), F.array(*cell[3:-1]),
+                        F.when(year % 3 == 0, none).otherwise(F.array(cell[-1])))
+
+    def rendered(value: Column) -> Column:
+        quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(value.isNull(), "").when((value == "") | F.rlike(value, F.lit('[;"]')) | (n % 7 == 0), quoted).otherwise(value)
+
+    cells = [F.col(f"`{name}`") for name in names]
+    cells[-1] = F.when(n % 13 == 0, F.concat(F.lit("x;"), cells[-1], F.lit('"q'))).otherwise(cells[-1])
+    other = F.when(n % 5 != 0, F.concat(F.lit("obs "), (n % 7).cast("string")))
+    fields = laid_out([rendered(v) for v in cells], rendered(other))
+    fields = F.when(n % 31 == 0, F.slice(fields, 1, 5)).when(n % 29 == 0, F.concat(fields, F.array(F.lit("EXTRA"), F.lit("")))).otherwise(fields)
+    # Out of a generator: the rendering is not repeated wherever a line is looked at.
+    data = flights.select(F.explode(F.array(F.array_join(fields, ";"))).alias("_line"), file.alias("_file"))
+    top = F.array(F.concat(F.lit("Updated for "), file), F.array_join(laid_out([F.lit(name) for name in names], F.lit(OTHER_COLUMN)), ";"))
+    heads = flights.select(spec.COL_SOURCE_FILE).distinct().select(F.explode(top).alias("_line"), file.alias("_file"))
+    return data.unionByName(heads).select("_line", F.concat(F.lit("inbox/"), "_file").alias("_path"), "_file", F.lit(0).cast("long").alias("_block"))
+
+
 def bronze_airline_registries(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """National and foreign airline registries (one bronze table per file).
 

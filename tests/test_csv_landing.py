@@ -1,5 +1,6 @@
 """CSV landing on generated files (UTF-8 quoted and Latin-1 unquoted)."""
 
+import json
 import os
 import tempfile
 
@@ -89,7 +90,8 @@ def test_malformed_rows_are_rescued_not_dropped(spark, files):
     got = {r["Número Voo"]: r for r in df.collect()}
     assert set(got) == {"3005", "3006"}
     assert got["3005"]["Código Justificativa"] == "N/A"      # leading values kept
-    assert "EXTRA" in got["3005"][spec.COL_RESCUED]
+    assert json.loads(got["3005"][spec.COL_RESCUED]) == {"_c12": "EXTRA", "_file": "VRA_20268.csv"}
+    assert json.loads(got["3006"][spec.COL_RESCUED]) == {"_fields": "5", "_file": "VRA_20268.csv"}
     assert got["3006"]["ICAO Aeródromo Origem"] == "SBGR"
     assert got["3006"]["Partida Prevista"] is None
 
@@ -106,20 +108,56 @@ def test_latin1_unquoted_registry(spark, files):
 
 GOOD = FLIGHT_HEADER.split(";")
 ROW = ";".join(f"v{i}" for i in range(len(GOOD)))
-WRONG = {
-    "renamed": ["preamble", ";".join(["Other", *GOOD[1:]]), ROW],
-    "missing": ["preamble", ";".join(GOOD[:-1]), ROW],
-    "swapped and renamed": ["preamble", ";".join([GOOD[1], GOOD[0], *GOOD[2:-1], "Other"]), ROW],
-    "extra field": ["preamble", FLIGHT_HEADER + ";Other", ROW],
+VALUES = {h: f"v{i}" for i, h in enumerate(GOOD)}
+# Header and one row of the same values -> columns that are null, what is rescued.
+ORDERS = {
+    "as known": (GOOD, [], {}),
+    "reversed": (GOOD[::-1], [], {}),
+    "added": ([*GOOD[:3], "Other", *GOOD[3:], "Last"], [], {"Other": "more", "Last": "more"}),
+    "missing": (GOOD[:4] + GOOD[5:], [GOOD[4]], {}),
+    "renamed": (["Other", *GOOD[1:]], [GOOD[0]], {"Other": "more"}),
+    "spaces and a mark": (["\ufeff" + GOOD[0], f" {GOOD[1]} ", *GOOD[2:]], [], {}),
 }
 
 
-@pytest.mark.parametrize("name", sorted(WRONG))
-def test_wrong_header_fails_the_load(spark, tmp_path, name):
-    _write(str(tmp_path / "VRA_1.csv"), WRONG[name])
-    df = land_flights(spark, f"{tmp_path}/*.csv")   # nothing runs here
-    with pytest.raises(Exception, match="unexpected header in VRA_1.csv"):
-        df.collect()
+def test_columns_land_by_name_whatever_their_order(spark, tmp_path):
+    """Files of all orders in one load, each with a header of its own."""
+    for i, (header, _, _) in enumerate(ORDERS.values()):
+        values = [VALUES.get(h.strip().lstrip("\ufeff"), "more") for h in header]
+        _write(str(tmp_path / f"VRA_{i}.csv"), ["preamble", ";".join(header), ";".join(values)])
+    checks = []
+    df = land_flights(spark, f"{tmp_path}/*.csv", checks=checks)
+    rows = {r[spec.COL_SOURCE_FILE]: r for r in df.collect()}
+    assert len(rows) == len(ORDERS)
+    for i, (_, nulls, rescued) in enumerate(ORDERS.values()):
+        row = rows[f"VRA_{i}.csv"]
+        assert [row[h] for h in GOOD] == [None if h in nulls else v for h, v in VALUES.items()]
+        kept = json.loads(row[spec.COL_RESCUED] or "{}")
+        assert kept == (rescued | {"_file": f"VRA_{i}.csv"} if rescued else {})
+
+
+def test_a_column_that_stands_twice_fails_the_load(spark, tmp_path):
+    _write(str(tmp_path / "VRA_1.csv"), ["preamble", ";".join([*GOOD, GOOD[0]]), ROW])
+    with pytest.raises(Exception, match="stands twice in the header"):
+        land_flights(spark, f"{tmp_path}/*.csv")
+
+
+def test_fields_of_a_line(spark):
+    """The splitter against Python's csv module, and lines that no parser agrees on."""
+    import csv
+    import random
+    from opslake.sources.csv_landing import LATIN1_UNQUOTED, fields_of
+    rng = random.Random(1)
+    rows = [[rng.choice(["", "a", "é b", "x;y", 'say "so"', '"', ";", "a" * 20000]) for _ in range(rng.randrange(1, 9))] for _ in range(200)]
+    lines = [";".join('"' + f.replace('"', '""') + '"' if rng.random() < 0.3 or set(f) & set(';"') else f for f in row) for row in rows]
+    want = [next(csv.reader([line], delimiter=";")) or [""] for line in lines]
+    odd = {'a;"b;c': ["a", '"b', "c"], 'a;"b"c;d': ["a", '"b"c', "d"], ";": [None, None], '""': [""], '"': ['"'], 'a"b;c': ['a"b', "c"]}
+    df = spark.createDataFrame([(line,) for line in lines + list(odd)], "line string")
+    got = [r.f for r in df.select(fields_of(F.col("line")).alias("f")).collect()]
+    assert [[f or "" for f in row] for row in got[:200]] == want
+    assert got[200:] == list(odd.values())
+    plain = spark.createDataFrame([('a;"b;;c',)], "line string").select(fields_of(F.col("line"), LATIN1_UNQUOTED)).first()[0]
+    assert plain == ["a", '"b', None, "c"]
 
 
 @pytest.mark.parametrize("lines", [

@@ -73,13 +73,24 @@ def test_replayed_epoch_is_idempotent(spark, files):  # noqa: F811
     vra, ref = files
     src = csv_sources(spark, f"{vra}/*.csv", ref)
     root = tempfile.mkdtemp(prefix="opslake-replay-")
-    from opslake.sources.csv_landing import landing_schema, reader_options, UTF8_QUOTED
-    header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
-    batch = spark.read.format("csv").schema(landing_schema(header)).options(**reader_options(UTF8_QUOTED)).load(
-        f"{vra}/VRA_20268.csv")
+    from opslake.sources.csv_landing import UTF8_QUOTED, read_lines
+    batch = read_lines(spark.read.text(f"{vra}/VRA_20268.csv"), UTF8_QUOTED)
     handler = incremental.IncrementalFlights(src, root)
     handler(batch, 7)
     first = read_published(spark, root, "gold.fact_flights").count()
     handler(batch, 7)  # the same epoch again, as after a failure
     assert read_published(spark, root, "gold.fact_flights").count() == first
     assert read_published(spark, root, "silver.vra").count() == 8
+
+
+def test_a_file_that_fails_leaves_every_table(spark, files, tmp_path):  # noqa: F811
+    """A good batch, then a file without a header: bronze and silver stay as they were."""
+    from opslake.sources.csv_landing import UTF8_QUOTED, HeaderMismatch, read_lines
+    vra, ref = files
+    root = str(tmp_path / "lake")
+    handler = incremental.IncrementalFlights(csv_sources(spark, f"{vra}/*.csv", ref), root)
+    handler(read_lines(spark.read.text(f"{vra}/VRA_20268.csv"), UTF8_QUOTED), 0)
+    (tmp_path / "bad.csv").write_text("preamble\nTAM;3000;0\nTAM;3001;0\n")
+    with pytest.raises(HeaderMismatch):
+        handler(read_lines(spark.read.text(f"{tmp_path}/bad.csv"), UTF8_QUOTED), 1)
+    assert read_published(spark, root, "bronze.vra").count() == read_published(spark, root, "silver.vra").count() == 8
