@@ -1,20 +1,22 @@
 """Line dedup: segment-partition edit join.
 
-Lines of at least ``min_chars`` characters are compared. A line goes when an
-earlier line (by doc_id, then line number) equals it or lies within ``max_edits``
-edits of it. Each distinct line is cut in ``max_edits + 1`` segments; a line
-within the threshold holds one of them unchanged, close to its place, so lines
-probe length-aware substring indexes: for every admissible length and segment,
-the few substrings whose shift the other segments can still make up for
-(multi-match-aware selection). Lines that meet are verified by a banded
-bit-parallel edit distance.
+All lines that aren't blank are compared. A line goes when an earlier line (by
+doc_id, then line number) equals it or lies within the threshold of the shorter
+of both: one edit for each ``per_edit`` characters, ``max_edits`` at most. Lines
+shorter than ``per_edit`` must be equal. Each distinct line is cut in
+threshold-plus-one segments; a line within the threshold holds one of them
+unchanged, close to its place, so lines probe length-aware substring indexes: for
+every admissible length and segment, the few substrings whose shift the other
+segments can still make up for (multi-match-aware selection). Lines that meet are
+verified by a banded bit-parallel edit distance.
 
 Scale: texts are never shuffled whole. One shuffle holds a hashed key for each
 segment and probe (12 a line for 2 edits); a batch enters a line once, so a line
 that is a third of all rows is one entry a batch. Only lines whose key meets another
 line's (some percent) move with their text. A key with more than ``BLOCK`` lines
 is cut into blocks whose pairs go to different tasks. No pair is emitted: a task
-reports lines that have an earlier neighbour.
+reports lines that have an earlier neighbour. Sides of joins are written tables:
+Spark broadcasts them by their size or splits hot keys of a shuffled join.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm._common import read_table, sized, written
+from opslake.llm._common import read_table, written
 
 MAX_EDITS = 2
-MIN_CHARS = 40
+PER_EDIT = 20  # characters for each edit that a line may have
 BLOCK = 1024
 LINES = 8192  # lines whose keys are made at once
 BLANKS = " \t\r\x0b\x0c"
@@ -92,45 +94,52 @@ def _common_prefix(a: str, b: str) -> int:
     return low
 
 
-def lines_of(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc, copy, line, text, h1, h2): the lines that are compared, without
+def allowed(length: int, max_edits: int, per_edit: int) -> int:
+    """The edits between a line of this length and a longer one."""
+    return min(max_edits, length // per_edit)
+
+
+def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, copy, line, text, h1, h2): the lines that aren't blank, without
     blanks at their ends. ``copy`` tells rows with one id apart by their text."""
     text = F.col(f"`{text_col}`").cast("string")
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(text).alias("copy"),
                     F.posexplode(F.split(text, "\n")).alias("line", "text"))
-    d = d.select("doc", "copy", "line", F.trim("text", F.lit(BLANKS)).alias("text")).where(F.length("text") >= min_chars)
+    d = d.select("doc", "copy", "line", F.trim("text", F.lit(BLANKS)).alias("text")).where("text <> ''")
     return d.select("*", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
 
 
 @lru_cache(maxsize=1 << 14)
-def key_plan(length: int, max_edits: int) -> tuple[list[tuple[int, int, int]], int]:
+def key_plan(length: int, max_edits: int, per_edit: int) -> tuple[list[tuple[int, int, int]], int]:
     """(start, end, seed) of the substrings a line of this length is entered or
     probes under, and how many of them, the first, are its own segments. The
     seed tells the indexed line's length and the segment's number."""
-    parts, own, probes = max_edits + 1, [], []
-    for short in range(parts):  # the indexed line may be shorter by so much
+    own, probes = [], []
+    for short in range(max_edits + 1):  # the indexed line may be shorter by so much
         n = length - short
-        if n < parts:
+        limit = allowed(n, max_edits, per_edit)
+        parts = limit + 1
+        if short > limit or not limit or n < parts:
             continue
         first_long = parts - n % parts  # the last segments have one more
         for i in range(parts):
             size = n // parts + (i >= first_long)
             start = n // parts * i + max(0, i - first_long)
-            for by in range(max(-i, short - (max_edits - i)), min(i, short + max_edits - i) + 1):
+            for by in range(max(-i, short - (limit - i)), min(i, short + limit - i) + 1):
                 if 0 <= start + by and start + by + size <= length:
-                    (own if short == by == 0 else probes).append((start + by, start + by + size, n * parts + i))
+                    (own if short == by == 0 else probes).append((start + by, start + by + size, n * (max_edits + 1) + i))
     return own + probes, len(own)
 
 
-def line_keys(docs: DataFrame, max_edits: int, min_chars: int, text_col: str) -> DataFrame:
-    """(key, line): hashed segments and probes of every line that is compared,
+def line_keys(docs: DataFrame, max_edits: int, per_edit: int, text_col: str) -> DataFrame:
+    """(key, line): hashed segments and probes of every line that may have an edit,
     each line once a batch. ``line`` is the line's hash (as Spark's xxhash64)
     with its lowest bit set where the key is one of its own segments."""
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def entries(lines: list[str]) -> pa.RecordBatch:
         digest = xxhash.xxh64_intdigest
-        plans = [key_plan(len(s), max_edits) for s in lines]
+        plans = [key_plan(len(s), max_edits, per_edit) for s in lines]
         keys = np.array([digest(s[a:b], seed) for s, (plan, _) in zip(lines, plans) for a, b, seed in plan], np.uint64)
         count = np.array([len(plan) for plan, _ in plans])
         rank = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count)
@@ -139,7 +148,7 @@ def line_keys(docs: DataFrame, max_edits: int, min_chars: int, text_col: str) ->
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(line)], ["key", "line"])
 
     def keyed(lines: set[str]) -> Iterator[pa.RecordBatch]:
-        some = [s for s in lines if len(s) >= min_chars]
+        some = [s for s in lines if allowed(len(s), max_edits, per_edit)]
         for at in range(0, len(some), LINES):
             yield entries(some[at:at + LINES])
 
@@ -148,7 +157,7 @@ def line_keys(docs: DataFrame, max_edits: int, min_chars: int, text_col: str) ->
             lines: set[str] = set()
             for t in batch.column(0):
                 if t.is_valid:
-                    lines.update(s.strip(BLANKS) for s in t.as_py().split("\n") if len(s) >= min_chars)
+                    lines.update(s.strip(BLANKS) for s in t.as_py().split("\n") if len(s) >= per_edit)
                 if len(lines) >= LINES:
                     yield from keyed(lines)
                     lines = set()
@@ -187,18 +196,18 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out(held)
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, min_chars: int, text_col: str,
+def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, per_edit: int, text_col: str,
                block: int = BLOCK) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within
-    ``max_edits`` edits. ``lines`` is ``lines_of(docs)``."""
-    met = line_keys(docs, max_edits, min_chars, text_col).repartition("key").sortWithinPartitions("key").mapInArrow(
+    the threshold. ``lines`` is ``lines_of(docs)``."""
+    met = line_keys(docs, max_edits, per_edit, text_col).repartition("key").sortWithinPartitions("key").mapInArrow(
         _meeting, "key long, line long")
     met = written(met.select("key", F.col("line").bitwiseAND(F.lit(-2)).alias("name"),
                              F.col("line").bitwiseAND(F.lit(1)).alias("own")).distinct(), "line-keys")
     # An earlier instance comes first: null ids last, then by id, text and line number.
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
     names = written(met.select("name").distinct(), "line-names")
-    texts = lines.drop("h2").withColumn("name", F.col("h1").bitwiseAND(F.lit(-2))).join(sized(names), "name", "left_semi")
+    texts = lines.drop("h2").withColumn("name", F.col("h1").bitwiseAND(F.lit(-2))).join(names, "name", "left_semi")
     texts = texts.withColumn("h2", F.xxhash64(F.lit(1), "text")).groupBy("name", "h1", "h2").agg(
         F.min(place).alias("place"), F.first("text").alias("text"))
     members = written(met.join(texts, "name").groupBy("key", "h1", "h2").agg(
@@ -208,7 +217,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, min_chars: int
     m = members.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("side", F.lit(0))
     if not hot.isEmpty():
         blocks = F.ceil(F.coalesce("size", F.lit(1)) / block).cast("int")
-        m = (members.join(sized(hot), "key", "left").withColumn("nb", blocks)
+        m = (members.join(hot, "key", "left").withColumn("nb", blocks)
              .withColumn("mine", F.pmod(F.xxhash64("h1", "h2"), F.col("nb")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
              .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
@@ -226,7 +235,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, min_chars: int
                 for left in rows[:b]:
                     if across and left[0] == right[0] or not (left[1] or right[1]):
                         continue
-                    if within(left[8], right[8], max_edits):
+                    if within(left[8], right[8], allowed(min(len(left[8]), len(right[8])), max_edits, per_edit)):
                         found.append(right[6:8])
                         break
             return found
@@ -259,22 +268,22 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["h1", "h2"])
 
 
-def removed_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
+def removed_lines(docs: DataFrame, max_edits: int = MAX_EDITS, per_edit: int = PER_EDIT, id_col: str = "doc_id",
                   text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, copy, lines): the line numbers (from 0) that go, by document."""
-    lines = lines_of(docs, min_chars, id_col, text_col)
-    near = written(near_lines(docs, lines, max_edits, min_chars, text_col, block), "line-near").withColumn("near", F.lit(True))
+    lines = lines_of(docs, id_col, text_col)
+    near = written(near_lines(docs, lines, max_edits, per_edit, text_col, block), "line-near").withColumn("near", F.lit(True))
     every = written(lines.select("doc", "copy", "line", "h1", "h2"), "lines")
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
     classes = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(
-        sized(near), ["h1", "h2"], "left")
+        near, ["h1", "h2"], "left")
     classes = written(classes.where("near OR first <> last").select(
         "h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "line-classes")
-    gone = every.join(sized(classes), ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
+    gone = every.join(classes, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
     return written(gone.groupBy("doc", "copy").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals")
 
 
-def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
+def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, per_edit: int = PER_EDIT, id_col: str = "doc_id",
                text_col: str = "text", length_col: str | None = None, removals: str | None = None,
                block: int = BLOCK) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one.
@@ -283,26 +292,26 @@ def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     ones than ``min_chars`` characters stay. A document that loses lines and has
     no word left goes. ``length_col`` gets the new length in characters of texts
     that changed; ``removals`` names a column to add with the removed line
-    numbers (null where none).
+    numbers (null where none); one of ``docs`` of that name is replaced.
 
     Defined cases: null and empty texts have no lines and stay as they are;
     documents with a null id come last; rows with equal id and text are one
     document (both lose the same lines); one id with different texts is
     ordered by text hash; very long lines are compared whole; an empty table
     gives an empty result; other columns stay."""
-    gone = removed_lines(docs, max_edits, min_chars, id_col, text_col, block)
+    gone = removed_lines(docs, max_edits, per_edit, id_col, text_col, block)
     names = [f"__ld_{c}" for c in gone.columns]
     gone = gone.toDF(*names)
-    total = gone.agg(F.coalesce(F.sum(F.size(names[2])), F.lit(0))).first()[0]
     text = F.col(f"`{text_col}`").cast("string")
-    side = F.broadcast(gone) if total <= 4_000_000 else gone
-    joined = docs.join(side, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0]))
+    joined = docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0]))
                        & (F.xxhash64(text) == F.col(names[1])), "left")
     left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(names[2], i))
     joined = joined.withColumn("__ld_text", F.when(F.col(names[2]).isNotNull(), F.array_join(left, "\n")))
     joined = joined.where(F.col("__ld_text").isNull() | F.rlike("__ld_text", F.lit(r"[^\x20\x09-\x0D]")))
     out = []
     for c in docs.columns:
+        if c == removals:
+            continue
         if c == text_col:
             out.append(F.coalesce("__ld_text", F.col(f"`{c}`")).alias(c))
         elif c == length_col:
