@@ -28,7 +28,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,12 +162,12 @@ def worker_tokenizer(path: str) -> ChunkTokenizer:
 class Packer:
     """Packs pieces into sequences; ``out`` gets (key, start, ids, total, sequence, offset)."""
 
-    def __init__(self, capacity: int, max_segments: int, max_loss: int, first_sequence: int = 0):
+    def __init__(self, capacity: int, max_segments: int, max_loss: int, first_sequence: int = 0, pool: int = POOL):
         if min(capacity, max_segments, max_loss) < 1:
             raise ValueError("limits must be at least 1")
         self.limits = np.array([capacity, max_segments, max_loss], float)
         self.capacity, self.max_segments, self.max_loss = capacity, max_segments, max_loss
-        self.sequence, self.out, self.pool = first_sequence, [], []
+        self.sequence, self.out, self.pool, self.most = first_sequence, [], [], pool
 
     @staticmethod
     def _loss(a: int, b: int, prompt: int) -> int:
@@ -186,8 +186,8 @@ class Packer:
             else:
                 self.pool.append((key, ids, a, b, prompt))
             a = b
-        if len(self.pool) >= POOL:
-            self._pack(POOL // 2)
+        if len(self.pool) >= self.most:
+            self._pack(self.most // 2)
 
     def _emit(self, parts: list) -> None:
         offset = 0
@@ -258,7 +258,7 @@ class Packer:
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, max_segments: int = 512,
          max_loss: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
-         end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+         end_id: int = END_ID, with_ids: bool = False, order: list[Column] | None = None, pool: int = POOL) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset (and ids with ``with_ids``).
 
@@ -266,13 +266,17 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, max_seg
     the text's tokens and ``end_id``. Each id lies in exactly one piece. A
     sequence has at most ``capacity`` tokens, ``max_segments`` pieces and
     ``max_loss`` loss-bearing tokens, and is padded to ``capacity`` unless its
-    length is a power of two.
+    length is a power of two. With ``order`` the examples are packed in that order
+    and sequence ids rise with it: only the ``pool`` neighbours that wait together
+    can change places.
 
     Defined cases: null prompts and texts are empty (the example is its end
     id); null ids are carried; repeated rows are packed each; very long texts
     are cut into full sequences; an empty table gives an empty result; extra
     columns are ignored."""
     prompt = F.col(f"`{prompt_col}`").cast("string") if prompt_col else F.lit(None).cast("string")
+    if order:
+        docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                       prompt.alias("prompt"))
     fields = [T.StructField("doc_id", T.LongType())] + [
@@ -293,7 +297,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, max_seg
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_tokenizer(tokenizer_path)
-        packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << PARTITION_SHIFT)
+        packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << PARTITION_SHIFT, pool)
         end = np.array([end_id], np.uint32)
         for batch in batches:
             keys = batch.column(0).to_pylist()

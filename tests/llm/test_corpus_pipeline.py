@@ -47,7 +47,7 @@ def test_stages_and_result(spark, folder):
     failed = [r for r in rows if (q := plain_quality(r[1]))[0] < 10 or 100 * q[4] > 20 * q[0]]
     # Base rules fail these; of the others only the symbol text is unlike the target.
     assert Counter(kept[0]) == Counter(r for r in rows if r not in failed and r[0] != 304)
-    text = brute([(r[0], r[1]) for r in kept[0]], 2, 40)
+    text = brute([(r[0], r[1]) for r in kept[0]], 2, 20)
     lines = [(r[0], t, *r[2:4], len(t)) for r in kept[0] if (t := text[(r[0], r[1])]) is not None]
     assert Counter(kept[1]) == Counter(lines)
     fps = [plain_fingerprint(r[1]) for r in lines]
@@ -73,3 +73,38 @@ def test_stages_and_result(spark, folder):
             assert p.start == at and p.ids_crc32 == zlib.crc32(ids[k][at:at + p.length].tobytes())
             at += p.length
         assert at == len(ids[k]) == parts[0].doc_tokens
+
+
+def test_sequences_follow_the_mixture(spark, tmp_path):
+    """Over several files, a document is packed close to its place in the mixture,
+    so every prefix of the sequences has the target shares."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(20, 200))), "en", "abc"[(i % 13 > 8) + (i % 13 > 11)], 1)
+            for i in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    shares = C.mixing.smoothed_shares(df, C.MIXING_EXPONENT)
+    place = {r.doc_id: r.position for r in C.mixing.schedule(df, shares).select("doc_id", "position").collect()}
+    rank = {d: i for i, d in enumerate(sorted(place, key=place.get))}
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        mixed = C.written(C.mix_sources(spark, df, ""), "test-mixed")
+        assert len(mixed.inputFiles()) > 4
+        rows = C.pack_sequences(spark, mixed, "").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    first = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        first.setdefault(r.doc_id, r.sequence_id)
+    packed = sorted(first, key=lambda d: first[d])
+    assert len(packed) == 4000 and max(abs(i - rank[d]) for i, d in enumerate(packed)) <= 2 * C.NEIGHBOURS
+    total, source = sum(shares.values()), {d[0]: d[3] for d in docs}
+    half = packed[:1000]
+    for s, w in shares.items():
+        assert abs(sum(source[d] == s for d in half) - 1000 * w / total) < 150
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
