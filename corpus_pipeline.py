@@ -2,19 +2,23 @@
 near-dedup, mixing sources to target weights, packing.
 
 Each stage is one operator of ``opslake.llm`` over all that the stage before it
-kept. Between stages the rows are written as Parquet in the shared folder and
+kept. All take nulls, repeated rows, empty and very long texts as their operator
+states; empty tables give empty results; columns besides those of ``documents`` are
+carried up to the last stage. Between stages the rows are written as Parquet in the shared folder and
 read again, so a lost executor costs the current stage only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opslake.llm import line_dedup, mixing, packing, quality, simhash
 from opslake.llm._common import read_table, written
 
 SHINGLE, MAX_BITS = 3, 3   # SimHash contract
 MIXING_EXPONENT = 0.5      # source weights: square root of their documents
+NEIGHBOURS = 256           # documents of the mixture that are packed together
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +42,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of training sequences of at most 2048 tokens."""
-    return packing.pack(docs, packing.tokenizer_file())
+    """The pieces of training sequences of at most 2048 tokens, numbered in the
+    order of the mixture: its files in order of their names (they have the number of
+    their stretch), their rows as they stand. ``docs`` is what the stage before wrote."""
+    order = F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row")
+    return packing.pack(docs.select("*", *order), packing.tokenizer_file(), order=[F.col("__file"), F.col("__row")], pool=NEIGHBOURS)
 
 
 STAGES = [
