@@ -79,3 +79,22 @@ def quarantine(df: DataFrame, rules: list[Rule], reason_column: str, separator:
     if stamp_column:
         out = out.withColumn(stamp_column, F.current_timestamp())
     return out
+
+
+def violation_mask(rules: list[Rule]) -> Column:
+    """A bit for each rule that is not TRUE, the first rule being bit 0."""
+    return reduce(lambda a, b: a + b, [F.when(_not_true(r), 1 << i).otherwise(0) for i, r in enumerate(rules)])
+
+
+def rule_patterns(df: DataFrame, rules: list[Rule], groups: dict[str, Column]) -> DataFrame:
+    """How often each combination of violated rules occurs: over all rows and by
+    each of ``groups``, by one aggregation over grouping sets (one shuffle).
+    (level: all or the group's name, the groups, mask, rules: their names, flights)."""
+    names = list(groups)
+    rows = df.select(*[v.alias(n) for n, v in groups.items()], violation_mask(rules).alias("mask"))
+    sets = [["mask"], *[[n, "mask"] for n in names]]
+    out = rows.groupingSets([[F.col(c) for c in s] for s in sets], *names, "mask").agg(
+        F.count(F.lit(1)).alias("flights"), *[F.grouping(n).alias(f"_{n}") for n in names])
+    level = F.coalesce(*[F.when(F.col(f"_{n}") == 0, n) for n in names], F.lit("all"))
+    failed = F.concat_ws(" | ", *[F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, r.name) for i, r in enumerate(rules)])
+    return out.select(level.alias("level"), *names, "mask", failed.alias("rules"), "flights")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from opslake import spec
 from opslake.functions import decimal_comma_to_double, non_empty, null_if_literal, safe_timestamp
-from opslake.operators.dedup import distinct_keys, duplicate_surplus, grain_violations
+from opslake.operators import checksum, contract
+from opslake.operators.dedup import distinct_keys, duplicate_surplus, grain_violations, keep_first
 from opslake.operators.profile import column_profile
 from opslake.plans import gate, gold, reports, silver
 from opslake.plans.lakehouse import Lakehouse, from_driver_tables
@@ -100,6 +101,30 @@ def punctuality_conflicts(lh: Lakehouse, threshold: int = 0) -> DataFrame:
     return lh.fact.where(conflict).groupBy("airline_name").agg(_n())
 
 
+TYPED = [name for _, name in spec.FLIGHT_SOURCE_COLUMNS]
+
+
+def content_reconcile(lh: Lakehouse) -> DataFrame:
+    """Per file, whether silver holds exactly what bronze does (once typed)."""
+    landed = silver.silver_flights(lh.bronze_flights)
+    return checksum.reconcile(landed, lh.silver_flights, spec.COL_SOURCE_FILE, TYPED, ("bronze", "silver")).withColumnRenamed(
+        spec.COL_SOURCE_FILE, "source_file")
+
+
+def swapped_lake(lh: Lakehouse) -> Lakehouse:
+    """The lake with origin and destination of some silver rows swapped: all counts agree."""
+    swap = c("flight_number").cast("long") % 1009 == 0
+    rows = lh.silver_flights
+    return Lakehouse(lh.sources, lh.flight_spec, published={"silver.vra": rows.withColumns({
+        "icao_origin": F.when(swap, c("icao_destination")).otherwise(c("icao_origin")),
+        "icao_destination": F.when(swap, c("icao_origin")).otherwise(c("icao_destination"))})})
+
+
+def rule_patterns(lh: Lakehouse) -> DataFrame:
+    month = F.date_format(c("scheduled_departure_date"), "yyyy-MM")
+    return contract.rule_patterns(lh.marked, lh.rules, {"source_file": c(spec.COL_SOURCE_FILE), "month": month})
+
+
 def damaged_lake(lh: Lakehouse) -> Lakehouse:
     """The lake with known damage, so that the gate's checks have something to
     find: silver lost rows, fact repeats rows and has flipped flags, and the
@@ -135,6 +160,10 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
         "quarantine_reasons": lambda lh: lh.quarantine.groupBy(spec.REASONS_COLUMN).agg(_n()),
         # dedup and best records
         "dedup_exact": lambda lh: distinct_keys(lh.silver_flights, keys),
+        "dedup_survivors": lambda lh: keep_first(lh.silver_flights, keys, [spec.COL_SOURCE_FILE], ["justification_code"]),
+        "rule_patterns": rule_patterns,
+        "content_reconcile": content_reconcile,
+        "content_reconcile_swapped": lambda lh: content_reconcile(swapped_lake(lh)),
         "duplicate_surplus": lambda lh: duplicate_surplus(lh.silver_flights, keys),
         "best_airline": lambda lh: lh.best_airline,
         "best_aerodrome": lambda lh: lh.best_aerodrome,
