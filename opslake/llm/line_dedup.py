@@ -15,8 +15,9 @@ segment and probe (12 a line for 2 edits); a batch enters a line once, so a line
 that is a third of all rows is one entry a batch. Only lines whose key meets another
 line's (some percent) move with their text. A key with more than ``BLOCK`` lines
 is cut into blocks whose pairs go to different tasks. No pair is emitted: a task
-reports lines that have an earlier neighbour. Sides of joins are written tables:
-Spark broadcasts them by their size or splits hot keys of a shuffled join.
+reports lines that have an earlier neighbour. Joins that move all lines or texts
+are merge joins of written tables at every size: their hot keys can be split.
+Tables and shuffle files of finished steps go.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm._common import read_table, written
+from opslake.llm._common import Scratch, read_table
 
 MAX_EDITS = 2
 PER_EDIT = 20  # characters for each edit that a line may have
@@ -200,20 +201,21 @@ def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, per_edit: int,
                block: int = BLOCK) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within
     the threshold. ``lines`` is ``lines_of(docs)``."""
+    tables = Scratch(docs.sparkSession, "line-dedup")
     met = line_keys(docs, max_edits, per_edit, text_col).repartition("key").sortWithinPartitions("key").mapInArrow(
         _meeting, "key long, line long")
-    met = written(met.select("key", F.col("line").bitwiseAND(F.lit(-2)).alias("name"),
-                             F.col("line").bitwiseAND(F.lit(1)).alias("own")).distinct(), "line-keys")
+    met = tables.keep(met.select("key", F.col("line").bitwiseAND(F.lit(-2)).alias("name"),
+                                 F.col("line").bitwiseAND(F.lit(1)).alias("own")).distinct(), "keys")
     # An earlier instance comes first: null ids last, then by id, text and line number.
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
-    names = written(met.select("name").distinct(), "line-names")
-    texts = lines.drop("h2").withColumn("name", F.col("h1").bitwiseAND(F.lit(-2))).join(names, "name", "left_semi")
+    names = tables.keep(met.select("name").distinct(), "names")
+    texts = lines.drop("h2").withColumn("name", F.col("h1").bitwiseAND(F.lit(-2))).join(names.hint("merge"), "name", "left_semi")
     texts = texts.withColumn("h2", F.xxhash64(F.lit(1), "text")).groupBy("name", "h1", "h2").agg(
         F.min(place).alias("place"), F.first("text").alias("text"))
-    members = written(met.join(texts, "name").groupBy("key", "h1", "h2").agg(
-        F.max("own").alias("own"), F.first("place").alias("place"), F.first("text").alias("text")), "line-members")
+    members = tables.keep(met.join(texts, "name").groupBy("key", "h1", "h2").agg(
+        F.max("own").alias("own"), F.first("place").alias("place"), F.first("text").alias("text")), "members")
     members = members.select("key", "h1", "h2", "own", "text", "place.*")
-    hot = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block), "line-hot")
+    hot = tables.keep(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block), "hot")
     m = members.withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("side", F.lit(0))
     if not hot.isEmpty():
         blocks = F.ceil(F.coalesce("size", F.lit(1)) / block).cast("int")
@@ -260,7 +262,9 @@ def near_lines(docs: DataFrame, lines: DataFrame, max_edits: int, per_edit: int,
                 yield _pairs(out)
 
     near = m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(verify, "h1 long, h2 long")
-    return near.distinct()
+    near = tables.keep(near.distinct(), "near")
+    tables.drop("keys", "names", "members", "hot")
+    return near
 
 
 def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -272,15 +276,18 @@ def removed_lines(docs: DataFrame, max_edits: int = MAX_EDITS, per_edit: int = P
                   text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, copy, lines): the line numbers (from 0) that go, by document."""
     lines = lines_of(docs, id_col, text_col)
-    near = written(near_lines(docs, lines, max_edits, per_edit, text_col, block), "line-near").withColumn("near", F.lit(True))
-    every = written(lines.select("doc", "copy", "line", "h1", "h2"), "lines")
+    near = near_lines(docs, lines, max_edits, per_edit, text_col, block).withColumn("near", F.lit(True))
+    tables = Scratch(docs.sparkSession, "line-dedup")
+    every = tables.keep(lines.select("doc", "copy", "line", "h1", "h2"), "lines")
     place = F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "copy", "line")
     classes = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(
         near, ["h1", "h2"], "left")
-    classes = written(classes.where("near OR first <> last").select(
-        "h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "line-classes")
-    gone = every.join(classes, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
-    return written(gone.groupBy("doc", "copy").agg(F.sort_array(F.collect_set("line")).alias("lines")), "line-removals")
+    classes = tables.keep(classes.where("near OR first <> last").select(
+        "h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "classes")
+    gone = every.join(classes.hint("merge"), ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
+    removed = tables.keep(gone.groupBy("doc", "copy").agg(F.sort_array(F.collect_set("line")).alias("lines")), "removals")
+    tables.drop("lines", "classes")
+    return removed
 
 
 def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, per_edit: int = PER_EDIT, id_col: str = "doc_id",
@@ -303,7 +310,7 @@ def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, per_edit: int = PER_
     names = [f"__ld_{c}" for c in gone.columns]
     gone = gone.toDF(*names)
     text = F.col(f"`{text_col}`").cast("string")
-    joined = docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0]))
+    joined = docs.join(gone.hint("merge"), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0]))
                        & (F.xxhash64(text) == F.col(names[1])), "left")
     left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(names[2], i))
     joined = joined.withColumn("__ld_text", F.when(F.col(names[2]).isNotNull(), F.array_join(left, "\n")))
