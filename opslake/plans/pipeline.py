@@ -59,7 +59,10 @@ def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = N
     except BaseException:
         discard(spark, list(res.tables.values()))
         raise
+    t0 = time.time()
     commit(spark, root, list(res.tables.values()))
+    res.seconds["commit"] = time.time() - t0
+    res.seconds["total"] += res.seconds["commit"]
     if catalog:
         for name in res.tables:
             register(spark, root, name)
