@@ -82,7 +82,7 @@ def test_sequences_follow_the_mixture(spark, tmp_path):
     docs = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(20, 200))), "en", "abc"[(i % 13 > 8) + (i % 13 > 11)], 1)
             for i in range(4000)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
-    shares = C.mixing.smoothed_shares(df, C.MIXING_EXPONENT)
+    shares = {r.source: r.share for r in C.mixing.smoothed_shares(df, C.MIXING_EXPONENT).collect()}
     place = {r.doc_id: r.position for r in C.mixing.schedule(df, shares).select("doc_id", "position").collect()}
     rank = {d: i for i, d in enumerate(sorted(place, key=place.get))}
     before = spark.conf.get("spark.sql.adaptive.enabled")
