@@ -1,25 +1,27 @@
-"""LM scoring: interpolated modified Kneser-Ney bigrams, counted in Spark.
+"""LM scoring: interpolated modified Kneser-Ney n-grams of order 2 or 3, counted in Spark.
 
 Counting: each task turns its documents into 56-bit token hashes, counts its
-bigrams in bounded buffers and emits one sorted block per model bucket; a
-shuffle by bucket merges the blocks. A frequent context is dealt to ``SPLIT``
-buckets by its successor, so no context meets in one task whole. Each bucket is
-written as a sorted hash array (bigram hash, count) in the shared folder; what
+n-grams of the highest order in bounded buffers and emits one sorted block per
+model bucket; a shuffle by bucket merges the blocks. The bucket is that of an
+n-gram's last two words, so a bucket also has all left neighbours of its bigrams,
+which the lower order counts. A frequent word is dealt to ``SPLIT`` buckets by its
+successor, so nothing meets in one task whole. Each bucket is
+written as a sorted hash array (n-gram hash, count) in the shared folder; what
 contexts and words need (counts, successors by count class, distinct contexts)
-is merged in a second, smaller shuffle and written as sorted token arrays.
+is merged in a second, smaller shuffle and written as sorted arrays.
 
 Scoring: one narrow pass. Tasks memory-map the arrays and look sorted queries up
-by binary search, so a worker's memory does not grow with the model.
+by binary search; at most ``MAPS`` arrays are open, so neither a worker's memory
+nor its descriptors grow with the model. Counts are exact up to 64 bits.
 
-Order 2: distinct trigrams of the 0.5 GB check table are about 95 million and
-nearly all occur once; shuffling and storing them takes over four times the
-input on disk. The counts of order 2 cover every training document whole.
+The counts of either order cover every training document whole.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,9 @@ TOKEN_BUCKETS = 8            # bigram buckets to one token bucket
 BUFFER = 2_500_000           # tokens counted at once in a task
 SCORE_BUFFER = 400_000       # tokens scored at once in a task
 CACHE = 400_000              # words whose hash a task keeps
-COUNT, CONT, N1, N2, N3 = range(5)
+MAPS = 64                    # arrays a scoring task has open
+COUNT, CONT, TOTAL, N1, N2, N3 = range(6)  # of a token; a longer context has the last four
+NONE = np.zeros(0, np.int64)
 
 
 class TokenHash(dict):
@@ -72,6 +76,19 @@ def pair_bucket(ctx: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
     return (ctx % buckets + (word % SPLIT) * max(1, buckets // SPLIT)) % buckets
 
 
+def context(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """56-bit hash of a context of two tokens."""
+    return np.maximum((pair_key(first, second) >> np.uint64(8)).astype(np.int64), END + 1)
+
+
+def grams(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token before, context, word) of every word and end in a stream of texts.
+    Only where the context isn't START is the token before it of the same text."""
+    before, ctx, word = np.concatenate([[END], stream[:-2]]), stream[:-1], stream[1:]
+    real = ctx != END
+    return before[real], ctx[real], word[real]
+
+
 def summed(key: np.ndarray, *counts: np.ndarray):
     """Distinct keys ascending, where each first stands, and sums of the counts."""
     order = np.argsort(key)
@@ -90,51 +107,76 @@ def _ids(raw: bytes, n: int) -> np.ndarray:
     return wide.view("<i8").ravel()
 
 
-def encode_pairs(ctx: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
-    """A block of bigrams: contexts with run lengths, words, counts (a byte, larger ones apart)."""
+def encode_pairs(ctx: np.ndarray, word: np.ndarray, n: np.ndarray, last: np.ndarray | None = None) -> bytes:
+    """A block of n-grams: contexts with run lengths, words, counts (a byte, larger
+    ones apart). ``last`` is the last token of contexts of two."""
     order = np.argsort(ctx, kind="stable")
     ctx, word, n = ctx[order], word[order], n[order]
     run = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
     large = np.flatnonzero(n > 255)
-    head = np.array([len(ctx), len(run), len(large)], np.int64)
+    head = np.array([last is not None, len(ctx), len(run), len(large)], np.int64)
     return b"".join([head.tobytes(), _seven(ctx[run]), np.diff(np.append(run, len(ctx))).astype("<u4").tobytes(),
+                     b"" if last is None else _seven(last[order][run]),
                      _seven(word), np.minimum(n, 255).astype(np.uint8).tobytes(),
                      large.astype("<i8").tobytes(), n[large].astype("<i8").tobytes()])
 
 
-def decode_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    pairs, runs, large = np.frombuffer(blob, np.int64, 3).tolist()
-    at = 24
+def decode_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    longer, pairs, runs, large = np.frombuffer(blob, np.int64, 4).tolist()
+    at, last = 32, None
     ctx = _ids(blob[at:at + 7 * runs], runs)
     at += 7 * runs
-    ctx = np.repeat(ctx, np.frombuffer(blob, "<u4", runs, at))
+    times = np.frombuffer(blob, "<u4", runs, at)
+    ctx = np.repeat(ctx, times)
     at += 4 * runs
+    if longer:
+        last = np.repeat(_ids(blob[at:at + 7 * runs], runs), times)
+        at += 7 * runs
     word = _ids(blob[at:at + 7 * pairs], pairs)
     at += 7 * pairs
     n = np.frombuffer(blob, np.uint8, pairs, at).astype(np.int64)
     at += pairs
     n[np.frombuffer(blob, "<i8", large, at)] = np.frombuffer(blob, "<i8", large, at + 8 * large)
-    return ctx, word, n
+    return ctx, word, n, last
+
+
+def encode_stats(kind: int, ids: np.ndarray, cols: list[np.ndarray]) -> bytes:
+    """A block of ids with counts: a byte each, rows with a larger one apart."""
+    col = np.stack(cols)
+    large = np.flatnonzero((col > 255).any(axis=0))
+    head = np.array([kind, len(ids), len(cols), len(large)], np.int64)
+    return b"".join([head.tobytes(), _seven(ids), np.minimum(col, 255).astype(np.uint8).tobytes(),
+                     large.astype("<i8").tobytes(), col[:, large].astype("<i8").tobytes()])
+
 
+def decode_stats(blob: bytes) -> tuple[int, np.ndarray, np.ndarray]:
+    kind, n, width, large = np.frombuffer(blob, np.int64, 4).tolist()
+    at = 32 + 7 * n
+    ids, col = _ids(blob[32:at], n), np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n).astype(np.int64)
+    at += n * width
+    rows = np.frombuffer(blob, "<i8", large, at)
+    col[:, rows] = np.frombuffer(blob, "<i8", large * width, at + 8 * large).reshape(width, large)
+    return kind, ids, col
 
-def _count_blocks(buckets: int):
+
+def _count_blocks(buckets: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, held, size = TokenHash(), [], 0
 
         def flush() -> pa.RecordBatch:
-            stream = np.concatenate(held)
-            ctx, word = stream[:-1], stream[1:]
-            real = ctx != END
-            ctx, word = ctx[real], word[real]
-            _, at, (n,) = summed(pair_key(ctx, word), np.ones(len(ctx), np.int64))
-            ctx, word = ctx[at], word[at]
-            bucket = pair_bucket(ctx, word, buckets)
-            order = np.argsort(bucket, kind="stable")
-            ids, first = np.unique(bucket[order], return_index=True)
-            parts = np.split(order, first[1:])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([encode_pairs(ctx[p], word[p], n[p]) for p in parts], pa.binary())],
-                ["bucket", "block"])
+            before, last, word = grams(np.concatenate(held))
+            out = []
+            longer = (last != START) & (order > 2)
+            for take, ctx in ((~longer, last), (longer, context(before, last))):
+                _, at, (n,) = summed(pair_key(ctx[take], word[take]), np.ones(int(take.sum()), np.int64))
+                c, w, v = (x[take][at] for x in (ctx, word, last))
+                bucket = pair_bucket(v, w, buckets)
+                by = np.argsort(bucket, kind="stable")
+                ids, first = np.unique(bucket[by], return_index=True)
+                for b, p in zip(ids.tolist(), np.split(by, first[1:])):
+                    out.append((b, encode_pairs(c[p], w[p], n[p], v[p] if ctx is not last else None)))
+            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
+                                               pa.array([o[1] for o in out], pa.binary())], ["bucket", "block"])
 
         for b in batches:
             for t in b.column(0):
@@ -172,25 +214,59 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
         yield key, rows
 
 
-def _merge_pairs(path: str, token_buckets: int):
+def _classes(n: np.ndarray) -> list[int]:
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)]
+
+
+TOKEN, WORD, RAW, CONTEXT = range(4)  # kinds of blocks of counts
+SUMS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "tokens", "types", "texts", "pairs", "t1", "t2", "t3", "t4"]
+
+
+def _merge_pairs(path: str, token_buckets: int, order: int):
+    """Writes the n-gram arrays of a bucket; yields counts of contexts and words."""
+
+    def followers(ctx: np.ndarray, n: np.ndarray):
+        ids, _, stats = summed(ctx, n, *(x.astype(np.int64) for x in (n == 1, n == 2, n > 2)))
+        return ids, stats
+
+    def save(name: str, bucket: int, key: np.ndarray, n: np.ndarray) -> None:
+        _save(f"{path}/{name}-{bucket}.npy", key)
+        _save(f"{path}/{name}n-{bucket}.npy", n.astype(np.min_scalar_type(int(n.max()))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(batches):
-            ctx, word, n = (np.concatenate(x) for x in zip(*(decode_pairs(r[0]) for r in rows)))
+            blocks, counts, classes = [decode_pairs(r[0]) for r in rows], [], [0, 0, 0, 0]
+            ctx, word, n = [[x for *b, last in blocks if last is None for x in [b[i]]] for i in range(3)]
+            three = [b for b in blocks if b[3] is not None]
+            if three:
+                c, w, n3, v = (np.concatenate(x) for x in zip(*three))
+                key, at, (n3,) = summed(pair_key(c, w), n3)
+                save("triples", bucket, key, n3)
+                c, w, v, classes = c[at], w[at], v[at], _classes(n3)
+                counts.append((CONTEXT, *followers(c, n3)))
+                ids, _, raw = summed(v, n3)
+                counts.append((RAW, ids, raw))
+                # The order below counts the distinct tokens before a bigram.
+                ctx, word, n = [*ctx, v], [*word, w], [*n, np.ones(len(v), np.int64)]
+            ctx, word, n = (np.concatenate(x) for x in (ctx, word, n))
             key, at, (n,) = summed(pair_key(ctx, word), n)
             ctx, word = ctx[at], word[at]
-            _save(f"{path}/pairs-{bucket}.npy", key)
-            _save(f"{path}/counts-{bucket}.npy", n.astype(np.min_scalar_type(int(n.max()))))
-            c, _, stats = summed(ctx, n, *(x.astype(np.int64) for x in (n == 1, n == 2, n > 2)))
-            w, _, (cont,) = summed(word, np.ones(len(word), np.int64))
-            classes = np.array([(n == k).sum() for k in (1, 2, 3, 4)], np.int64)
-            out = [(-1, classes.tobytes())]
-            for kind, ids, cols in ((0, c, stats), (1, w, [cont])):
+            save("pairs", bucket, key, n)
+            ids, stats = followers(ctx, n)
+            counts.append((TOKEN, ids, stats))
+            if order == 2:
+                counts.append((RAW, ids, stats[:1]))
+            else:
+                start = ids == START  # one a text, as at order 2
+                counts.append((RAW, ids[start], [stats[0][start]]))
+            ids, _, cont = summed(word, np.ones(len(word), np.int64))
+            counts.append((WORD, ids, cont))
+            out = [(-1, np.array([*_classes(n), *classes], np.int64).tobytes())]
+            for kind, ids, cols in counts:
                 where = ids % token_buckets
-                order = np.argsort(where, kind="stable")
-                tb, first = np.unique(where[order], return_index=True)
-                for b, p in zip(tb.tolist(), np.split(order, first[1:])):
-                    out.append((b, b"".join([np.array([kind, len(p)], np.int64).tobytes(), _seven(ids[p]),
-                                             *(x[p].astype("<u4").tobytes() for x in cols)])))
+                by = np.argsort(where, kind="stable")
+                tb, first = np.unique(where[by], return_index=True)
+                out += [(b, encode_stats(kind, ids[p], [x[p] for x in cols])) for b, p in zip(tb.tolist(), np.split(by, first[1:]))]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.binary())], ["bucket", "block"])
 
@@ -198,41 +274,44 @@ def _merge_pairs(path: str, token_buckets: int):
 
 
 def _merge_tokens(path: str):
-    """Writes the token arrays of a bucket; yields its sums."""
+    """Writes the token and context arrays of a bucket; yields its sums."""
+    columns = {TOKEN: [TOTAL, N1, N2, N3], WORD: [CONT], RAW: [COUNT]}
+
+    def save(name: str, bucket: int, key: np.ndarray, col: np.ndarray) -> None:
+        _save(f"{path}/{name}-{bucket}.npy", key)
+        _save(f"{path}/{name}n-{bucket}.npy", np.ascontiguousarray(col.T).astype(np.min_scalar_type(int(col.max(initial=0)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(batches):
             if bucket < 0:
-                pairs = np.sum([np.frombuffer(r[0], np.int64) for r in rows], axis=0)
-                sums = [*pairs.tolist(), 0, 0, 0, 0, 0, 0, 0, 0]
+                sums = [*np.sum([np.frombuffer(r[0], np.int64) for r in rows], axis=0).tolist(), *[0] * 8]
             else:
-                ids, cols = [], []
+                ids, cols, longer = [NONE], [np.zeros((6, 0), np.int64)], []
                 for (raw,) in rows:
-                    kind, n = np.frombuffer(raw, np.int64, 2).tolist()
-                    ids.append(_ids(raw[16:16 + 7 * n], n))
-                    col = np.zeros((5, n), np.int64)
-                    got = np.frombuffer(raw, "<u4", -1, 16 + 7 * n).reshape(-1, n)
-                    col[[COUNT, N1, N2, N3] if kind == 0 else [CONT]] = got
+                    kind, some, got = decode_stats(raw)
+                    if kind == CONTEXT:
+                        longer.append((some, got))
+                        continue
+                    col = np.zeros((6, len(some)), np.int64)
+                    col[columns[kind]] = got
+                    ids.append(some)
                     cols.append(col)
-                col = np.concatenate(cols, axis=1)
-                key, _, col = summed(np.concatenate(ids), *col)
+                if longer:
+                    key, _, col = summed(np.concatenate([x for x, _ in longer]), *np.concatenate([x for _, x in longer], axis=1))
+                    save("contexts", bucket, key, np.stack(col))
+                key, _, col = summed(np.concatenate(ids), *np.concatenate(cols, axis=1))
                 col = np.stack(col)
                 start = key == START
                 docs = int(col[COUNT][start].sum())
-                col[COUNT][key == END] = 0  # set by the model: one end a document
-                _save(f"{path}/tokens-{bucket}.npy", key)
-                _save(f"{path}/stats-{bucket}.npy", col.T.copy())
+                if len(key):
+                    save("tokens", bucket, key, col)
                 cont = col[CONT]
-                sums = [0, 0, 0, 0, int(col[COUNT][~start].sum()), int((~start).sum()), docs, int(cont.sum()),
-                        *(int((cont == k).sum()) for k in (1, 2, 3, 4))]
+                sums = [*[0] * 8, int(col[COUNT][~start].sum()), int((~start).sum()), docs, int(cont.sum()), *_classes(cont)]
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()) for s in sums], SUMS)
 
     return run
 
 
-SUMS = ["n1", "n2", "n3", "n4", "tokens", "types", "texts", "pairs", "t1", "t2", "t3", "t4"]
-
-
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 0, 1, 2, 3 and more (Chen and
     Goodman); 1/2, 1 and 3/2 where a count class is empty."""
@@ -244,11 +323,12 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 
 
 class Model:
-    """The arrays of a trained model, memory-mapped."""
+    """The arrays of a trained model, memory-mapped, at most ``MAPS`` at a time."""
 
     def __init__(self, spec: dict):
-        self.spec, self.maps = spec, {}
+        self.spec, self.maps = spec, OrderedDict()
         s = spec["sums"]
+        self.d3 = discounts(s["m1"], s["m2"], s["m3"], s["m4"])
         self.d2 = discounts(s["n1"], s["n2"], s["n3"], s["n4"])
         self.d1 = discounts(s["t1"], s["t2"], s["t3"], s["t4"])
         self.tokens = s["tokens"] + s["texts"]  # N: words and one end a text
@@ -256,61 +336,79 @@ class Model:
         held_back = self.d1[1:] @ [s["t1"], s["t2"], self.types - s["t1"] - s["t2"]]
         self.low = held_back / s["pairs"] if s["pairs"] else 1.0  # the unknown share, over types and one unknown
 
-    def _map(self, name: str) -> np.ndarray:
-        if name not in self.maps:
-            self.maps[name] = np.load(f"{self.spec['path']}/{name}.npy", mmap_mode="r")
+    def _map(self, name: str) -> np.ndarray | None:
+        if name in self.maps:
+            self.maps.move_to_end(name)
+        else:
+            path = f"{self.spec['path']}/{name}.npy"
+            self.maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            if len(self.maps) > MAPS:
+                self.maps.popitem(last=False)
         return self.maps[name]
 
-    def _find(self, key: np.ndarray, bucket: np.ndarray, keys: str, values: str, out: np.ndarray) -> np.ndarray:
+    def _find(self, name: str, key: np.ndarray, bucket: np.ndarray, out: np.ndarray) -> np.ndarray:
         order = np.lexsort((key, bucket))
         where, first = np.unique(bucket[order], return_index=True)
         for b, p in zip(where.tolist(), np.split(order, first[1:])):
-            if not os.path.exists(f"{self.spec['path']}/{keys}-{b}.npy"):
+            have = self._map(f"{name}-{b}")
+            if have is None:
                 continue
-            have = self._map(f"{keys}-{b}")
             at = np.minimum(np.searchsorted(have, key[p]), len(have) - 1)
             hit = have[at] == key[p]
-            out[p[hit]] = self._map(f"{values}-{b}")[at[hit]]
+            out[p[hit]] = self._map(f"{name}n-{b}")[at[hit]]
         return out
 
+    def _grams(self, name: str, ctx: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
+        key, first, back = np.unique(pair_key(ctx, word), return_index=True, return_inverse=True)
+        bucket = pair_bucket(last[first], word[first], self.spec["buckets"])
+        return self._find(name, key, bucket, np.zeros(len(key), np.int64))[back]
+
+    @staticmethod
+    def _level(n: np.ndarray, d: np.ndarray, stats: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Discounted share of the counts plus what is held back, by the order below;
+        the order below alone where the context is unknown."""
+        total = np.maximum(stats[:, 0], 1)
+        p = np.maximum(n - d[np.minimum(n, 3)], 0) / total + stats[:, 1:] @ d[1:] / total * lower
+        return np.where(stats[:, 0] > 0, p, lower)
+
     def score(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training count and log10 probability of every token after a START, in order."""
-        ctx, word = stream[:-1], stream[1:]
-        real = ctx != END
-        ctx, word = ctx[real], word[real]
+        before, ctx, word = grams(stream)
         ids, inverse = np.unique(np.concatenate([ctx, word]), return_inverse=True)
-        stats = self._find(ids, ids % self.spec["token_buckets"], "tokens", "stats", np.zeros((len(ids), 5), np.int64))
+        stats = self._find("tokens", ids, ids % self.spec["token_buckets"], np.zeros((len(ids), 6), np.int64))
         stats[ids == END, COUNT] = self.spec["sums"]["texts"]
         c, w = inverse[:len(ctx)], inverse[len(ctx):]
-        key, first, back = np.unique(pair_key(ctx, word), return_index=True, return_inverse=True)
-        bucket = pair_bucket(ctx[first], word[first], self.spec["buckets"])
-        n = self._find(key, bucket, "pairs", "counts", np.zeros(len(key), np.int64))[back]
         cont, pairs = stats[:, CONT], self.spec["sums"]["pairs"]
         p1 = np.maximum(cont - self.d1[np.minimum(cont, 3)], 0) / max(1, pairs) + self.low / (self.types + 1)
-        total = stats[:, COUNT]
-        gamma = stats[:, [N1, N2, N3]] @ self.d2[1:]
-        seen = total[c] > 0
-        over = np.maximum(total[c], 1)
-        p = np.where(seen, np.maximum(n - self.d2[np.minimum(n, 3)], 0) / over + gamma[c] / over * p1[w], p1[w])
-        return total[w], np.log10(p)
-
-
-def train(docs: DataFrame, text_col: str = "text") -> dict:
-    """Count all of ``docs`` and write the model; returns what ``Model`` needs
-    (the folder, bucket numbers and twelve sums: a bounded record)."""
+        p = self._level(self._grams("pairs", ctx, ctx, word), self.d2, stats[c, TOTAL:], p1[w])
+        if self.spec["order"] > 2:
+            at = np.flatnonzero(ctx != START)
+            two = context(before[at], ctx[at])
+            ids, inverse = np.unique(two, return_inverse=True)
+            found = self._find("contexts", ids, ids % self.spec["token_buckets"], np.zeros((len(ids), 4), np.int64))
+            p[at] = self._level(self._grams("triples", two, ctx[at], word[at]), self.d3, found[inverse], p[at])
+        return stats[w, COUNT], np.log10(p)
+
+
+def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> dict:
+    """Count all of ``docs`` and write the model of order 2 or 3; returns what ``Model``
+    needs (the folder, bucket numbers and sixteen sums: a bounded record)."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     chars = src.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(chars // BUCKET_CHARS) + 1
-    token_buckets = buckets // TOKEN_BUCKETS + 1
+    token_buckets = buckets // (TOKEN_BUCKETS if order == 2 else 2) + 1
     path = mounted_path(spark, "model")
     block = "bucket long, block binary"
-    blocks = src.mapInArrow(_count_blocks(buckets), block)
-    merged = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge_pairs(path, token_buckets), block)
+    blocks = src.mapInArrow(_count_blocks(buckets, order), block)
+    merged = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _merge_pairs(path, token_buckets, order), block)
     sums = merged.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _merge_tokens(path), ", ".join(f"{n} long" for n in SUMS))
     row = sums.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in SUMS]).first()
-    return {"path": path, "buckets": buckets, "token_buckets": token_buckets, "sums": row.asDict()}
+    return {"path": path, "order": order, "buckets": buckets, "token_buckets": token_buckets, "sums": row.asDict()}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

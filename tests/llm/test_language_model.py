@@ -15,32 +15,29 @@ def words(t):
     return re.findall(r"[^\x20\x09-\x0D]+", low)
 
 
-def brute(train):
-    pairs, uni = Counter(), Counter()
+def brute(train, order):
+    """Counts of words and ends, and p(context, word); a context is a tuple of at most order - 1 tokens."""
+    uni, levels = Counter(), [Counter() for _ in range(order + 1)]
     for t in train:
-        s = ["<s>", *words(t), "</s>"]
-        pairs.update(zip(s, s[1:]))
+        s = ("<s>", *words(t), "</s>")
         uni.update(s[1:])
-    cont, ctx = Counter(), defaultdict(Counter)
-    for (a, b), n in pairs.items():
-        cont[b] += 1
-        ctx[a][b] = n
-    d2 = L.discounts(*(sum(n == k for n in pairs.values()) for k in (1, 2, 3, 4)))
-    d1 = L.discounts(*(sum(n == k for n in cont.values()) for k in (1, 2, 3, 4)))
-    total = sum(cont.values())
-
-    def p1(w):
-        if not total:
-            return 1.0
-        share = sum(d1[min(n, 3)] for n in cont.values()) / total
-        return max(cont[w] - d1[min(cont[w], 3)], 0) / total + share / (len(uni) + 1)
-
-    def p(a, w):
-        own = ctx.get(a)
+        for k in range(2, order + 1):
+            levels[k].update(s[i:i + k] for i in range(len(s) - k + 1) if k == order or i == 0)
+    for k in range(order - 1, 0, -1):  # below the highest order: distinct tokens before, but for what begins a text
+        levels[k].update(g[1:] for g in levels[k + 1])
+    d = [None] + [L.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4))) for c in levels[1:]]
+    after = defaultdict(Counter)
+    for c in levels[1:]:
+        for g, n in c.items():
+            after[g[:-1]][g[-1]] += n
+
+    def p(ctx, w):
+        own, k = after.get(ctx), len(ctx) + 1
         if not own:
-            return p1(w)
+            return p(ctx[1:], w) if ctx else 1.0 / (len(uni) + 1)
+        low = p(ctx[1:], w) if ctx else 1 / (len(uni) + 1)
         c = sum(own.values())
-        return max(own[w] - d2[min(own[w], 3)], 0) / c + sum(d2[min(n, 3)] for n in own.values()) / c * p1(w)
+        return max(own[w] - d[k][min(own[w], 3)], 0) / c + sum(d[k][min(n, 3)] for n in own.values()) / c * low
 
     return uni, p
 
@@ -50,22 +47,23 @@ DOCS = [(i, t, "x") for i, t in enumerate(
      "rare only here", "a b a b", "the end of a b", "c a b d", "one two three", "three two one"] * 3)]
 
 
-@pytest.fixture(params=[8_000_000, 40])
+@pytest.fixture(params=[(8_000_000, 2), (40, 2), (8_000_000, 3), (40, 3)])
 def rows(spark, monkeypatch, request):
-    monkeypatch.setattr(L, "BUCKET_CHARS", request.param)
+    chars, order = request.param
+    monkeypatch.setattr(L, "BUCKET_CHARS", chars)
     monkeypatch.setattr(L, "BUFFER", 100)
     monkeypatch.setattr(L, "SCORE_BUFFER", 50)
     docs = spark.createDataFrame([*DOCS, (None, "a b", "y")], "doc_id long, text string, score string").repartition(3)
     spark.createDataFrame([*DOCS, (None, "a b", "y")], "doc_id long, text string, score string")
     fold = L.F.crc32(L.F.coalesce(L.F.col("doc_id").cast("string"), L.F.lit("")).cast("binary")) % 10 == 0
-    model = L.train(docs.where(~fold))
-    return L.Model(model), L.score(docs, model).collect()
+    model = L.train(docs.where(~fold), order=order)
+    return L.Model(model), L.score(docs, model).collect(), order
 
 
 def test_equals_a_dictionary_model(rows):
-    model, got = rows
+    model, got, order = rows
     train = [t for i, t, _ in DOCS if zlib.crc32(str(i).encode()) % 10]
-    uni, p = brute(train)
+    uni, p = brute(train, order)
     n, v = sum(uni.values()), len(uni)
     assert (model.tokens, model.types) == (n, v)
     assert len(got) == len(DOCS) + 1
@@ -75,14 +73,16 @@ def test_equals_a_dictionary_model(rows):
         assert r.n_tokens == len(s) - 1
         assert r.n_known == sum(uni[w] > 0 for w in s[1:])
         assert r.base_score == pytest.approx(sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in s[1:]))
-        assert r.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(s, s[1:])))
-    for a in ["a", "the", "<s>", "never"]:
+        assert r.score == pytest.approx(sum(
+            math.log10(p(tuple(s[max(0, i - order + 1):i]), s[i])) for i in range(1, len(s))))
+    for a in [("a",), ("the",), ("<s>",), ("never",), ("<s>", "a"), ("a", "b"), ("never", "b")]:
         assert sum(p(a, w) for w in uni) + p(a, "unknown") == pytest.approx(1.0)
 
 
-def test_no_training_text_and_empty_table(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_no_training_text_and_empty_table(spark, order):
     none = spark.createDataFrame([], "doc_id long, text string")
-    model = L.train(none)
+    model = L.train(none, order=order)
     assert L.score(none, model).collect() == []
     some = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert [r.score for r in L.score(some, model).collect()] == [0.0, 0.0]
@@ -97,3 +97,30 @@ def test_blocks_round_trip():
     order = np.argsort(ctx, kind="stable")
     for a, b in zip(L.decode_pairs(L.encode_pairs(ctx, word, n)), (ctx, word, n)):
         assert (a == b[order]).all()
+    last = ctx % 1000
+    assert (L.decode_pairs(L.encode_pairs(ctx, word, n, last))[3] == last[order]).all()
+
+
+def test_totals_are_not_cut_to_32_bits():
+    import numpy as np
+
+    ids, cols = np.array([5, 6]), [np.array([2**32 + 5, 1]), np.array([255, 256])]
+    kind, got, col = L.decode_stats(L.encode_stats(L.TOKEN, ids, cols))
+    assert kind == L.TOKEN and got.tolist() == [5, 6] and col.tolist() == [[2**32 + 5, 1], [255, 256]]
+
+
+def test_open_arrays_are_bounded(tmp_path):
+    """3,000 buckets: all are looked up, few are open."""
+    import os
+
+    import numpy as np
+
+    for b in range(3000):
+        L._save(f"{tmp_path}/pairs-{b}.npy", np.array([b], np.uint64))
+        L._save(f"{tmp_path}/pairsn-{b}.npy", np.array([b + 1], np.uint16))
+    model = L.Model({"path": str(tmp_path), "sums": dict.fromkeys(L.SUMS, 0)})
+    before = len(os.listdir("/proc/self/fd"))
+    key = np.arange(3100)
+    got = model._find("pairs", key.astype(np.uint64), key, np.zeros(3100, np.int64))
+    assert got.tolist() == [*range(1, 3001), *[0] * 100]
+    assert len(os.listdir("/proc/self/fd")) - before <= L.MAPS + 1
