@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opslake.llm._common import read_table
+from opslake.llm._common import read_table, written
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(
@@ -137,7 +137,17 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", max_bytes: in
         yield from counts(seen)
 
     words = src.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    top = words.orderBy(F.desc("n"), "word").limit(max_bytes // 5).collect()
+    words = written(words, "words")
+    # The count beyond which words fill the dictionary, from a bounded histogram; only those words are sorted.
+    bins = words.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(
+        F.sum(F.octet_length("word") + 1).alias("bytes"), F.min("n").alias("least")).collect()
+    least, filled = 0, 0
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        filled += r["bytes"]
+        if filled > max_bytes:
+            least = r["least"]
+            break
+    top = words.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(max_bytes // 5).collect()
     out: list[bytes] = []
     size = 0
     for r in top:
