@@ -126,7 +126,15 @@ def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
     most ``max_trusted`` of them, those with the smallest hash."""
     ids = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 AND t = 0")
-    return ids.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
+    ids = ids.select("doc_id", F.xxhash64("doc_id").alias("h"))
+    # Only ids up to the range of the hash in which the last one lies are sorted.
+    part = F.shiftright("h", 48)
+    upto, held = None, 0
+    for r in sorted(ids.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):
+        upto, held = r["part"], held + r["count"]
+        if held >= max_trusted:
+            break
+    return ids.where(part <= F.lit(upto)).orderBy("h", "doc_id").limit(max_trusted).select("doc_id")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
