@@ -1,6 +1,6 @@
 """Command line: the job the reference schedules, as plain entry points.
 
-    python -m opslake run    --tables /root/testdata/sf0.1 [--root DIR] [--layout range|local] [--catalog]
+    python -m opslake run    --tables /root/testdata/sf0.1 [--root DIR] [--layout range|curve|local|none] [--catalog]
     python -m opslake run    --flights 'VRA/*.csv' --references refs/ [--root DIR]
     python -m opslake stream --inbox VRA/ --references refs/ [--root DIR] [--max-files N]
     python -m opslake report NAME --root DIR [--rows 20] [--city '%Paulo%']
@@ -49,7 +49,7 @@ def main(argv=None) -> int:
     run.add_argument("--tables", help="driver tables folder (flight-shaped projection)")
     run.add_argument("--flights", help="glob of monthly flight CSV files")
     run.add_argument("--references", help="folder with the registry CSV files")
-    run.add_argument("--layout", choices=["range", "local", "none"], default="range")
+    run.add_argument("--layout", choices=["range", "curve", "local", "none"], default="range")
     run.add_argument("--catalog", action="store_true", help="register bronze/silver/gold tables by name")
 
     stream = sub.add_parser("stream", help="incremental load of new flight files")

@@ -9,10 +9,12 @@ observed on the write itself (SNK1–SNK5, SNK7).
 * A commit deletes the versions and commits older than the previous one, and
   staged versions that an ended run left behind. Readers keep what they opened.
   One run at a time writes to a root.
-* Layout (the reference's clustering), two modes:
+* Layout (the reference's clustering), three modes:
   ``range`` (default) — range-partition on the cluster columns first (an extra
   shuffle plus a sampling job; files get disjoint ranges, so a filter on the
   leading column skips files);
+  ``curve`` — range-partition on a space-filling curve over the leading cluster columns
+  (``operators/curve.py``; one more sampling job): a filter on any of them skips files;
   ``local`` — sort within the partitions the plan already has: no shuffle,
   row groups get tight min/max statistics (Parquet row-group skipping). The
   trailing cluster columns split hot values of the leading ones, so one
@@ -30,6 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from opslake.operators.curve import curve_key, cut_points
 
 VERSION = "version-"
 COMMITS = "commits"
@@ -118,17 +121,25 @@ def is_incremental(spark: SparkSession, root: str, name: str) -> bool:
 
 
 def stage(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None,
-          columns: list[str] | None = None, partitions: int | None = None, mode: str = "range") -> Published:
+          columns: list[str] | None = None, partitions: int | None = None, mode: str = "range",
+          curve_by: list[str] | None = None, rows: int | None = None) -> Published:
     """Write ``df`` as a version of table ``name`` (``layer.table``) under ``root``, to be committed.
 
     ``columns`` fixes the stored column order (a reader that matches by
-    position can never be handed swapped columns).
+    position can never be handed swapped columns). ``mode="curve"`` clusters by
+    ``curve_by`` (default: all of ``cluster_by``); ``rows`` bounds its rows from above.
     """
     t0 = time.time()
     obs = Observation(f"publish:{name}")
     out = df.select(*columns) if columns else df
     if cluster_by:
         keys = [F.col(c).asc_nulls_first() for c in cluster_by]
+        if mode == "curve":
+            place = curve_key(out, cut_points(out, curve_by or cluster_by, rows))
+            out = out.withColumn("__curve", place)
+            ranges = [F.col("__curve"), *keys]
+            out = out.repartitionByRange(partitions, *ranges) if partitions else out.repartitionByRange(*ranges)
+            out = out.drop("__curve")
         if mode == "range":
             out = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
         out = out.sortWithinPartitions(*keys)

@@ -44,7 +44,8 @@ class RunResult:
 def run_full_refresh(spark: SparkSession, sources: Sources, root: str | None = None,
                      run_gate: bool = True, layout: str | None = "range", catalog: bool = False,
                      parallel: int = 4) -> RunResult:
-    """``layout``: "range" (extra range shuffle for disjoint files), "local"
+    """``layout``: "range" (extra range shuffle for disjoint files), "curve" (the same
+    along a space-filling curve: filters on airline or scope skip files, too), "local"
     (sort within partitions, no shuffle) or None. ``catalog``: also
     expose every table by name (``bronze.vra``, ``gold.obt_flights`` …).
     ``parallel``: independent tables of a wave are written by concurrent
@@ -79,11 +80,14 @@ def _refresh(spark: SparkSession, sources: Sources, res: RunResult, run_gate: bo
 
     def put(name, build, cluster=False, columns=None):
         df = build() if callable(build) else build
-        cluster_by = None
+        cluster_by, curve = None, {}
         if cluster and layout:
             lead, split = spec.LAYOUT[name]
-            cluster_by = lead + split if layout == "range" else lead
-        p = stage(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "range")
+            cluster_by = lead if layout == "local" else lead + split
+            if layout == "curve":
+                # No layer has more rows than bronze. Silver leads with one column; its airline is next.
+                curve = {"curve_by": lead if len(lead) > 1 else lead + split[:1], "rows": res.tables["bronze.vra"].rows}
+        p = stage(df, root, name, cluster_by=cluster_by, columns=columns, mode=layout or "range", **curve)
         log.info("%s: %s rows in %.1fs", name, f"{p.rows:,}", p.seconds)
         return p
 

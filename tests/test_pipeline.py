@@ -162,6 +162,55 @@ def test_a_date_filter_reads_few_files(spark):
     assert month.select(F.input_file_name()).distinct().count() <= 2
 
 
+def test_a_filter_on_any_curve_column_reads_few_files(spark, tmp_path):
+    """Along the curve, a date, an airline or a scope opens fewer than half the files; the rows stay."""
+    from pyspark.sql import functions as F
+    from opslake import spec
+    from opslake.operators.publish import publish
+    obt = from_driver_tables(spark, SF).obt
+    lead, split = spec.LAYOUT["gold.obt_flights"]
+    table = {}
+    for mode in ("curve", "range"):
+        publish(obt, f"{tmp_path}/{mode}", "gold.obt_flights", cluster_by=lead + split, curve_by=lead, partitions=64, mode=mode)
+        table[mode] = read_published(spark, f"{tmp_path}/{mode}", "gold.obt_flights")
+    assert table["curve"].columns == table["range"].columns
+    curve, plain = (df.drop("_processed_at") for df in table.values())          # the time of the run
+    assert curve.exceptAll(plain).isEmpty() and plain.exceptAll(curve).isEmpty()
+
+    def opened(df, column, low, high):
+        """Files whose minimum and maximum of the column allow a row of the filter, and all."""
+        ends = df.groupBy(F.input_file_name()).agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        return sum(e.lo is not None and e.lo <= high and e.hi >= low for e in ends), len(ends)
+
+    wide = {}
+    for column in lead:
+        values = [r[0] for r in table["curve"].where(F.col(column).isNotNull()).groupBy(column).count().orderBy("count", column).collect()]
+        rare = values[len(values) // 2]
+        wide[column] = {mode: opened(df, column, rare, rare) for mode, df in table.items()}
+        some, every = wide[column]["curve"]
+        assert every > 32 and some < every / 2, (column, wide[column])
+    assert wide["airline_name"]["curve"][0] < wide["airline_name"]["range"][0]
+
+
+def test_curve_of_nulls_one_value_and_no_rows(spark):
+    from opslake.operators.curve import curve_key, cut_points
+    df = spark.createDataFrame([(None, "a"), (1, "a"), (2, None), (3, "a")], "x int, y string")
+    cuts = cut_points(df, ["x", "y"])
+    assert cuts == {"x": [(1, 10), (2, 11)], "y": []}
+    # Bits of 0, 10 and 21 at every second place, the ones of the other column between them.
+    assert [r[0] for r in df.select(curve_key(df, cuts)).collect()] == [0, 0, 0b0010001000, 0b1000100010]
+    assert [r[0] for r in df.select(curve_key(df, {"x": cuts["x"]})).collect()] == [0, 0, 10, 21]
+    none = df.limit(0)
+    assert none.select(curve_key(none, cut_points(none, ["x", "y"]))).collect() == []
+
+
+@pytest.mark.parametrize("layout", ["curve"])
+def test_full_refresh_along_the_curve(spark, run, layout, tmp_path):
+    lh, res = run
+    other = run_full_refresh(spark, lh.sources, str(tmp_path), layout=layout)
+    assert {n: t.rows for n, t in other.tables.items()} == {n: t.rows for n, t in res.tables.items()}
+
+
 def test_a_failing_landing_or_gate_leaves_every_table(spark, tmp_path):
     """A good load, then one whose landing fails and one whose gate fails: nothing changes."""
     import glob
