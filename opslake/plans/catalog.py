@@ -16,7 +16,7 @@ from opslake.functions import decimal_comma_to_double, non_empty, null_if_litera
 from opslake.operators import checksum, contract
 from opslake.operators.dedup import distinct_keys, duplicate_surplus, grain_violations, keep_first
 from opslake.operators.profile import column_profile
-from opslake.plans import gate, gold, reports, silver
+from opslake.plans import gate, gold, reports, silver, views
 from opslake.plans.lakehouse import Lakehouse, from_driver_tables
 from opslake.sources import csv_landing, opsdata
 from opslake.sources.tables import read_table
@@ -214,6 +214,10 @@ def _registry() -> dict[str, Callable[[Lakehouse], DataFrame]]:
         "registry_coverage": lambda lh: reports.registry_coverage(lh.marked),
         "recent_routes": lambda lh: reports.recent_routes(lh.obt),
         "column_profile": lambda lh: column_profile(drop_audit(lh.obt)),
+        # views by parts
+        "contract_view": views.contract_by_file,
+        "sketch_profile": views.sketch_profile,
+        **{name: views.over_parts(name) for name in views.REPORT_VIEWS},
     }
 
 

@@ -11,12 +11,14 @@ as future work; this is that load, kept equal to a full refresh:
    → ``bronze/vra/_batch=e``;
 2. silver rows → ``silver/vra/_month=M/_batch=e`` (M = YYYYMM of the first known
    time, else one of 64 hash buckets below zero);
-3. quarantine rows (contract is row-level) → ``silver/vra_quarentena/_batch=e``;
+3. quarantine rows (contract is row-level) → ``silver/vra_quarentena/_batch=e``,
+   and the batch's contract counts → ``silver/contract_parts/_batch=e``;
 4. the months the batch touched are recomputed for the fact and the OBT from
    *all* silver rows of those months → ``gold/*/_month=M``. Exact duplicates
    share all dedup keys, hence their partition, so per-partition dedup is the
    global dedup. The touched months drive a left-semi join on the partition
-   column, so dynamic partition pruning reads only those months;
+   column, so dynamic partition pruning reads only those months. The parts of
+   the report views (``opslake.plans.views``) of those months are replaced, too;
 5. the batch's distinct airport codes → ``silver/airport_codes/_batch=e``
    (a few rows per batch); the airport dimension is rebuilt from those code
    rows, never from a rescan of silver.
@@ -43,7 +45,7 @@ from pyspark.sql.streaming import StreamingQuery
 from opslake import spec
 from opslake.operators.contract import observe, quarantine
 from opslake.operators.publish import BATCH, MONTH, current, publish, table_path
-from opslake.plans import gold
+from opslake.plans import gold, views
 from opslake.plans.lakehouse import Lakehouse, Sources
 from opslake.session import output_root
 from opslake.sources.csv_landing import UTF8_QUOTED, CsvFormat, LandingCheck, flights_bronze, parse_lines, read_lines, written_headers
@@ -123,6 +125,7 @@ class IncrementalFlights:
         q = quarantine(marked, lh.rules, spec.REASONS_COLUMN, spec.REASON_SEPARATOR, spec.COL_QUARANTINED)
         _write(q.withColumn(BATCH, epoch), root, "silver.vra_quarentena", [BATCH])
         log.info("batch %s: contract %s", epoch_id, counted.get)
+        _write(views.contract_parts(lh.marked, lh.rules, []).withColumn(BATCH, epoch), root, views.CONTRACT, [BATCH])
 
         # 4. touched months: fact and OBT recomputed from every silver row of them
         touched = batch_silver.select(MONTH).distinct()
@@ -132,6 +135,9 @@ class IncrementalFlights:
         fact_rows = _read(spark, root, "gold.fact_flights").join(touched, MONTH, "left_semi").drop(MONTH)
         obt = self.lake(bronze, {"gold.fact_flights": fact_rows}).obt
         _write(obt.withColumn(MONTH, month_key()), root, "gold.obt_flights", [MONTH])
+        obt_rows = _read(spark, root, "gold.obt_flights").join(touched, MONTH, "left_semi")
+        for name, view in views.gold_views().items():
+            _write(view.parts(obt_rows, [MONTH]), root, views.parts_table(name), [MONTH])
 
         # 5. airport dimension from the per-batch code rows
         codes = gold.airport_codes(batch_silver).withColumn(BATCH, epoch)
@@ -143,6 +149,13 @@ class IncrementalFlights:
         _drop_batch(spark, root, int(epoch_id))
 
 
+def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A view of the incremental load from its parts: ``contract_view``, ``profile_view`` or a report of Q3–Q7."""
+    if name == "contract_view":
+        return views.contract_view(_read(spark, root, views.CONTRACT))
+    return views.gold_views()[name].read(_read(spark, root, views.parts_table(name)))
+
+
 def start(spark: SparkSession, flights_dir: str, registries: Sources, root: str | None = None,
           available_now: bool = True, max_files_per_trigger: int | None = None,
           fmt: CsvFormat = UTF8_QUOTED) -> StreamingQuery:
