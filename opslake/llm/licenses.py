@@ -121,13 +121,18 @@ def scan_licenses(docs: DataFrame, templates: list = TEMPLATES, phrases: list =
     for k, (phrase, _) in enumerate(phrases):
         f = f.withColumn(f"p{k}", _places(phrase))
 
+    # Templates of one posting, for which one vote is all; and those of which one word may be enough for two votes.
+    held = [[w for w, at, _ in postings if at == t] for t in range(len(templates))]
+    single = [t for t, ws in enumerate(held) if len(ws) == 1]
+    least = 1 if single or any(len(set(ws)) < len(ws) for ws in held) else 2
+
     # (template, offset) votes of the looked-up words' places.
     by_word: dict[str, list] = {}
     for w, t, p in postings:
         by_word.setdefault(w, []).append((t, p))
     spots = F.filter(F.transform("words", lambda w, i: F.when(w.isin(indexed), F.struct(w.alias("w"), i.alias("i")))),
                      lambda x: x.isNotNull())
-    f = f.select("*", F.when(F.size("rare") >= 2, spots).alias("spots")).drop("joined")
+    f = f.select("*", F.when(F.size("rare") >= least, spots).alias("spots")).drop("joined")
 
     def votes(x: Column) -> Column:
         out = F.array().cast("array<struct<t:int,o:int>>")
@@ -138,7 +143,8 @@ def scan_licenses(docs: DataFrame, templates: list = TEMPLATES, phrases: list =
 
     f = f.select("*", F.array_sort(F.flatten(F.transform("spots", votes))).alias("votes")).drop("spots")
     # Two postings of one template agree on the offset: equal neighbours in the sorted votes.
-    agree = F.array_distinct(F.filter("votes", lambda v, i: F.coalesce(F.get("votes", i - 1) == v, F.lit(False))))
+    enough = lambda v, i: F.coalesce(F.get("votes", i - 1) == v, F.lit(False)) | v["t"].isin(single)
+    agree = F.array_distinct(F.filter("votes", enough))
     f = f.select("*", agree.alias("agree")).drop("votes")
 
     def verified(v: Column) -> Column:

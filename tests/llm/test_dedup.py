@@ -1,5 +1,6 @@
 """SimHash and embedding near-dedup against pairwise comparison."""
 
+import inspect
 import random
 
 import numpy as np
@@ -106,3 +107,18 @@ def test_embeddings_equal_pairwise(spark, block):
     got = sorted((tuple(r) for r in E.embedding_dedup(df, block=block).collect()), key=str)
     assert got == want
     assert E.embedding_dedup(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("dim", [64, 384])
+def test_pairs_at_the_threshold_meet(dim):
+    """Recall of the index, with its own parameters, over random pairs at cosine 0.9 exactly."""
+    index = {k: p.default for k, p in inspect.signature(E.embedding_links).parameters.items()}
+    rng = np.random.default_rng(dim)
+    a = rng.standard_normal((400, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((400, dim))
+    side -= (side * a).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    keys = [E.bucket_keys(x, index["tables"], index["hashes"], index["probes"], index["seed"]) for x in (a, b)]
+    met = [bool(set(p) & set(q)) for p, q in zip(keys[0].tolist(), keys[1].tolist())]
+    assert np.mean(met) >= 0.98

@@ -1,10 +1,14 @@
 """Secret scan, URL filter, quality rules and license scan against plain Python."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 
 from opslake.llm import licenses, quality, secrets, url_filter
 
@@ -208,3 +212,117 @@ def test_propagation_goes_to_the_end(spark):
     assert got["h0"][1] == pytest.approx(0.15 * 0.85 ** n)
     with pytest.raises(RuntimeError):
         url_filter.propagate(e, s, 3)
+
+
+def plain_matches(words, templates, postings):
+    """(label, start, score) of every place that enough postings point to, by counting votes."""
+    votes = Counter((t, i - p) for i, w in enumerate(words) for at, t, p in postings if at == w)
+    own = Counter(t for _, t, _ in postings)
+    found = []
+    for (t, start), n in votes.items():
+        if n < min(2, own[t]):
+            continue
+        label, text, mandatory = templates[t]
+        here = [words[start + k] if 0 <= start + k < len(words) else None for k in range(len(text.split()))]
+        score = sum(a == b for a, b in zip(here, text.split())) / len(here)
+        first = [next(k for k in range(len(here)) if text.split()[k:k + len(p.split())] == p.split()) for p in mandatory]
+        if score >= licenses.MIN_SCORE and all(here[k:k + len(p.split())] == p.split() for k, p in zip(first, mandatory)):
+            found.append((label, start, round(score, 9)))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("more", [[], [("one", "copyleftish", ["copyleftish"]), ("twice", "yea yea", ["yea"])]])
+def test_license_matches_equal_counted_votes(spark, more):
+    rng = random.Random(3)
+    templates = licenses.TEMPLATES + more
+    vocabulary = licenses.vocabulary(templates) + ["filler", "other"] * 20
+    texts = ["copyleftish", "yea yea", "yea no yea", ""]
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 5)):
+            t = rng.choice(templates)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):  # words replaced, dropped or put in
+                k = rng.randrange(len(t))
+                t[k:k + rng.choice([0, 1, 1])] = [rng.choice(vocabulary)] * rng.choice([0, 1, 1])
+                t = t or ["filler"]
+            words += t[rng.choice([0, 0, 0, 3]):] + [rng.choice(vocabulary) for _ in range(rng.randrange(6))]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held = Counter(w for t in texts for w in set(t.split()))
+    postings, idf = licenses.rare_words(templates, len(texts), held)
+    assert all(abs(v - math.log((len(texts) + 1) / (held[w] + 1))) < 1e-12 for w, v in idf.items())
+    found = 0
+    for r in licenses.scan_licenses(docs, templates).collect():
+        want = plain_matches(texts[r.doc_id].split(), templates, postings)
+        assert sorted((m.label, m.start, round(m.score, 9)) for m in r.matches) == want, texts[r.doc_id]
+        assert r.score == pytest.approx(max([0.0, *[s for *_, s in want]]))
+        assert set(filter(None, r.labels.split(","))) >= {label for label, *_ in want}
+        found += len(want)
+    assert found > 50
+
+
+def plain_grams(text):
+    """Hashes of the words and of the pairs of neighbours, as Spark's XXH64 gives them."""
+    words = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    eight = lambda h: h.to_bytes(8, "little")
+    pairs = [xxhash.xxh64_intdigest(eight(b), seed=xxhash.xxh64_intdigest(eight(a), seed=42)) for a, b in zip(words, words[1:])]
+    return [h % quality.BUCKETS for h in words + pairs]
+
+
+def test_log_likelihood_ratio_equals_counted_one(spark):
+    rng = random.Random(5)
+    good, bad = [f"good{i}" for i in range(60)], [f"bad{i}é" for i in range(60)]
+    texts = [" ".join(rng.choices(good if i % 3 else bad, k=rng.randrange(12, 80))) for i in range(120)] + [None, "", "x", "𝒳 y"]
+    rows = [*enumerate(texts), (None, texts[1]), (4, texts[4]), (0, texts[1])]
+    trusted = [i for i in range(120) if i % 3 and i % 2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, t in rows:
+        np.add.at(raw, plain_grams(t), 1)
+        if i in trusted:
+            np.add.at(target, plain_grams(t), 1)
+    share = (raw + 1) / (raw.sum() + quality.BUCKETS)
+    ratios = np.log((target + quality.PRIOR * share) / (target.sum() + quality.PRIOR) / share)
+    got = quality.judge(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+    assert len(got) == len(rows)
+    verdicts = Counter()
+    for r in got:
+        grams = plain_grams(r.row.text)
+        if not grams:
+            assert r.score is None and not r.kept
+            continue
+        want = ratios[grams].mean()
+        assert r.score == pytest.approx(want, abs=1e-5)
+        assert r.kept == (not r.base_failed and want >= quality.MIN_SCORE)
+        verdicts[r.base_failed, r.kept] += 1
+    assert verdicts[False, True] > 30 and verdicts[False, False] > 10
+
+
+def test_novel_spans_equal_measured_ones(spark):
+    """Every run of key characters, judged one by one: compress with and without it."""
+    import zstandard
+    rng = random.Random(11)
+    chars = "ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    texts = []
+    for _ in range(60):
+        word = "".join(rng.choices(chars, k=rng.randrange(14, 60)))
+        plain = "_".join(rng.choices(["session", "account", "manager", "handler"], k=4)).replace("_", "")
+        for hint in ("bearer", "nothing", "private"):
+            texts.append(f"the session account uses a manager and handler {hint} {rng.choice([word, plain])} session account manager")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    dictionary = secrets.identifier_dictionary(docs)
+    primed = zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
+        dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    total = 0
+    for r in secrets.scan_secrets(docs, dictionary).collect():
+        text, want = texts[r.doc_id], []
+        for m in re.finditer(r"\S{16,}", text):
+            a, b = m.span()
+            around = (text[:a] + text[b:]).replace(m[0], "\n" * (b - a)).encode() + b"\n"
+            more = len(primed.compress(around + m[0].encode())) - len(primed.compress(around))
+            hinted = re.search("bearer|private", text[max(0, a - 64):a])
+            if hinted and not plain_spans(text) and more / (b - a) >= secrets.MIN_NOVELTY:
+                want.append(("novel", a, b))
+        assert [tuple(s) for s in r.spans if s.kind == "novel"] == want, text
+        total += len(want)
+    assert 20 < total < 120
