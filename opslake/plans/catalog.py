@@ -283,7 +283,7 @@ def landing_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, root: str) -> DataFrame:
         header = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
         lines = opsdata.landing_lines(spark, root)
-        headers = csv_landing.header_table(lines, header, csv_landing.UTF8_QUOTED)
+        headers = csv_landing.written_headers(lines, header, csv_landing.UTF8_QUOTED)
         return LANDING_BUILDERS[name](csv_landing.parse_lines(lines, headers, header))
 
     run.__name__ = name

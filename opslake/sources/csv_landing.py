@@ -33,12 +33,15 @@ import os
 import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opslake import spec
 from opslake.operators.mirror import rename
+from opslake.operators.once import once
 from opslake.session import shared_root
 
 
@@ -62,8 +65,9 @@ LATIN1_UNQUOTED = CsvFormat(encoding="ISO-8859-1", quote=None)
 def fields_of(line: Column, fmt: CsvFormat = UTF8_QUOTED) -> Column:
     """The fields of a line, as an array of strings (null: empty without quotes)."""
     sep = re.escape(fmt.sep)
+    plain = F.transform(F.split(line, sep, -1), lambda f: F.nullif(f, F.lit("")))
     if fmt.quote is None:
-        return F.transform(F.split(line, sep, -1), lambda f: F.nullif(f, F.lit("")))
+        return plain
     q = re.escape(fmt.quote)
     # Possessive, so that a long field takes no stack. Every match begins at a separator (one is put in front).
     raw = F.regexp_extract_all(F.concat(F.lit(fmt.sep), line), F.lit(f"{sep}(?:{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}(?={sep}|$)|[^{sep}]*+)"), F.lit(0))
@@ -74,7 +78,8 @@ def fields_of(line: Column, fmt: CsvFormat = UTF8_QUOTED) -> Column:
         inner = F.replace(F.substr(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0))), F.lit(fmt.quote * 2), F.lit(fmt.quote))
         return F.when(quoted, inner).otherwise(F.nullif(text, F.lit("")))
 
-    return F.transform(raw, value)
+    # A line without any quote needs no more than its separators.
+    return F.when(F.contains(line, F.lit(fmt.quote)), F.transform(raw, value)).otherwise(plain)
 
 
 def read_lines(lines: DataFrame, fmt: CsvFormat) -> DataFrame:
@@ -113,14 +118,10 @@ def _is_header(names: Column, header: list[str]) -> Column:
 
 
 def _names_one(header: list[str]) -> Column:
-    """A cheap first test: whether the line holds a known column name."""
-    return F.rlike("_line", F.lit("|".join(re.escape(h) for h in header)))
-
-
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with columns that are computed once a row, however often they are
-    used: they come out of a generator, through which no filter is pushed."""
-    return df.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+    """A cheap first test: whether the line holds one of so many known column
+    names (the longest) that a line with half of all cannot lack them."""
+    some = sorted(header, key=len, reverse=True)[:len(header) // 2 + 1]
+    return reduce(or_, [F.contains(F.col("_line"), F.lit(h)) for h in some])
 
 
 def header_table(lines: DataFrame, header: list[str], fmt: CsvFormat) -> DataFrame:
@@ -130,7 +131,7 @@ def header_table(lines: DataFrame, header: list[str], fmt: CsvFormat) -> DataFra
     names a column twice raises when it is read."""
     known = F.array(*[F.lit(h) for h in header])
     some = lines.where(_names_one(header))
-    some = _once(some, _names=_names(fields_of(F.col("_line"), fmt))).where(_is_header(F.col("_names"), header))
+    some = once(some, _names=_names(fields_of(F.col("_line"), fmt))).where(_is_header(F.col("_names"), header))
     some = some.groupBy("_path").agg(F.min("_names").alias("_names"))
     names = F.col("_names")
     message = F.concat(F.lit("a column stands twice in the header of "), F.col("_path"))
@@ -145,12 +146,12 @@ def parse_lines(lines: DataFrame, headers: DataFrame, header: list[str], fmt: Cs
                 observation: Observation | None = None) -> DataFrame:
     """Rows of ``read_lines`` by the names of their file's header, with what was
     rescued and ``_file``; ``observation`` counts headers and preambles."""
-    rows = _once(lines.where(F.trim("_line") != ""), _fields=fields_of(F.col("_line"), fmt))
+    rows = once(lines.where(F.trim("_line") != ""), _fields=fields_of(F.col("_line"), fmt))
     fields = F.col("_fields")
     is_preamble = F.lit(False)
     if fmt.preamble_lines:
-        pattern = fmt.preamble_regex or f"^[^{re.escape(fmt.sep)}]*$"
-        is_preamble = (F.col("_block") == 0) & F.rlike("_line", F.lit(pattern))
+        matches = F.rlike("_line", F.lit(fmt.preamble_regex)) if fmt.preamble_regex else ~F.contains(F.col("_line"), F.lit(fmt.sep))
+        is_preamble = (F.col("_block") == 0) & matches
     rows = rows.withColumn("_kind", F.when(_names_one(header) & _is_header(_names(fields), header), "header").when(is_preamble, "preamble").otherwise("data"))
     if observation is not None:
         rows = rows.observe(observation, F.count_if(F.col("_kind") == "header").alias("headers"),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake import spec
+from opslake.operators.once import once
 from opslake.sources.tables import read_table
 
 # Fixture parameters (FIXTURES.md §4): modulus → branch.
@@ -30,7 +31,9 @@ def icao_code(k: Column) -> Column:
 
 
 def airline_code(suppkey: Column) -> Column:
-    return F.format_string("A%04d", suppkey.cast("long"))  # padded, never cut
+    digits = suppkey.cast("string")
+    padded = F.when(suppkey.between(0, 9999), F.lpad(digits, 4, "0")).otherwise(digits)  # never cut
+    return F.when(suppkey >= 0, F.concat(F.lit("A"), padded)).otherwise(F.format_string("A%04d", suppkey.cast("long")))
 
 
 def _text_ts(ts: Column) -> Column:
@@ -119,24 +122,29 @@ def landing_lines(spark: SparkSession, root: str) -> DataFrame:
     year, added = F.substring(file, 5, 4).cast("int"), F.length(file) == 14
     names = [raw for raw, _ in spec.FLIGHT_SOURCE_COLUMNS]
 
-    def laid_out(cell: list[Column], other: Column) -> Column:
-        none = F.array().cast("array<string>")
-        return F.concat(F.when(year % 2 == 0, F.array(cell[1], cell[0])).otherwise(F.array(*cell[:2])), F.array(cell[2]),
-                        F.when(added, F.array(other)).otherwise(none), F.array(*cell[3:-1]),
-                        F.when(year % 3 == 0, none).otherwise(F.array(cell[-1])))
+    def laid_out(cells: Column, *more: Column) -> Column:
+        """Those of ``cells`` (of all names, then of the added column) that the file has, in its order, and ``more``."""
+        none, last = F.array().cast("array<string>"), len(names)
+        return F.concat(F.when(year % 2 == 0, F.array(F.get(cells, F.lit(1)), F.get(cells, F.lit(0)))).otherwise(F.slice(cells, 1, 2)), F.slice(cells, 3, 1),
+                        F.when(added, F.slice(cells, last + 1, 1)).otherwise(none), F.slice(cells, 4, last - 4),
+                        F.when(year % 3 == 0, none).otherwise(F.slice(cells, last, 1)), *more)
 
     def rendered(value: Column) -> Column:
         quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.when(value.isNull(), "").when((value == "") | F.rlike(value, F.lit('[;"]')) | (n % 7 == 0), quoted).otherwise(value)
+        needed = (value == "") | F.contains(value, F.lit(";")) | F.contains(value, F.lit('"'))
+        return F.when(value.isNull(), "").when(needed | (F.col("_n") % 7 == 0), quoted).otherwise(value)
 
     cells = [F.col(f"`{name}`") for name in names]
     cells[-1] = F.when(n % 13 == 0, F.concat(F.lit("x;"), cells[-1], F.lit('"q'))).otherwise(cells[-1])
     other = F.when(n % 5 != 0, F.concat(F.lit("obs "), (n % 7).cast("string")))
-    fields = laid_out([rendered(v) for v in cells], rendered(other))
-    fields = F.when(n % 31 == 0, F.slice(fields, 1, 5)).when(n % 29 == 0, F.concat(fields, F.array(F.lit("EXTRA"), F.lit("")))).otherwise(fields)
-    # Out of a generator: the rendering is not repeated wherever a line is looked at.
-    data = flights.select(F.explode(F.array(F.array_join(fields, ";"))).alias("_line"), file.alias("_file"))
-    top = F.array(F.concat(F.lit("Updated for "), file), F.array_join(laid_out([F.lit(name) for name in names], F.lit(OTHER_COLUMN)), ";"))
+    # Out of generators: no step is repeated wherever a line is looked at, and each cell is rendered by the same small
+    # expression (written out cell by cell, the code of a row is too long for the JVM to compile).
+    data = once(flights.select(file, n.alias("_n"), F.array(*cells, other).alias("_cells")), _n=F.col("_n"), _cells=F.transform("_cells", rendered))
+    n = F.col("_n")
+    extra = F.when((n % 29 == 0) & (n % 31 != 0), F.array(F.lit("EXTRA"), F.lit(""))).otherwise(F.array().cast("array<string>"))
+    fields = F.slice(laid_out(F.col("_cells"), extra), F.lit(1), F.when(n % 31 == 0, 5).otherwise(len(names) + 3))
+    data = once(data, _line=F.array_join(fields, ";")).select("_line", file.alias("_file"))
+    top = F.array(F.concat(F.lit("Updated for "), file), F.array_join(laid_out(F.array(*[F.lit(name) for name in [*names, OTHER_COLUMN]])), ";"))
     heads = flights.select(spec.COL_SOURCE_FILE).distinct().select(F.explode(top).alias("_line"), file.alias("_file"))
     return data.unionByName(heads).select("_line", F.concat(F.lit("inbox/"), "_file").alias("_path"), "_file", F.lit(0).cast("long").alias("_block"))
 

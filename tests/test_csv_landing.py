@@ -193,3 +193,23 @@ def test_pipeline_from_landed_files(spark, files):
     assert checks["rescued_rows"][3] == 2                        # warned, not failed
     assert res.contract["empresa_no_cadastro_anac"] == 2         # GLO is not registered
     assert res.contract["aeroporto_destino_no_cadastro_anac"] == 2   # KJFK and the truncated row
+
+
+def test_landing_query_keeps_its_rows_in_place_and_its_code_short(spark):
+    """Rows are not shuffled to their file's header, and the JVM compiles no method over 8,000 bytes."""
+    import contextlib
+    import io
+    import re
+    from opslake.plans import catalog
+    df = catalog.landing_query("landing_summary")(spark, "/root/testdata/sf0.001")
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_path" not in tree
+    text = io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(text):
+            catalog.landing_query("landing_summary")(spark, "/root/testdata/sf0.001").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
