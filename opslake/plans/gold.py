@@ -29,6 +29,7 @@ from opslake.functions import (
 from opslake.operators.best_record import best_per_key
 from opslake.operators.dedup import distinct_keys
 from opslake.operators.joins import left_lookup
+from opslake.operators.once import once
 
 AERODROME_PAYLOAD = ["name", "municipality", "state_name", "served_municipality", "served_state_name"]
 
@@ -97,7 +98,11 @@ def _code_table(codes: DataFrame, domain: str, prefix: str) -> DataFrame:
 
 def fact_flights(silver: DataFrame, airlines_best: DataFrame, codes: DataFrame,
                  s: spec.FlightSpec = spec.FLIGHTS) -> DataFrame:
-    """Deduplicated flight steps with labels, scope, plausibility and punctuality."""
+    """Deduplicated flight steps with labels, scope, plausibility and punctuality.
+
+    Over a silver that is not stored, the four times are parsed once a row: a filter on
+    a delay or a flag is applied to them before the dedup, but not written out below."""
+    silver = once(silver, **{name: F.col(name) for name in spec.TIMESTAMP_COLUMNS})
     base = distinct_keys(silver, s.dedup_keys)
     c = F.col
     sd, ad, sa, aa = (c(x) for x in spec.TIMESTAMP_COLUMNS)

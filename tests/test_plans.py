@@ -1,7 +1,13 @@
 """Physical-plan assertions: the shapes we rely on at scale."""
 
+import contextlib
+import io
+import re
+
+import pytest
+
 from opslake.plans.lakehouse import from_driver_tables
-from opslake.plans import reports
+from opslake.plans import catalog, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +64,18 @@ def test_share_of_total_is_a_scalar_subquery_not_a_cross_join(spark):
     text = formatted(reports.carrier_share(lh.obt))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Subquery" in text
+
+
+@pytest.mark.parametrize("name", ["punctuality_conflicts", "recovery_analysis", "cascade_view", "hourly_cascade"])
+def test_times_are_parsed_once_whatever_filter_looks_at_them(spark, name):
+    """Written out at every place the filter names them, they make methods over 8,000 bytes, which the JVM does not compile."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = catalog.query(name)(spark, SF)
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
