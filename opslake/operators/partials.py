@@ -51,8 +51,9 @@ def mean(name: str, col: Column) -> Measure:
 
 
 def distinct(name: str, col: Column, lg_k: int = LG_K) -> Measure:
-    """Distinct values (as text), within some ``HLL_ERROR`` of their number."""
-    return Measure(name, {name: (F.hll_sketch_agg(col.cast("string"), lg_k), F.hll_union_agg)},
+    """Distinct values (as text), within some ``HLL_ERROR`` of their number. The
+    sketch leaves out empty texts, so every text is told with a mark before it."""
+    return Measure(name, {name: (F.hll_sketch_agg(F.concat(F.lit("="), col.cast("string")), lg_k), F.hll_union_agg)},
                    F.hll_sketch_estimate(name))
 
 

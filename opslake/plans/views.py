@@ -112,16 +112,15 @@ def sketch_profile(lh: Lakehouse) -> DataFrame:
     three times its stated error (of the count, or of the ranks of both quantiles)."""
     obt = lh.obt
     told = over_parts("profile_view")(lh).select(F.struct("*")).scalar()
-    d = obt.select(*PROFILED, *DELAYS, told.alias("_told"))
     near = 3 * partials.KLL_ERROR
-    aggs = [F.first("_told").alias("_told")]
-    aggs += [F.count_distinct(n).alias(n) for n in PROFILED]
+    # What the sketches told is a value of the plan, not a column: carried along, it made the aggregate a sort of all rows.
+    aggs = [F.count_distinct(n).alias(n) for n in PROFILED]
     for n in DELAYS:
-        at = c("_told")[n]
+        at = told[n]
         aggs.append(F.count(n).alias(n))
         for i in range(len(RANKS)):
             aggs += [F.count_if(c(n) < at[i]).alias(f"{n}_under{i}"), F.count_if(c(n) <= at[i]).alias(f"{n}_upto{i}")]
-    one = d.agg(*aggs)
+    one = obt.select(*PROFILED, *DELAYS).agg(*aggs).select("*", told.alias("_told"))
     rows = [F.struct(F.lit(n).alias("column_name"), c(n).alias("exact"),
                      (F.abs(c("_told")[n] - c(n)) <= 3 * partials.HLL_ERROR * c(n)).alias("within_error")) for n in PROFILED]
     for n in DELAYS:

@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,16 @@ def test_parts_of_nulls_and_of_nothing(spark):
     assert tuple(got["a"])[1:6] == (3, 2, 9, 3.0, 2) and got["a"].half[0] in (1, 4)
     empty = spark.createDataFrame([], schema)
     assert partials.merged(partials.parts(empty, ["part"], ["k"], measures), ["k"], measures).count() == 0
+
+
+def test_an_empty_text_is_a_value_of_a_distinct_count(spark):
+    rows = spark.createDataFrame([(p, v) for p in (1, 2) for v in ("", "a", "b", None)], "part int, v string")
+    measure = [partials.distinct("v", F.col("v"))]
+    assert partials.merged(partials.parts(rows, ["part"], [], measure), [], measure).first().v == 3
+
+
+def test_the_sketch_profile_sorts_no_rows(spark):
+    from opslake.plans import catalog
+    df = catalog.query("sketch_profile")(spark, "/root/testdata/sf0.001")
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[icao" in tree and not re.search(r"SortAggregate\(key=\[[^\]]*gid", tree)
