@@ -7,7 +7,7 @@ import re
 import pytest
 
 from opslake.plans.lakehouse import from_driver_tables
-from opslake.plans import catalog, reports
+from opslake.plans import catalog, gate, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,3 +79,14 @@ def test_times_are_parsed_once_whatever_filter_looks_at_them(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_orphans_by_origin_read_the_dedup_of_all_steps(spark):
+    """As many as the anti join finds, with no filter moved below the dedup (whose exchange the gate's counts then share)."""
+    lh = from_driver_tables(spark, SF)
+    tree = gate._orphans_by_origin(lh.fact, lh.dim_airport)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "o_custkey" in line and "concat" in line for line in tree.splitlines())
+    fact = spark.createDataFrame([(v,) for v in ("A", "B", "B", "C", "", None)], "icao_origin string")
+    dim = spark.createDataFrame([("A",), ("A",), (None,)], "icao_airport string")
+    found = gate._orphans_by_origin(fact, dim).agg({"_n": "sum"}).first()[0]
+    assert found == gate.orphan_rows(fact, dim).count() == 3
