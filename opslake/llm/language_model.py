@@ -1,17 +1,22 @@
 """LM scoring: interpolated modified Kneser-Ney n-grams of order 2 or 3, counted in Spark.
 
-Counting: each task turns its documents into 56-bit token hashes, counts its
-n-grams of the highest order in bounded buffers and emits one sorted block per
-model bucket; a shuffle by bucket merges the blocks. The bucket is that of an
-n-gram's last two words, so a bucket also has all left neighbours of its bigrams,
-which the lower order counts. A frequent word is dealt to ``SPLIT`` buckets by its
-successor, so nothing meets in one task whole. Each bucket is
-written as a sorted hash array (n-gram hash, count) in the shared folder; what
-contexts and words need (counts, successors by count class, distinct contexts)
-is merged in a second, smaller shuffle and written as sorted arrays.
-
-Scoring: one narrow pass. Tasks memory-map the arrays and look sorted queries up
-by binary search; at most ``MAPS`` arrays are open, so neither a worker's memory
+Counting: each task turns its documents into token ids, counts its n-grams of the
+highest order in bounded buffers and emits one sorted block per model bucket; a
+shuffle by bucket merges the blocks. A word's id is its place in a bounded list of
+frequent words, or else a 56-bit hash: the list, taken from a sample, only makes
+blocks small and spreads frequent words, and no count depends on it. The bucket is
+that of an n-gram's last two words, so a bucket also has all left neighbours of its
+bigrams, which the lower order counts. A context is dealt by its last word: a
+frequent one goes to all buckets by its successor, so nothing meets in one task
+whole; any other has all its successors in one. Each bucket is written as a shelf
+(sorted 56-bit n-gram hashes without the bits that their place gives, and counts)
+in the shared folder; what words and contexts with a frequent word need (counts,
+successors by count class, distinct contexts) is merged in a second, smaller
+shuffle. The buckets are counted in ``ROUNDS`` rounds and shuffle files and partial
+counts go as soon as they are merged, so that little more than the model is on disk.
+
+Scoring: one narrow pass. Tasks memory-map the arrays and look queries up by
+binary search; at most ``MAPS`` arrays are open, so neither a worker's memory
 nor its descriptors grow with the model. Counts are exact up to 64 bits.
 
 The counts of either order cover every training document whole.
@@ -23,43 +28,76 @@ import os
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm._common import mounted_path, read_table
+from opslake.llm._common import SPACE_CLASS, Scratch, ascii_lower, mounted_path, read_table
 
 START, END = 1, 2            # token hashes of the text's begin and end
-SPLIT = 16                   # buckets over which one context's successors are dealt
+CODES = 1 << 17              # words with short ids: END + 1 and on, by falling frequency
+CODE_BYTES = 4096            # of such a word at most
+CODE_CHARS = 32_000_000      # characters of the sample they are taken from
+HASHED = END + 1 + CODES     # ids from here on are hashes
+ROUNDS = 2                   # in which the buckets are counted
 BUCKET_CHARS = 8_000_000     # characters of training text a bucket
 TOKEN_BUCKETS = 8            # bigram buckets to one token bucket
 BUFFER = 2_500_000           # tokens counted at once in a task
-SCORE_BUFFER = 400_000       # tokens scored at once in a task
-CACHE = 400_000              # words whose hash a task keeps
+SCORE_BUFFER = 8_000_000     # bytes of text scored at once in a task
 MAPS = 64                    # arrays a scoring task has open
+SMALL, TUPLES = 32, 255       # a shelf codes its most frequent tuples of counts below SMALL in a byte
 COUNT, CONT, TOTAL, N1, N2, N3 = range(6)  # of a token; a longer context has the last four
 NONE = np.zeros(0, np.int64)
 
 
-class TokenHash(dict):
-    """word -> 56-bit hash, with a bounded cache."""
+class Tokens:
+    """Word ids: of a listed word its place, else its hash."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = max(xxhash.xxh64_intdigest(word) >> 8, END + 1)
-        return h
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            listed = np.array(f.read().split(), object)
+        listed = self._hash(listed)
+        by = np.argsort(listed)
+        self.listed, self.codes = listed[by], by + END + 1
 
-    def stream(self, text: str | None) -> np.ndarray:
-        """START, the lower-cased words' hashes, END."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        out = np.empty(len(words) + 2, np.int64)
-        out[0], out[-1] = START, END
-        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return out
+    @staticmethod
+    def _hash(words: np.ndarray) -> np.ndarray:
+        return np.maximum((pd.util.hash_array(words, categorize=False) >> np.uint64(8)).astype(np.int64), HASHED)
+
+    def ids(self, words: pa.Array) -> np.ndarray:
+        """The id of each distinct word; 0 of the empty one, which lies beside white space at an end."""
+        h = self._hash(words.to_numpy(zero_copy_only=False))
+        if len(self.listed):
+            at = np.minimum(np.searchsorted(self.listed, h), len(self.listed) - 1)
+            h = np.where(self.listed[at] == h, self.codes[at], h)
+        return np.where(pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False), 0, h)
+
+    def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """START, the lower-cased words' ids and END of each text; the texts' numbers of words and ends."""
+        words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        places, first = words.flatten().dictionary_encode(), words.offsets.to_numpy()
+        ids = self.ids(places.dictionary.cast(pa.binary()))
+        ids = ids[places.indices.to_numpy()]
+        n = np.diff(np.concatenate([[0], np.cumsum(ids > 0)])[first - first[0]]) + 2
+        end = np.cumsum(n)
+        out = np.zeros(int(n.sum()), np.int64)
+        out[end - n], out[end - 1] = START, END
+        out[out == 0] = ids[ids > 0]
+        return out, n - 1
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of pieces of a column with some ``size`` bytes; a longer text is whole."""
+    piece = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    cut = [0, *(np.flatnonzero(piece[1:] != piece[:-1]) + 1).tolist(), len(piece)]
+    for a, b in zip(cut, cut[1:]):
+        if b > a:
+            yield a, texts.slice(a, b - a)
 
 
 def pair_key(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -72,8 +110,14 @@ def pair_key(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
         return h * np.uint64(0x94D049BB133111EB)
 
 
-def pair_bucket(ctx: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
-    return (ctx % buckets + (word % SPLIT) * max(1, buckets // SPLIT)) % buckets
+def gram_key(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """56-bit hash of (context, word)."""
+    return (pair_key(ctx, word) >> np.uint64(8)).astype(np.int64)
+
+
+def pair_bucket(ctx: np.ndarray, word: np.ndarray, buckets: int, light: int) -> np.ndarray:
+    """Ids below ``light`` are of frequent words."""
+    return (ctx + np.where(ctx < light, word, 0)) % buckets
 
 
 def context(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -97,90 +141,199 @@ def summed(key: np.ndarray, *counts: np.ndarray):
     return key[first], order[first], [np.add.reduceat(c[order], first) if len(first) else c[:0] for c in counts]
 
 
-def _seven(ids: np.ndarray) -> bytes:
-    return np.ascontiguousarray(ids.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
-
-
-def _ids(raw: bytes, n: int) -> np.ndarray:
-    wide = np.zeros((n, 8), np.uint8)
-    wide[:, :7] = np.frombuffer(raw, np.uint8).reshape(n, 7)
-    return wide.view("<i8").ravel()
+def distinct_grams(stream: np.ndarray, order: int, take: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams of a stream of texts as (context, word, count, token before), by
+    context, word and token before; that is 0 in an n-gram of two tokens. ``take``: whether
+    the n-gram whose word is one place on counts."""
+    ids, rank = np.unique(stream, return_inverse=True)
+    before, ctx, word = np.concatenate([[0], rank[:-2] + 1]), rank[:-1], rank[1:]
+    before = np.where(stream[:-1] == START, 0, before) if order > 2 else np.zeros_like(before)
+    bits, pairs = int(len(ids)).bit_length(), None
+    mask = (1 << bits) - 1
+    key = (ctx << bits | word)[take]
+    if 3 * bits > 63:
+        pairs, key = np.unique(key, return_inverse=True)
+    key = np.sort(key << bits | before[take])
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.diff(np.append(first, len(key)))
+    key = key[first]
+    before, key = key & mask, key >> bits
+    if pairs is not None:
+        key = pairs[key]
+    return ids[key >> bits], ids[key & mask], n, np.where(before > 0, ids[before - 1], 0)
+
+
+def _groups(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(value, its places in order) of each distinct value of 0 and more."""
+    if len(of):
+        by = np.argsort(of.astype(np.int16) if of.max() < 1 << 15 else of, kind="stable")
+        first = np.flatnonzero(_runs_of(of[by]))
+        yield from ((k, p) for k, p in zip(of[by[first]].tolist(), np.split(by, first[1:])) if k >= 0)
+
+
+def _pack(*cols: np.ndarray) -> bytes:
+    """Columns of 64 bits as compressed byte planes without those that are all zero."""
+    used, planes = [], []
+    for c in cols:
+        p = np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8).T
+        some = p.any(axis=1)
+        used.append(some)
+        planes.append(p[some].tobytes())
+    raw = b"".join(planes)
+    return (np.array([len(cols[0]), len(raw)], "<i8").tobytes() + np.packbits(used, axis=1).tobytes()
+            + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b""))
+
+
+def _unpack(blob: bytes, width: int) -> list[np.ndarray]:
+    n, size = np.frombuffer(blob, "<i8", 2).tolist()
+    used = np.unpackbits(np.frombuffer(blob, np.uint8, width, 16)).reshape(width, 8).astype(bool)
+    raw = np.frombuffer(pa.decompress(blob[16 + width:], size, codec="zstd", asbytes=True) if size else b"", np.uint8).reshape(-1, n)
+    out, at = [], 0
+    for some in used:
+        p = np.zeros((n, 8), np.uint8)
+        p[:, some] = raw[at:at + some.sum()].T
+        at += some.sum()
+        out.append(p.view("<i8").ravel())
+    return out
+
+
+def _runs_of(*cols: np.ndarray) -> np.ndarray:
+    """Whether a row begins a run of equal values in all columns."""
+    new = np.zeros(len(cols[0]), bool)
+    new[:1] = True
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def _steps(col: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """A run's first value, then the differences."""
+    return np.where(new, col, np.diff(col, prepend=col[:1]))
+
+
+def _sums(steps: np.ndarray, new: np.ndarray) -> np.ndarray:
+    total, first = np.cumsum(steps), np.flatnonzero(new)
+    return total - np.repeat(total[first] - steps[first], np.diff(np.append(first, len(steps))))
 
 
 def encode_pairs(ctx: np.ndarray, word: np.ndarray, n: np.ndarray, last: np.ndarray | None = None) -> bytes:
-    """A block of n-grams: contexts with run lengths, words, counts (a byte, larger
-    ones apart). ``last`` is the last token of contexts of two."""
+    """A block of n-grams by context, small if words and ``last`` (one more token) ascend in their runs."""
     order = np.argsort(ctx, kind="stable")
     ctx, word, n = ctx[order], word[order], n[order]
-    run = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-    large = np.flatnonzero(n > 255)
-    head = np.array([last is not None, len(ctx), len(run), len(large)], np.int64)
-    return b"".join([head.tobytes(), _seven(ctx[run]), np.diff(np.append(run, len(ctx))).astype("<u4").tobytes(),
-                     b"" if last is None else _seven(last[order][run]),
-                     _seven(word), np.minimum(n, 255).astype(np.uint8).tobytes(),
-                     large.astype("<i8").tobytes(), n[large].astype("<i8").tobytes()])
+    cols = [np.diff(ctx, prepend=0), _steps(word, _runs_of(ctx)), n]
+    if last is not None:
+        cols.append(_steps(last[order], _runs_of(ctx, word)))
+    return bytes([len(cols)]) + _pack(*cols)
 
 
 def decode_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-    longer, pairs, runs, large = np.frombuffer(blob, np.int64, 4).tolist()
-    at, last = 32, None
-    ctx = _ids(blob[at:at + 7 * runs], runs)
-    at += 7 * runs
-    times = np.frombuffer(blob, "<u4", runs, at)
-    ctx = np.repeat(ctx, times)
-    at += 4 * runs
-    if longer:
-        last = np.repeat(_ids(blob[at:at + 7 * runs], runs), times)
-        at += 7 * runs
-    word = _ids(blob[at:at + 7 * pairs], pairs)
-    at += 7 * pairs
-    n = np.frombuffer(blob, np.uint8, pairs, at).astype(np.int64)
-    at += pairs
-    n[np.frombuffer(blob, "<i8", large, at)] = np.frombuffer(blob, "<i8", large, at + 8 * large)
-    return ctx, word, n, last
+    ctx, word, n, *last = _unpack(blob[1:], blob[0])
+    ctx = np.cumsum(ctx)
+    word = _sums(word, _runs_of(ctx))
+    return ctx, word, n, _sums(last[0], _runs_of(ctx, word)) if last else None
 
 
 def encode_stats(kind: int, ids: np.ndarray, cols: list[np.ndarray]) -> bytes:
-    """A block of ids with counts: a byte each, rows with a larger one apart."""
-    col = np.stack(cols)
-    large = np.flatnonzero((col > 255).any(axis=0))
-    head = np.array([kind, len(ids), len(cols), len(large)], np.int64)
-    return b"".join([head.tobytes(), _seven(ids), np.minimum(col, 255).astype(np.uint8).tobytes(),
-                     large.astype("<i8").tobytes(), col[:, large].astype("<i8").tobytes()])
+    """A block of ids, small if they ascend, with columns."""
+    return bytes([kind, len(cols)]) + _pack(np.diff(ids, prepend=0), *cols)
 
 
 def decode_stats(blob: bytes) -> tuple[int, np.ndarray, np.ndarray]:
-    kind, n, width, large = np.frombuffer(blob, np.int64, 4).tolist()
-    at = 32 + 7 * n
-    ids, col = _ids(blob[32:at], n), np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n).astype(np.int64)
-    at += n * width
-    rows = np.frombuffer(blob, "<i8", large, at)
-    col[:, rows] = np.frombuffer(blob, "<i8", large * width, at + 8 * large).reshape(width, large)
-    return kind, ids, col
+    ids, *cols = _unpack(blob[2:], blob[1] + 1)
+    return blob[0], np.cumsum(ids), np.stack(cols)
+
+
+def shelf(key: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
+    """Bytes of a table of ascending 56-bit keys and up to four counts each. A key's first
+    bits are given by its slot; its counts are one of ``TUPLES`` tuples or stand apart."""
+    n, width, bits = len(key), len(cols), 16 if len(key) > 1 << 15 else 8
+    slots = np.searchsorted(key, np.arange((1 << bits) + 1, dtype=np.int64) << (56 - bits))
+    end = 24 - bits
+    col = np.stack(cols)
+    small = np.flatnonzero((col < SMALL).all(axis=0))
+    code = np.full(n, TUPLES, np.uint8)
+    tuples = (col[:, small] * SMALL ** np.arange(width)[:, None]).sum(axis=0)
+    times = np.bincount(tuples)
+    table = np.argsort(-times, kind="stable")[:TUPLES]
+    table = table[times[table] > 0]
+    of = np.full(len(times), TUPLES, np.uint8)
+    of[table] = np.arange(len(table))
+    code[small] = of[tuples]
+    apart = np.flatnonzero(code == TUPLES)
+    large = np.ascontiguousarray(col[:, apart].T, "<u4" if col.max(initial=0) < 1 << 32 else "<i8")
+    head = np.array([n, width, bits, len(table), len(apart), large.itemsize], "<i8")
+    parts = [head, table.astype("<i8"), large, apart.astype("<u4"), slots.astype("<u4"),
+             (key >> end & 0xFFFFFFFF).astype("<u4"), (key & ((1 << end) - 1)).astype("u1" if end == 8 else "<u2"), code]
+    return np.frombuffer(b"".join(p.tobytes() for p in parts), np.uint8)
+
+
+class Shelf:
+    """Look-ups in the bytes of ``shelf``."""
+
+    def __init__(self, raw: np.ndarray):
+        self.n, self.width, self.bits, tuples, apart, item = raw[:48].view("<i8").tolist()
+        at = 48
+
+        def take(n: int, kind: str) -> np.ndarray:
+            nonlocal at
+            at, begin = at + n * np.dtype(kind).itemsize, at
+            return raw[begin:at].view(kind)
+
+        self.table = take(tuples, "<i8")[:, None] // SMALL ** np.arange(self.width) % SMALL
+        self.large = take(apart * self.width, f"<{'u' if item == 4 else 'i'}{item}").reshape(apart, self.width)
+        self.apart, self.slots, self.top = (take(k, "<u4") for k in (apart, (1 << self.bits) + 1, self.n))
+        self.end = take(self.n, "u1" if self.bits == 16 else "<u2")
+        self.code = take(self.n, "u1")
+
+    def get(self, key: np.ndarray) -> np.ndarray:
+        """The counts of each key; zeros where it isn't there."""
+        out = np.zeros((len(key), self.width), np.int64)
+        slot, bits = key >> (56 - self.bits), 24 - self.bits
+        top = (key >> bits & 0xFFFFFFFF).astype(np.uint32)
+        low, last = self.slots[slot].astype(np.int64), self.slots[slot + 1].astype(np.int64)
+        high = last
+        for _ in range(int((last - low).max(initial=0)).bit_length()):
+            mid = (low + high) >> 1
+            less = (low < high) & (self.top.take(mid, mode="clip") < top)
+            low, high = np.where(less, mid + 1, low), np.where(less, high, mid)
+        at = np.flatnonzero(low < last)
+        at = at[self.top[low[at]] == top[at]]
+        hits, end = [], key & ((1 << bits) - 1)
+        while len(at):  # more than once only where neighbours have the same top bits
+            same = self.end[low[at]] == end[at]
+            hits.append(at[same])
+            at = at[~same]
+            low[at] += 1
+            at = at[low[at] < last[at]]
+            at = at[self.top[low[at]] == top[at]]
+        hit = np.concatenate(hits) if hits else at
+        code = self.code[low[hit]]
+        listed = code < TUPLES
+        out[hit[listed]] = self.table[code[listed]]
+        out[hit[~listed]] = self.large[np.searchsorted(self.apart, low[hit[~listed]])]
+        return out
 
 
-def _count_blocks(buckets: int, order: int):
+def _count_blocks(path: str, buckets: int, light: int, order: int, part: int):
+    """Blocks of the buckets of one of ``ROUNDS`` rounds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, held, size = TokenHash(), [], 0
+        tokens, held, size = Tokens(f"{path}/words"), [], 0
 
         def flush() -> pa.RecordBatch:
-            before, last, word = grams(np.concatenate(held))
+            stream = np.concatenate(held)
+            take = (pair_bucket(stream[:-1], stream[1:], buckets, light) % ROUNDS == part) & (stream[:-1] != END)
             out = []
-            longer = (last != START) & (order > 2)
-            for take, ctx in ((~longer, last), (longer, context(before, last))):
-                _, at, (n,) = summed(pair_key(ctx[take], word[take]), np.ones(int(take.sum()), np.int64))
-                c, w, v = (x[take][at] for x in (ctx, word, last))
-                bucket = pair_bucket(v, w, buckets)
-                by = np.argsort(bucket, kind="stable")
-                ids, first = np.unique(bucket[by], return_index=True)
-                for b, p in zip(ids.tolist(), np.split(by, first[1:])):
-                    out.append((b, encode_pairs(c[p], w[p], n[p], v[p] if ctx is not last else None)))
+            if take.any():
+                ctx, word, n, before = distinct_grams(stream, order, take)
+                out = [(b, encode_pairs(ctx[p], word[p], n[p], before[p]))
+                       for b, p in _groups(pair_bucket(ctx, word, buckets, light))]
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                                pa.array([o[1] for o in out], pa.binary())], ["bucket", "block"])
 
         for b in batches:
-            for t in b.column(0):
-                held.append(tokens.stream(t.as_py()))
+            for _, texts in slices(b.column(0), 2 * BUFFER):
+                held.append(tokens.stream(texts)[0])
                 size += len(held[-1])
                 if size >= BUFFER:
                     yield flush()
@@ -218,55 +371,51 @@ def _classes(n: np.ndarray) -> list[int]:
     return [int((n == k).sum()) for k in (1, 2, 3, 4)]
 
 
-TOKEN, WORD, RAW, CONTEXT = range(4)  # kinds of blocks of counts
+TOKEN, WORD, CONTEXT = range(3)  # kinds of blocks of counts
 SUMS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "tokens", "types", "texts", "pairs", "t1", "t2", "t3", "t4"]
 
 
-def _merge_pairs(path: str, token_buckets: int, order: int):
-    """Writes the n-gram arrays of a bucket; yields counts of contexts and words."""
+def _merge_pairs(path: str, token_buckets: int, light: int):
+    """Writes the n-gram arrays of a bucket and those of contexts that lie in it whole;
+    yields counts of words and of the other contexts."""
 
-    def followers(ctx: np.ndarray, n: np.ndarray):
-        ids, _, stats = summed(ctx, n, *(x.astype(np.int64) for x in (n == 1, n == 2, n > 2)))
-        return ids, stats
+    def followers(ctx: np.ndarray, n: np.ndarray, *more: np.ndarray):
+        return summed(ctx, n, *(x.astype(np.int64) for x in (n == 1, n == 2, n > 2)), *more)
 
-    def save(name: str, bucket: int, key: np.ndarray, n: np.ndarray) -> None:
-        _save(f"{path}/{name}-{bucket}.npy", key)
-        _save(f"{path}/{name}n-{bucket}.npy", n.astype(np.min_scalar_type(int(n.max()))))
+    def save(name: str, bucket: int, key: np.ndarray, *cols: np.ndarray) -> None:
+        _save(f"{path}/{name}-{bucket}.npy", shelf(key, cols))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(batches):
-            blocks, counts, classes = [decode_pairs(r[0]) for r in rows], [], [0, 0, 0, 0]
-            ctx, word, n = [[x for *b, last in blocks if last is None for x in [b[i]]] for i in range(3)]
-            three = [b for b in blocks if b[3] is not None]
-            if three:
-                c, w, n3, v = (np.concatenate(x) for x in zip(*three))
-                key, at, (n3,) = summed(pair_key(c, w), n3)
+            ctx, word, n, before = (np.concatenate(x) for x in zip(*(decode_pairs(r[0]) for r in rows)))
+            counts, classes, longer, raw = [], [0, 0, 0, 0], before != 0, n
+            if longer.any():
+                u, v, w = (x[longer] for x in (before, ctx, word))
+                two = context(u, v)
+                key, at, (n3,) = summed(gram_key(two, w), n[longer])
                 save("triples", bucket, key, n3)
-                c, w, v, classes = c[at], w[at], v[at], _classes(n3)
-                counts.append((CONTEXT, *followers(c, n3)))
-                ids, _, raw = summed(v, n3)
-                counts.append((RAW, ids, raw))
+                u, v, w, two, classes = u[at], v[at], w[at], two[at], _classes(n3)
+                where, at, stats = followers(two, n3)
+                whole = v[at] >= light
+                if whole.any():
+                    save("contexts", bucket, where[whole], *(x[whole] for x in stats))
+                if not whole.all():
+                    where, at, stats = where[~whole], at[~whole], [x[~whole] for x in stats]
+                    by = np.lexsort((u[at], v[at]))
+                    counts.append((CONTEXT, where[by], v[at][by], [x[by] for x in (u[at], *stats)]))
                 # The order below counts the distinct tokens before a bigram.
-                ctx, word, n = [*ctx, v], [*word, w], [*n, np.ones(len(v), np.int64)]
-            ctx, word, n = (np.concatenate(x) for x in (ctx, word, n))
-            key, at, (n,) = summed(pair_key(ctx, word), n)
+                ctx, word, raw, n = (np.concatenate([x[~longer], y]) for x, y in (
+                    (ctx, v), (word, w), (n, n3), (n, np.ones(len(v), np.int64))))
+            key, at, (n, raw) = summed(gram_key(ctx, word), n, raw)
             ctx, word = ctx[at], word[at]
             save("pairs", bucket, key, n)
-            ids, stats = followers(ctx, n)
-            counts.append((TOKEN, ids, stats))
-            if order == 2:
-                counts.append((RAW, ids, stats[:1]))
-            else:
-                start = ids == START  # one a text, as at order 2
-                counts.append((RAW, ids[start], [stats[0][start]]))
+            ids, _, stats = followers(ctx, n, raw)
+            counts.append((TOKEN, ids, ids, stats))
             ids, _, cont = summed(word, np.ones(len(word), np.int64))
-            counts.append((WORD, ids, cont))
+            counts.append((WORD, ids, ids, cont))
             out = [(-1, np.array([*_classes(n), *classes], np.int64).tobytes())]
-            for kind, ids, cols in counts:
-                where = ids % token_buckets
-                by = np.argsort(where, kind="stable")
-                tb, first = np.unique(where[by], return_index=True)
-                out += [(b, encode_stats(kind, ids[p], [x[p] for x in cols])) for b, p in zip(tb.tolist(), np.split(by, first[1:]))]
+            for kind, where, ids, cols in counts:
+                out += [(b, encode_stats(kind, ids[p], [x[p] for x in cols])) for b, p in _groups(where % token_buckets)]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.binary())], ["bucket", "block"])
 
@@ -275,7 +424,7 @@ def _merge_pairs(path: str, token_buckets: int, order: int):
 
 def _merge_tokens(path: str):
     """Writes the token and context arrays of a bucket; yields its sums."""
-    columns = {TOKEN: [TOTAL, N1, N2, N3], WORD: [CONT], RAW: [COUNT]}
+    columns = {TOKEN: [TOTAL, N1, N2, N3, COUNT], WORD: [CONT]}
 
     def save(name: str, bucket: int, key: np.ndarray, col: np.ndarray) -> None:
         _save(f"{path}/{name}-{bucket}.npy", key)
@@ -290,7 +439,7 @@ def _merge_tokens(path: str):
                 for (raw,) in rows:
                     kind, some, got = decode_stats(raw)
                     if kind == CONTEXT:
-                        longer.append((some, got))
+                        longer.append((context(got[0], some), got[1:]))
                         continue
                     col = np.zeros((6, len(some)), np.int64)
                     col[columns[kind]] = got
@@ -298,13 +447,15 @@ def _merge_tokens(path: str):
                     cols.append(col)
                 if longer:
                     key, _, col = summed(np.concatenate([x for x, _ in longer]), *np.concatenate([x for _, x in longer], axis=1))
-                    save("contexts", bucket, key, np.stack(col))
+                    _save(f"{path}/shared-{bucket}.npy", shelf(key, col))
                 key, _, col = summed(np.concatenate(ids), *np.concatenate(cols, axis=1))
                 col = np.stack(col)
                 start = key == START
                 docs = int(col[COUNT][start].sum())
-                if len(key):
-                    save("tokens", bucket, key, col)
+                often = (col > 255).any(axis=0)
+                for name, some in (("tokens", ~often), ("often", often)):
+                    if some.any():
+                        save(name, bucket, key[some], col[:, some])
                 cont = col[CONT]
                 sums = [*[0] * 8, int(col[COUNT][~start].sum()), int((~start).sum()), docs, int(cont.sum()), *_classes(cont)]
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()) for s in sums], SUMS)
@@ -358,10 +509,13 @@ class Model:
             out[p[hit]] = self._map(f"{name}n-{b}")[at[hit]]
         return out
 
-    def _grams(self, name: str, ctx: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
-        key, first, back = np.unique(pair_key(ctx, word), return_index=True, return_inverse=True)
-        bucket = pair_bucket(last[first], word[first], self.spec["buckets"])
-        return self._find(name, key, bucket, np.zeros(len(key), np.int64))[back]
+    def _counts(self, name: str, key: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros((len(key), width), np.int64)
+        for b, p in _groups(bucket):
+            have = self._map(f"{name}-{b}")
+            if have is not None:
+                out[p] = Shelf(np.asarray(have)).get(key[p])
+        return out
 
     @staticmethod
     def _level(n: np.ndarray, d: np.ndarray, stats: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -373,23 +527,45 @@ class Model:
 
     def score(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training count and log10 probability of every token after a START, in order."""
-        before, ctx, word = grams(stream)
-        ids, inverse = np.unique(np.concatenate([ctx, word]), return_inverse=True)
-        stats = self._find("tokens", ids, ids % self.spec["token_buckets"], np.zeros((len(ids), 6), np.int64))
+        real = stream[:-1] != END
+        ids, inverse = np.unique(stream, return_inverse=True)
+        stats = np.zeros((len(ids), 6), np.int64)
+        for name in ("tokens", "often"):
+            self._find(name, ids, ids % self.spec["token_buckets"], stats)
         stats[ids == END, COUNT] = self.spec["sums"]["texts"]
-        c, w = inverse[:len(ctx)], inverse[len(ctx):]
+        before, ctx, word = grams(stream)
+        c, w = inverse[:-1][real], inverse[1:][real]
         cont, pairs = stats[:, CONT], self.spec["sums"]["pairs"]
         p1 = np.maximum(cont - self.d1[np.minimum(cont, 3)], 0) / max(1, pairs) + self.low / (self.types + 1)
-        p = self._level(self._grams("pairs", ctx, ctx, word), self.d2, stats[c, TOTAL:], p1[w])
+        light, buckets = self.spec["light"], self.spec["buckets"]
+        bucket = pair_bucket(ctx, word, buckets, light)
+        p = self._level(self._counts("pairs", gram_key(ctx, word), bucket, 1)[:, 0], self.d2, stats[:, TOTAL:][c], p1[w])
         if self.spec["order"] > 2:
             at = np.flatnonzero(ctx != START)
             two = context(before[at], ctx[at])
-            ids, inverse = np.unique(two, return_inverse=True)
-            found = self._find("contexts", ids, ids % self.spec["token_buckets"], np.zeros((len(ids), 4), np.int64))
-            p[at] = self._level(self._grams("triples", two, ctx[at], word[at]), self.d3, found[inverse], p[at])
+            n = self._counts("triples", gram_key(two, word[at]), bucket[at], 1)[:, 0]
+            whole = ctx[at] >= light
+            found = self._counts("contexts", two, np.where(whole, bucket[at], -1), 4)
+            found += self._counts("shared", two, np.where(whole, -1, two % self.spec["token_buckets"]), 4)
+            p[at] = self._level(n, self.d3, found, p[at])
         return stats[w, COUNT], np.log10(p)
 
 
+def list_words(src: DataFrame, chars: int, path: str) -> int:
+    """Write the words that get short ids: the most frequent ones, at most ``CODES``, of evenly
+    spaced texts with some ``CODE_CHARS`` characters. Any list gives the same counts. Returns
+    the first id of a word that fills less than a small part of a bucket."""
+    every = int(chars // CODE_CHARS) + 1
+    some = src.where(F.monotonically_increasing_id() % every == 0)
+    words = (some.select(F.explode(F.split(ascii_lower(F.col("text")), SPACE_CLASS)).alias("w"))
+             .where(F.octet_length("w").between(1, CODE_BYTES)).groupBy("w").count().where("count > 1")
+             .orderBy(F.desc("count"), "w").limit(CODES).collect())
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/words", "wb") as f:
+        f.write(b"\n".join(r.w.encode("utf-8", "surrogatepass") for r in words))
+    return END + 1 + sum(r["count"] * every > BUCKET_CHARS // 32 for r in words)
+
+
 def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> dict:
     """Count all of ``docs`` and write the model of order 2 or 3; returns what ``Model``
     needs (the folder, bucket numbers and sixteen sums: a bounded record)."""
@@ -401,14 +577,17 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> dict:
     buckets = int(chars // BUCKET_CHARS) + 1
     token_buckets = buckets // (TOKEN_BUCKETS if order == 2 else 2) + 1
     path = mounted_path(spark, "model")
-    block = "bucket long, block binary"
-    blocks = src.mapInArrow(_count_blocks(buckets, order), block)
-    merged = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _merge_pairs(path, token_buckets, order), block)
-    sums = merged.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _merge_tokens(path), ", ".join(f"{n} long" for n in SUMS))
+    light = list_words(src, chars, path)
+    block, scratch = "bucket long, block binary", Scratch(spark, "counts")
+    merged = [scratch.keep(src.mapInArrow(_count_blocks(path, buckets, light, order, k), block)
+                           .repartition("bucket").sortWithinPartitions("bucket")
+                           .mapInArrow(_merge_pairs(path, token_buckets, light), block), f"merged-{k}")
+              for k in range(min(ROUNDS, buckets))]
+    sums = scratch.keep(reduce(DataFrame.unionAll, merged).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _merge_tokens(path), ", ".join(f"{n} long" for n in SUMS)), "sums")
     row = sums.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in SUMS]).first()
-    return {"path": path, "order": order, "buckets": buckets, "token_buckets": token_buckets, "sums": row.asDict()}
+    scratch.drop("sums", *[f"merged-{k}" for k in range(len(merged))])
+    return {"path": path, "order": order, "buckets": buckets, "light": light, "token_buckets": token_buckets, "sums": row.asDict()}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,31 +603,23 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, tokens = Model(model), TokenHash()
+        lm, tokens = Model(model), Tokens(f"{model['path']}/words")
         floor = lm.tokens + 0.1 * (lm.types + 1)
 
-        def flush(ids: list, held: list) -> pa.RecordBatch:
-            count, logp = lm.score(np.concatenate(held))
-            length = np.array([len(s) - 1 for s in held])
+        def scored(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+            stream, length = tokens.stream(texts)
+            count, logp = lm.score(stream)
             at = np.cumsum(length) - length
             base = np.add.reduceat(np.log10((count + 0.1) / floor), at)
             total = np.add.reduceat(logp, at)
-            cols = [pa.array(ids, pa.int64()), pa.array(length, pa.int64()),
+            cols = [ids, pa.array(length, pa.int64()),
                     pa.array(np.add.reduceat((count > 0).astype(np.int64), at)), pa.array(base), pa.array(total),
                     pa.array(10.0 ** np.minimum(-total / length, 300))]
             return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "n_known", "base_score", "score", "perplexity"])
 
         for b in batches:
-            ids, held, size = [], [], 0
-            for key, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids.append(key)
-                held.append(tokens.stream(t.as_py()))
-                size += len(held[-1])
-                if size >= SCORE_BUFFER:
-                    yield flush(ids, held)
-                    ids, held, size = [], [], 0
-            if ids:
-                yield flush(ids, held)
+            for first, texts in slices(b.column(1), SCORE_BUFFER):
+                yield scored(b.column(0).slice(first, len(texts)), texts)
 
     return src.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double, perplexity double")
 

@@ -124,3 +124,106 @@ def test_open_arrays_are_bounded(tmp_path):
     got = model._find("pairs", key.astype(np.uint64), key, np.zeros(3100, np.int64))
     assert got.tolist() == [*range(1, 3001), *[0] * 100]
     assert len(os.listdir("/proc/self/fd")) - before <= L.MAPS + 1
+
+
+def test_model_with_frequent_and_other_contexts(spark, monkeypatch):
+    """Contexts of frequent words lie in several buckets, those of others in one."""
+    import os
+
+    monkeypatch.setattr(L, "BUCKET_CHARS", 320)
+    monkeypatch.setattr(L, "BUFFER", 100)
+    monkeypatch.setattr(L, "SCORE_BUFFER", 200)
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, score string").repartition(3)
+    model = L.train(docs)
+    names = {f.split("-")[0] for f in os.listdir(model["path"])}
+    assert {"triples", "pairs", "contexts", "shared", "tokens"} <= names
+    _, p = brute([t for _, t, _ in DOCS], 3)
+    texts = {i: t for i, t, _ in DOCS}
+    got = L.score(docs, model).collect()
+    assert len(got) == len(DOCS)
+    for r in got:
+        s = ["<s>", *words(texts[r.doc_id]), "</s>"]
+        assert r.score == pytest.approx(sum(math.log10(p(tuple(s[max(0, i - 2):i]), s[i])) for i in range(1, len(s))))
+
+
+def test_little_more_than_the_model_is_on_disk(spark):
+    """Some seven bytes an entry; nothing else is left in the shared folder."""
+    import os
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    texts = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 400))) for i in range(70)]
+    streams = [("<s>", *words(t), "</s>") for _, t in texts]
+    triples = {s[i:i + 3] for s in streams for i in range(len(s) - 2)}
+    entries = len(triples) + len({g[1:] for g in triples}) + len(streams) + len({g[:2] for g in triples})
+    entries += 3 * len({w for s in streams for w in s})
+    model = L.train(spark.createDataFrame(texts, "doc_id long, text string"))
+    files = [f for f in os.listdir(model["path"]) if f != "words"]
+    assert sum(os.path.getsize(f"{model['path']}/{f}") for f in files) < 7.3 * entries + 4096 * len(files)
+    root = os.path.dirname(model["path"])
+    left = [f for d in os.listdir(root) if d.startswith("llm-counts") for _, _, fs in os.walk(f"{root}/{d}") for f in fs]
+    assert left == []
+
+
+def test_blocks_of_frequent_words_are_small():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    ctx, word, last = (rng.zipf(1.2, 50_000) % 100_000 for _ in range(3))
+    ctx, word, last = np.unique(np.stack([ctx, word, last]).astype(np.int64), axis=1)
+    assert len(L.encode_pairs(ctx, word, np.ones(len(ctx), np.int64), last)) < 5 * len(ctx)
+
+
+@pytest.mark.parametrize("n", [1, 300, 50_000])
+def test_shelf_finds_exactly_its_keys(n):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    key = rng.integers(0, 1 << 56, n)
+    key = np.unique(np.concatenate([key, key[:100] ^ 1, key[:100] ^ 3, [0, (1 << 56) - 1]]))  # neighbours
+    cols = [rng.zipf(1.5, len(key)).astype(np.int64) for _ in range(4)]
+    cols[0][0], cols[1][-1] = 2**40, 32
+    for k in (1, 4):
+        table = L.Shelf(L.shelf(key, cols[:k]))
+        order = rng.permutation(len(key))
+        assert (table.get(key[order]) == np.stack(cols[:k], axis=1)[order]).all()
+        other = np.setdiff1d(np.concatenate([key[:200] ^ 2, key[-200:] ^ 4, rng.integers(0, 1 << 56, 1000)]), key)
+        assert (table.get(other) == 0).all()
+    assert table.get(np.zeros(0, np.int64)).shape == (0, 4)
+
+
+def test_streams_follow_the_words_of_the_contract(tmp_path):
+    import pyarrow as pa
+
+    (tmp_path / "words").write_bytes("the\nä".encode())
+    (tmp_path / "none").write_bytes(b"")
+    texts = ["", None, "  The\tthe\x0bTHE\x0c\x1cthe \r\n ä ", "Ä ä\xa0b the", " ", "x\0 \0 x"]
+    for name in ("words", "none"):
+        ids = L.Tokens(f"{tmp_path}/{name}")
+        for rows in (pa.array(texts), pa.array(["skipped row", *texts]).slice(1)):
+            stream, n = ids.stream(rows)
+            own = iter(stream.tolist())
+            seen = {}
+            for t, k in zip(texts, n.tolist()):
+                s = [next(own) for _ in range(k + 1)]
+                assert (s[0], s[-1]) == (L.START, L.END)
+                assert len(words(t)) == k - 1
+                for w, i in zip(words(t), s[1:-1]):
+                    assert seen.setdefault(w, i) == i
+            assert list(own) == [] and len(set(seen.values())) == len(seen)
+            assert min(seen.values()) >= (L.END + 1 if name == "words" else L.HASHED)
+    assert (seen["the"] >= L.HASHED) and L.Tokens(f"{tmp_path}/words").stream(pa.array(["the ä"]))[0].tolist() == [L.START, 3, 4, L.END]
+
+
+def test_grams_of_more_ids_than_fit_one_key():
+    import numpy as np
+
+    ids = np.arange(3, 3 + (1 << 21), dtype=np.int64)
+    stream = np.concatenate([[L.START], ids, [L.END, L.START], ids[:5], [L.END]])
+    ctx, word, n, before = L.distinct_grams(stream, 3, stream[:-1] != L.END)
+    twice = (ctx < 7) & (before < 7) & (word < 8)
+    assert (n == np.where(twice & (word != L.END), 2, 1)).all()
+    assert len(n) == len(ids) + 1 + 1 and (before[ctx == L.START] == 0).all()
+    longer = (ctx > 3) & (word > 2)
+    assert (before[longer] + 2 == word[longer]).all() and (ctx[longer] + 1 == word[longer]).all()
