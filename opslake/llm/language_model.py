@@ -16,8 +16,9 @@ shuffle. The buckets are counted in ``ROUNDS`` rounds and shuffle files and part
 counts go as soon as they are merged, so that little more than the model is on disk.
 
 Scoring: one narrow pass. Tasks memory-map the arrays and look queries up by
-binary search; at most ``MAPS`` arrays are open, so neither a worker's memory
-nor its descriptors grow with the model. Counts are exact up to 64 bits.
+binary search; the shelves of many buckets are joined into one of ``GROUPS`` files
+and at most ``MAPS`` arrays are open, so neither a worker's memory nor its
+descriptors nor the look-ups of a text grow with the model. Counts are exact up to 64 bits.
 
 The counts of either order cover every training document whole.
 """
@@ -46,7 +47,8 @@ CODE_CHARS = 32_000_000      # characters of the sample they are taken from
 HASHED = END + 1 + CODES     # ids from here on are hashes
 ROUNDS = 2                   # in which the buckets are counted
 BUCKET_CHARS = 8_000_000     # characters of training text a bucket
-TOKEN_BUCKETS = 8            # bigram buckets to one token bucket
+TOKEN_BUCKETS = 8            # buckets to one token bucket
+GROUPS, GROUP = 64, 2048     # files of an array, or as many as hold GROUP buckets each
 BUFFER = 2_500_000           # tokens counted at once in a task
 SCORE_BUFFER = 8_000_000     # bytes of text scored at once in a task
 MAPS = 64                    # arrays a scoring task has open
@@ -141,11 +143,23 @@ def summed(key: np.ndarray, *counts: np.ndarray):
     return key[first], order[first], [np.add.reduceat(c[order], first) if len(first) else c[:0] for c in counts]
 
 
+def distinct_ids(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids ascending, and the place among them of each token; only hashes are sorted."""
+    small = stream < HASHED
+    there = np.zeros(HASHED, bool)
+    there[stream[small]] = True
+    low = np.flatnonzero(there)
+    high, place = np.unique(stream[~small], return_inverse=True)
+    out = np.empty(len(stream), np.int64)
+    out[small], out[~small] = (np.cumsum(there) - 1)[stream[small]], place + len(low)
+    return np.concatenate([low, high]), out
+
+
 def distinct_grams(stream: np.ndarray, order: int, take: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct n-grams of a stream of texts as (context, word, count, token before), by
     context, word and token before; that is 0 in an n-gram of two tokens. ``take``: whether
     the n-gram whose word is one place on counts."""
-    ids, rank = np.unique(stream, return_inverse=True)
+    ids, rank = distinct_ids(stream)
     before, ctx, word = np.concatenate([[0], rank[:-2] + 1]), rank[:-1], rank[1:]
     before = np.where(stream[:-1] == START, 0, before) if order > 2 else np.zeros_like(before)
     bits, pairs = int(len(ids)).bit_length(), None
@@ -243,52 +257,57 @@ def decode_stats(blob: bytes) -> tuple[int, np.ndarray, np.ndarray]:
     return blob[0], np.cumsum(ids), np.stack(cols)
 
 
-def shelf(key: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
+def shelf(key: np.ndarray, cols: list[np.ndarray], bits: int = 8) -> np.ndarray:
     """Bytes of a table of ascending 56-bit keys and up to four counts each. A key's first
-    bits are given by its slot; its counts are one of ``TUPLES`` tuples or stand apart."""
-    n, width, bits = len(key), len(cols), 16 if len(key) > 1 << 15 else 8
+    ``bits`` (8 or 16) are given by its slot; its counts are one of ``TUPLES`` tuples or stand apart."""
+    n, width, end = len(key), len(cols), 24 - bits
     slots = np.searchsorted(key, np.arange((1 << bits) + 1, dtype=np.int64) << (56 - bits))
-    end = 24 - bits
     col = np.stack(cols)
     small = np.flatnonzero((col < SMALL).all(axis=0))
     code = np.full(n, TUPLES, np.uint8)
     tuples = (col[:, small] * SMALL ** np.arange(width)[:, None]).sum(axis=0)
-    times = np.bincount(tuples)
+    times = np.bincount(tuples, minlength=TUPLES)
     table = np.argsort(-times, kind="stable")[:TUPLES]
-    table = table[times[table] > 0]
     of = np.full(len(times), TUPLES, np.uint8)
-    of[table] = np.arange(len(table))
+    of[table] = np.arange(TUPLES)
     code[small] = of[tuples]
     apart = np.flatnonzero(code == TUPLES)
-    large = np.ascontiguousarray(col[:, apart].T, "<u4" if col.max(initial=0) < 1 << 32 else "<i8")
-    head = np.array([n, width, bits, len(table), len(apart), large.itemsize], "<i8")
-    parts = [head, table.astype("<i8"), large, apart.astype("<u4"), slots.astype("<u4"),
-             (key >> end & 0xFFFFFFFF).astype("<u4"), (key & ((1 << end) - 1)).astype("u1" if end == 8 else "<u2"), code]
-    return np.frombuffer(b"".join(p.tobytes() for p in parts), np.uint8)
+    out = Shelf(np.zeros(Shelf.size(n, width, bits, 1, len(apart)), np.uint8), (n, width, bits, 1, len(apart)))
+    out.table[:], out.large[:], out.apart[:], out.slots[:] = table, col[:, apart].T, apart, slots
+    out.top[:], out.end[:], out.code[:] = key >> end & 0xFFFFFFFF, key & ((1 << end) - 1), code
+    return out.raw
 
 
 class Shelf:
-    """Look-ups in the bytes of ``shelf``."""
+    """Look-ups in the bytes of ``shelf``, or of several buckets' shelves one after another."""
 
-    def __init__(self, raw: np.ndarray):
-        self.n, self.width, self.bits, tuples, apart, item = raw[:48].view("<i8").tolist()
-        at = 48
+    def __init__(self, raw: np.ndarray, head: tuple | None = None):
+        self.raw = raw
+        if head:
+            raw[:40].view("<i8")[:] = head
+        self.n, self.width, self.bits, self.buckets, apart = raw[:40].view("<i8").tolist()
+        at = 40
 
         def take(n: int, kind: str) -> np.ndarray:
             nonlocal at
             at, begin = at + n * np.dtype(kind).itemsize, at
             return raw[begin:at].view(kind)
 
-        self.table = take(tuples, "<i8")[:, None] // SMALL ** np.arange(self.width) % SMALL
-        self.large = take(apart * self.width, f"<{'u' if item == 4 else 'i'}{item}").reshape(apart, self.width)
-        self.apart, self.slots, self.top = (take(k, "<u4") for k in (apart, (1 << self.bits) + 1, self.n))
+        self.table = take(self.buckets * TUPLES, "<i8")
+        self.large = take(apart * self.width, "<i8").reshape(apart, self.width)
+        self.apart, self.slots, self.top = (take(k, "<u4") for k in (apart, (self.buckets << self.bits) + 1, self.n))
         self.end = take(self.n, "u1" if self.bits == 16 else "<u2")
         self.code = take(self.n, "u1")
 
-    def get(self, key: np.ndarray) -> np.ndarray:
-        """The counts of each key; zeros where it isn't there."""
+    @staticmethod
+    def size(n: int, width: int, bits: int, buckets: int, apart: int) -> int:
+        return 40 + 8 * (buckets * TUPLES + apart * width) + 4 * (apart + (buckets << bits) + 1 + n) + n * (2 if bits == 16 else 3)
+
+    def get(self, key: np.ndarray, bucket: np.ndarray | int = 0) -> np.ndarray:
+        """The counts of each key in its bucket; zeros where it isn't there."""
         out = np.zeros((len(key), self.width), np.int64)
-        slot, bits = key >> (56 - self.bits), 24 - self.bits
+        bucket, bits = np.broadcast_to(np.asarray(bucket, np.int64), key.shape), 24 - self.bits
+        slot = bucket << self.bits | key >> (56 - self.bits)
         top = (key >> bits & 0xFFFFFFFF).astype(np.uint32)
         low, last = self.slots[slot].astype(np.int64), self.slots[slot + 1].astype(np.int64)
         high = last
@@ -309,11 +328,41 @@ class Shelf:
         hit = np.concatenate(hits) if hits else at
         code = self.code[low[hit]]
         listed = code < TUPLES
-        out[hit[listed]] = self.table[code[listed]]
+        tuples = self.table[bucket[hit[listed]] * TUPLES + code[listed]]
+        out[hit[listed]] = tuples[:, None] // SMALL ** np.arange(self.width) % SMALL
         out[hit[~listed]] = self.large[np.searchsorted(self.apart, low[hit[~listed]])]
         return out
 
 
+def join_shelves(path: str, name: str, group: int, groups: int, buckets: int) -> None:
+    """Put the shelves of every ``groups``-th bucket from ``group`` on into one file, and delete
+    them: a look-up then opens as many files however many buckets there are."""
+    files = [f"{path}/{name}-{b}.npy" for b in range(group, buckets, groups)]
+    target, there = f"{path}/{name}-group-{group}.npy", [os.path.exists(f) for f in files]
+    if any(there) and not os.path.exists(target):  # else done by an earlier attempt
+        parts = [Shelf(np.load(f, mmap_mode="r")) if have else None for f, have in zip(files, there)]
+        some = [p for p in parts if p]
+        head = (sum(p.n for p in some), some[0].width, some[0].bits, len(parts), sum(len(p.apart) for p in some))
+        own = f"{target}.{uuid.uuid4().hex}"
+        out = Shelf(np.lib.format.open_memmap(own, "w+", np.uint8, (Shelf.size(*head),)), head)
+        n = apart = 0
+        for i, p in enumerate(parts):
+            slots = slice(i << out.bits, (i + 1) << out.bits)
+            out.slots[slots] = n
+            if p:
+                out.slots[slots] += p.slots[:-1]
+                out.table[i * TUPLES:(i + 1) * TUPLES] = p.table
+                out.large[apart:apart + len(p.apart)], out.apart[apart:apart + len(p.apart)] = p.large, p.apart + np.uint32(n)
+                out.top[n:n + p.n], out.end[n:n + p.n], out.code[n:n + p.n] = p.top, p.end, p.code
+                n, apart = n + p.n, apart + len(p.apart)
+        out.slots[-1] = n
+        out.raw.flush()
+        os.replace(own, target)
+    for f in files:
+        if os.path.exists(f):
+            os.remove(f)
+
+
 def _count_blocks(path: str, buckets: int, light: int, order: int, part: int):
     """Blocks of the buckets of one of ``ROUNDS`` rounds."""
 
@@ -375,7 +424,7 @@ TOKEN, WORD, CONTEXT = range(3)  # kinds of blocks of counts
 SUMS = ["n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4", "tokens", "types", "texts", "pairs", "t1", "t2", "t3", "t4"]
 
 
-def _merge_pairs(path: str, token_buckets: int, light: int):
+def _merge_pairs(path: str, token_buckets: int, light: int, bits: int):
     """Writes the n-gram arrays of a bucket and those of contexts that lie in it whole;
     yields counts of words and of the other contexts."""
 
@@ -383,7 +432,7 @@ def _merge_pairs(path: str, token_buckets: int, light: int):
         return summed(ctx, n, *(x.astype(np.int64) for x in (n == 1, n == 2, n > 2)), *more)
 
     def save(name: str, bucket: int, key: np.ndarray, *cols: np.ndarray) -> None:
-        _save(f"{path}/{name}-{bucket}.npy", shelf(key, cols))
+        _save(f"{path}/{name}-{bucket}.npy", shelf(key, cols, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(batches):
@@ -422,7 +471,7 @@ def _merge_pairs(path: str, token_buckets: int, light: int):
     return run
 
 
-def _merge_tokens(path: str):
+def _merge_tokens(path: str, bits: int):
     """Writes the token and context arrays of a bucket; yields its sums."""
     columns = {TOKEN: [TOTAL, N1, N2, N3, COUNT], WORD: [CONT]}
 
@@ -447,7 +496,7 @@ def _merge_tokens(path: str):
                     cols.append(col)
                 if longer:
                     key, _, col = summed(np.concatenate([x for x, _ in longer]), *np.concatenate([x for _, x in longer], axis=1))
-                    _save(f"{path}/shared-{bucket}.npy", shelf(key, col))
+                    _save(f"{path}/shared-{bucket}.npy", shelf(key, col, bits))
                 key, _, col = summed(np.concatenate(ids), *np.concatenate(cols, axis=1))
                 col = np.stack(col)
                 start = key == START
@@ -511,10 +560,10 @@ class Model:
 
     def _counts(self, name: str, key: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
         out = np.zeros((len(key), width), np.int64)
-        for b, p in _groups(bucket):
-            have = self._map(f"{name}-{b}")
+        for g, p in _groups(np.where(bucket < 0, -1, bucket % self.spec["groups"])):
+            have = self._map(f"{name}-group-{g}")
             if have is not None:
-                out[p] = Shelf(np.asarray(have)).get(key[p])
+                out[p] = Shelf(np.asarray(have)).get(key[p], bucket[p] // self.spec["groups"])
         return out
 
     @staticmethod
@@ -528,7 +577,7 @@ class Model:
     def score(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training count and log10 probability of every token after a START, in order."""
         real = stream[:-1] != END
-        ids, inverse = np.unique(stream, return_inverse=True)
+        ids, inverse = distinct_ids(stream)
         stats = np.zeros((len(ids), 6), np.int64)
         for name in ("tokens", "often"):
             self._find(name, ids, ids % self.spec["token_buckets"], stats)
@@ -575,19 +624,31 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> dict:
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     chars = src.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(chars // BUCKET_CHARS) + 1
-    token_buckets = buckets // (TOKEN_BUCKETS if order == 2 else 2) + 1
+    token_buckets = buckets // TOKEN_BUCKETS + 1
+    groups, bits = max(GROUPS, buckets // GROUP + 1), 16 if min(chars, BUCKET_CHARS) > 1 << 20 else 8
     path = mounted_path(spark, "model")
     light = list_words(src, chars, path)
     block, scratch = "bucket long, block binary", Scratch(spark, "counts")
     merged = [scratch.keep(src.mapInArrow(_count_blocks(path, buckets, light, order, k), block)
                            .repartition("bucket").sortWithinPartitions("bucket")
-                           .mapInArrow(_merge_pairs(path, token_buckets, light), block), f"merged-{k}")
+                           .mapInArrow(_merge_pairs(path, token_buckets, light, bits), block), f"merged-{k}")
               for k in range(min(ROUNDS, buckets))]
     sums = scratch.keep(reduce(DataFrame.unionAll, merged).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _merge_tokens(path), ", ".join(f"{n} long" for n in SUMS)), "sums")
+        _merge_tokens(path, bits), ", ".join(f"{n} long" for n in SUMS)), "sums")
     row = sums.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in SUMS]).first()
     scratch.drop("sums", *[f"merged-{k}" for k in range(len(merged))])
-    return {"path": path, "order": order, "buckets": buckets, "light": light, "token_buckets": token_buckets, "sums": row.asDict()}
+    arrays = [(n, buckets) for n in ("triples", "pairs", "contexts")] + [("shared", token_buckets)]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                name, of = arrays[i % len(arrays)]
+                join_shelves(path, name, i // len(arrays), groups, of)
+            yield b
+
+    some = len(arrays) * min(groups, buckets)
+    spark.range(0, some, 1, min(some, 2 * GROUPS)).mapInArrow(join, "id long").agg(F.count("id")).first()
+    return {"path": path, "order": order, "groups": groups, "buckets": buckets, "light": light, "token_buckets": token_buckets, "sums": row.asDict()}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

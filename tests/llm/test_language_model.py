@@ -227,3 +227,25 @@ def test_grams_of_more_ids_than_fit_one_key():
     assert len(n) == len(ids) + 1 + 1 and (before[ctx == L.START] == 0).all()
     longer = (ctx > 3) & (word > 2)
     assert (before[longer] + 2 == word[longer]).all() and (ctx[longer] + 1 == word[longer]).all()
+
+
+def test_a_look_up_opens_few_files_however_many_buckets(tmp_path):
+    import os
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    key, bucket = np.unique(rng.integers(0, 1 << 56, 20_000)), None
+    bucket = rng.integers(0, 300, len(key))
+    bucket[bucket == 70] = 71  # no shelf
+    n = rng.zipf(1.5, len(key)).astype(np.int64)
+    for b in np.unique(bucket).tolist():
+        L._save(f"{tmp_path}/pairs-{b}.npy", L.shelf(key[bucket == b], [n[bucket == b]]))
+    for g in [*range(8), 3]:
+        L.join_shelves(str(tmp_path), "pairs", g, 8, 300)
+    assert sorted(os.listdir(tmp_path)) == [f"pairs-group-{g}.npy" for g in range(8)]
+    model = L.Model({"path": str(tmp_path), "groups": 8, "sums": dict.fromkeys(L.SUMS, 0)})
+    assert (model._counts("pairs", key, bucket, 1)[:, 0] == n).all()
+    assert (model._counts("pairs", key, (bucket + 1) % 300, 1) == 0).all()
+    assert (model._counts("pairs", key, np.full(len(key), -1), 1) == 0).all()
+    assert (model._counts("pairs", key, np.full(len(key), 70), 1) == 0).all()
